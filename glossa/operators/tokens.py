@@ -113,7 +113,7 @@ def corpus_stats(docs: DataFrame, by: tuple[str, ...] = (), grain: str = "word")
         F.sum("_chars").cast("bigint").alias("n_chars"),
         F.sum("_ntok").cast("bigint").alias("n_tokens"),
     )
-    distinct_toks = (explode_rows(docs, toks, by, "_t").groupBy(*by, "_t").agg()
+    distinct_toks = (explode_rows(docs, toks, by, "_t").distinct()
                      .groupBy(*by).agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct")))
     if by:
         return totals.join(distinct_toks, list(by), "left").fillna(0, ["n_distinct"])

@@ -210,3 +210,210 @@ def _round(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.round(F.col(c), digits))
     return df
+
+
+# --- 2.5 / entities -------------------------------------------------------------------
+
+def word_label_wide(spark: SparkSession, sf_dir: str, which: str = "l0") -> DataFrame:
+    """Wide ``(doc_id, toks, labels)`` with one heuristic label array (no H2: row-local only)."""
+    wide = L.label_arrays(word_wide(spark, sf_dir))
+    return wide.select("doc_id", "toks", F.transform("lab", lambda x: x[which]).alias("labels"))
+
+
+ISLANDS = f"""{LAB},
+isl0 AS (SELECT *, sum(CASE WHEN l0 <> 2 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos
+  ROWS UNBOUNDED PRECEDING) AS grp FROM lab),
+isl AS (SELECT doc_id, grp, CAST(min(pos) AS INTEGER) AS start_pos, CAST(max(pos) AS INTEGER) AS end_pos,
+  string_agg(token, ' ' ORDER BY pos) AS entity, arg_min(l0, pos) AS first_label
+  FROM isl0 WHERE grp > 0 GROUP BY doc_id, grp),
+ent AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start_pos) - 1 AS INTEGER) AS ent_no,
+  start_pos, end_pos, entity FROM isl WHERE first_label = 1)"""
+
+
+@register("extract_entities", f"{ISLANDS} SELECT * FROM ent")
+def q_extract_entities(spark, sf_dir):
+    from glossa.operators.entities import extract_entities
+    return extract_entities(word_label_wide(spark, sf_dir), sep=" ")
+
+
+@register("ordered_distinct", f"""{ISLANDS}
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_no) - 1 AS INTEGER) AS idx, entity
+FROM (SELECT doc_id, entity, min(ent_no) AS first_no FROM ent GROUP BY doc_id, entity)""")
+def q_ordered_distinct(spark, sf_dir):
+    from glossa.operators.entities import ordered_distinct
+    return ordered_distinct(word_label_wide(spark, sf_dir), sep=" ")
+
+
+@register("context_chunks", f"""WITH {S.word_tokens_cte()}
+SELECT doc_id, CAST(pos // 64 AS INTEGER) AS chunk_id, CAST(min(pos) AS INTEGER) AS start,
+  CAST(count(*) AS INTEGER) AS n_tokens, string_agg(token, ' ' ORDER BY pos) AS chunk_text
+FROM tok GROUP BY doc_id, pos // 64""")
+def q_context_chunks(spark, sf_dir):
+    from glossa.operators.windows import context_chunks
+    c = context_chunks(word_wide(spark, sf_dir), 64)
+    return c.select("doc_id", "chunk_id", "start", F.size("chunk").cast("int").alias("n_tokens"),
+                    F.array_join("chunk", " ").alias("chunk_text"))
+
+
+# --- 2.1 sources and sinks ---------------------------------------------------------------
+
+from glossa.functions.patterns import LINE_RE, STRIP_RE  # noqa: E402
+from glossa.sources import corpus as C  # noqa: E402
+from glossa.sources import sinks as K  # noqa: E402
+
+LINES = f"""lines0 AS (
+  SELECT doc_id, text, list_filter(list_transform(string_split_regex(text, {S.q(LINE_RE)}),
+    lambda x: regexp_replace(x, {S.q(STRIP_RE)}, '', 'g')), lambda x: length(x) > 0) AS ls FROM documents),
+lines AS (
+  SELECT doc_id, unnest(ls2) AS line, CAST(unnest(range(len(ls2))) AS INTEGER) AS line_no
+  FROM (SELECT doc_id, CASE WHEN len(ls) = 0 THEN [text] ELSE ls END AS ls2 FROM lines0))"""
+
+
+@register("line_source", f"WITH {LINES} SELECT doc_id, line_no, line FROM lines")
+def q_line_source(spark, sf_dir):
+    return C.line_source(read_documents(spark, sf_dir))
+
+
+@register("truncate_display", f"""WITH {LINES}
+SELECT doc_id, line_no, CASE WHEN length(line) > 80 THEN left(line, 80) || '...' ELSE line END AS display,
+  left(text_full, 120) AS preview
+FROM lines JOIN (SELECT doc_id, text AS text_full FROM documents) USING (doc_id)""")
+def q_truncate_display(spark, sf_dir):
+    docs = read_documents(spark, sf_dir)
+    lines = C.line_source(docs)
+    full = docs.select("doc_id", X.truncate_display("text", 120, ellipsis=False).alias("preview"))
+    return lines.join(full, "doc_id").select(
+        "doc_id", "line_no", X.truncate_display("line", 80).alias("display"), "preview")
+
+
+@register("corpus_load", """SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS doc_no,
+  CAST(length(text) AS BIGINT) AS n_chars FROM documents""")
+def q_corpus_load(spark, sf_dir):
+    from glossa.operators.windows import global_row_number
+    docs = read_documents(spark, sf_dir)
+    return global_row_number(docs.select("doc_id", F.length("text").cast("bigint").alias("n_chars")),
+                             ["doc_id"], "doc_no")
+
+
+@register("corpus_concat", """SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text,
+  count(*) AS n_parts FROM conversations GROUP BY conv_id""")
+def q_corpus_concat(spark, sf_dir):
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return C.corpus_concat(conv, "conv_id", "turn")
+
+
+@register("corpus_preferred_source", """SELECT conv_id, priority, turn, text FROM (
+  SELECT conv_id, CAST(CASE WHEN role = 'assistant' THEN 0 ELSE 1 END AS INTEGER) AS priority, turn, text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN role = 'assistant' THEN 0 ELSE 1 END, turn) AS rn
+  FROM conversations) WHERE rn = 1""")
+def q_corpus_preferred_source(spark, sf_dir):
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    cand = conv.withColumn("priority", F.when(F.col("role") == "assistant", 0).otherwise(1).cast("int"))
+    return C.corpus_preferred_source(cand, "conv_id", "priority", tie=("turn",))
+
+
+@register("corpus_prefix", """SELECT doc_id, char_offset, left(text, CAST(least(len, 60000 - char_offset) AS INTEGER)) AS text
+FROM (SELECT doc_id, text, length(text) AS len,
+  CAST(coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS char_offset
+  FROM documents) WHERE char_offset < 60000""")
+def q_corpus_prefix(spark, sf_dir):
+    return C.corpus_prefix(read_documents(spark, sf_dir), 60_000)
+
+
+@register("corpus_union", """SELECT 'documents' AS src, doc_id, 0 AS part, text FROM documents
+UNION ALL SELECT 'conversations', conv_id, CAST(turn AS INTEGER), text FROM conversations
+UNION ALL SELECT 'benchmark', item_id, 0, text FROM benchmark""")
+def q_corpus_union(spark, sf_dir):
+    return C.corpus_union(spark, sf_dir)
+
+
+@register("tsv_escape", f"""WITH {S.word_tokens_cte()}
+SELECT doc_id, pos, replace(replace(token, chr(10), '\\n'), chr(9), '\\t') AS token FROM tok""")
+def q_tsv_escape(spark, sf_dir):
+    long = T.explode_tokens(word_wide(spark, sf_dir))
+    return long.select("doc_id", "pos", X.tsv_escape("token").alias("token"))
+
+
+@register("annotated_tsv_sink", f"""{LAB}
+SELECT doc_id, pos AS token_id, replace(replace(token, chr(10), '\\n'), chr(9), '\\t') AS token,
+  {S.label_name_sql('l1')} AS etiqueta_H1, {S.label_name_sql('l2')} AS etiqueta_H2 FROM lab""")
+def q_annotated_tsv(spark, sf_dir):
+    return K.annotated_tsv_rows(word_labels(spark, sf_dir))
+
+
+@register("annotation_metadata_sink", f"""{LAB}, conf AS (SELECT l1, l2, count(*) AS n FROM lab GROUP BY l1, l2),
+k AS ({S.kappa_select()}),
+tot AS (SELECT count(*) AS tokens_totales, count(*) FILTER (WHERE l1 <> l2) AS tokens_en_desacuerdo,
+  count(*) FILTER (WHERE l1 > 0) AS H1_tokens_entidad, count(*) FILTER (WHERE l1 = 0) AS H1_O,
+  count(*) FILTER (WHERE l1 = 1) AS H1_B_ENT, count(*) FILTER (WHERE l1 = 2) AS H1_I_ENT,
+  count(*) FILTER (WHERE l2 > 0) AS H2_tokens_entidad, count(*) FILTER (WHERE l2 = 0) AS H2_O,
+  count(*) FILTER (WHERE l2 = 1) AS H2_B_ENT, count(*) FILTER (WHERE l2 = 2) AS H2_I_ENT FROM lab)
+SELECT '' AS proyecto, '' AS grupo, 'documents' AS fuente, tot.*, round(k.kappa, 4) AS kappa_cohen,
+  'acuerdo ' || {S.interpretation_sql('k.kappa')} AS interpretacion,
+  round(100.0 * tokens_en_desacuerdo / tokens_totales, 2) AS porcentaje_desacuerdo
+FROM tot, k""")
+def q_annotation_metadata(spark, sf_dir):
+    return K.annotation_metadata_rows(word_labels(spark, sf_dir), source="documents")
+
+
+# --- 2.2 character grain and vocabulary ---------------------------------------------------
+
+CHAR_VOCAB = """cv AS (SELECT CAST(row_number() OVER (ORDER BY token) - 1 AS INTEGER) AS token_id, token
+  FROM (SELECT DISTINCT unnest(string_split(text, '')) AS token FROM documents WHERE length(text) > 0))"""
+CONV_CHARS = """cc AS (SELECT conv_id, turn, CAST(unnest(range(length(text))) AS INTEGER) AS pos,
+  unnest(string_split(text, '')) AS token FROM conversations WHERE length(text) > 0)"""
+
+
+def conv_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return T.explode_tokens(T.tokenize(conv, "char", keep=("conv_id", "turn")), keep=("conv_id", "turn")) \
+        .select("conv_id", "turn", F.col("pos").cast("int"), "token")
+
+
+@register("char_vocab", f"WITH {CHAR_VOCAB} SELECT token_id, token FROM cv")
+def q_char_vocab(spark, sf_dir):
+    return T.char_vocab(read_documents(spark, sf_dir))
+
+
+@register("oov_map", f"""WITH {CHAR_VOCAB}, {CONV_CHARS}
+SELECT conv_id, turn, pos, cc.token, coalesce(cv.token_id, 0) AS token_id FROM cc LEFT JOIN cv USING (token)""")
+def q_oov_map(spark, sf_dir):
+    vocab = T.char_vocab(read_documents(spark, sf_dir))
+    return T.oov_map(conv_chars(spark, sf_dir), vocab)
+
+
+@register("vocab_lookup_safe", f"""WITH {CHAR_VOCAB}, {CONV_CHARS}
+SELECT conv_id, turn, pos, CAST(unicode(cc.token) - 32 AS INTEGER) AS token_id, coalesce(cv.token, '') AS token
+FROM cc LEFT JOIN cv ON cv.token_id = unicode(cc.token) - 32""")
+def q_vocab_lookup_safe(spark, sf_dir):
+    vocab = T.char_vocab(read_documents(spark, sf_dir))
+    ids = conv_chars(spark, sf_dir).select("conv_id", "turn", "pos",
+                                           (F.ascii("token") - 32).cast("int").alias("token_id"))
+    return T.vocab_lookup_safe(ids, vocab)
+
+
+@register("vocab_pretty", f"""WITH {CHAR_VOCAB}
+SELECT token_id, replace(replace(token, chr(10), '\\n'), ' ', '▁') AS pretty FROM cv""")
+def q_vocab_pretty(spark, sf_dir):
+    return T.vocab_pretty(T.char_vocab(read_documents(spark, sf_dir)))
+
+
+@register("corpus_stats", f"""WITH {S.word_tokens_cte('lang')},
+d AS (SELECT lang, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+  CAST(sum(len(regexp_extract_all(text, {S.q(S.WORD_RE)}))) AS BIGINT) AS n_tokens FROM documents GROUP BY lang),
+u AS (SELECT lang, count(DISTINCT token) AS n_distinct FROM tok GROUP BY lang)
+SELECT d.*, coalesce(u.n_distinct, 0) AS n_distinct FROM d LEFT JOIN u USING (lang)""")
+def q_corpus_stats(spark, sf_dir):
+    return T.corpus_stats(read_documents(spark, sf_dir, columns=("doc_id", "lang", "text")), by=("lang",))
+
+
+@register("pair_count", """WITH ch AS (
+  SELECT doc_id, unnest(c) AS token, CAST(unnest(range(len(c))) AS INTEGER) AS pos
+  FROM (SELECT doc_id, string_split(text, '') AS c FROM documents WHERE length(text) > 0)),
+p AS (SELECT doc_id, pos, token AS "left", lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS "right" FROM ch)
+SELECT "left", "right", count(*) AS pair_count, arg_min(doc_id, (doc_id, pos)) AS first_ord,
+  arg_min(pos, (doc_id, pos)) AS first_pos
+FROM p WHERE "right" IS NOT NULL GROUP BY "left", "right"
+""")
+def q_pair_count(spark, sf_dir):
+    return T.pair_count(T.tokenize(read_documents(spark, sf_dir), "char"))

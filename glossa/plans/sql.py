@@ -83,4 +83,4 @@ def interpretation_sql(col: str) -> str:
 
 
 __all__ = ["q", "word_tokens_cte", "labels_ctes", "label_name_sql", "kappa_select", "interpretation_sql",
-           "SEG_RE"]
+           "SEG_RE", "WORD_RE"]

@@ -92,12 +92,13 @@ def corpus_prefix(docs: DataFrame, n_chars: int, order: str = "doc_id", text: st
 
 
 def corpus_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, conversation turns and benchmark items as one bag of texts ``(src, doc_id, text)``."""
+    """Documents, conversation turns and benchmark items as one bag of texts ``(src, doc_id, part, text)``."""
     rd = lambda n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet"))
-    docs = rd("documents").select(F.lit("documents").alias("src"), F.col("doc_id"), "text")
-    conv = rd("conversations").select(F.lit("conversations").alias("src"),
-                                      (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-    bench = rd("benchmark").select(F.lit("benchmark").alias("src"), F.col("item_id").alias("doc_id"), "text")
+    zero = F.lit(0).alias("part")
+    docs = rd("documents").select(F.lit("documents").alias("src"), F.col("doc_id"), zero, "text")
+    conv = rd("conversations").select(F.lit("conversations").alias("src"), F.col("conv_id").alias("doc_id"),
+                                      F.col("turn").cast("int").alias("part"), "text")
+    bench = rd("benchmark").select(F.lit("benchmark").alias("src"), F.col("item_id").alias("doc_id"), zero, "text")
     return docs.unionByName(conv).unionByName(bench)
 
 
