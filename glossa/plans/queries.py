@@ -417,3 +417,109 @@ FROM p WHERE "right" IS NOT NULL GROUP BY "left", "right"
 """)
 def q_pair_count(spark, sf_dir):
     return T.pair_count(T.tokenize(read_documents(spark, sf_dir), "char"))
+
+
+# --- 2.4 BPE ---------------------------------------------------------------------------------
+
+from glossa.functions.patterns import SEG_RE  # noqa: E402
+from glossa.operators import bpe as B  # noqa: E402
+
+_TRAINED: dict[tuple, object] = {}
+VOCAB_SIZE = 300  # the source's default
+
+
+def trained(spark: SparkSession, sf_dir: str, vocab_size: int = VOCAB_SIZE):
+    """Train once per (input, size) in this process; the result is a small driver-side table."""
+    key = (sf_dir, vocab_size)
+    if key not in _TRAINED:
+        _TRAINED[key] = B.train(read_documents(spark, sf_dir), vocab_size)
+    return _TRAINED[key]
+
+
+@register("bpe_train")
+def q_bpe_train(spark, sf_dir):
+    return trained(spark, sf_dir).merges_df(spark)
+
+
+@register("apply_merge", f"""WITH seg AS (
+  SELECT doc_id, unnest(s) AS piece, unnest(range(len(s))) AS seg_no
+  FROM (SELECT doc_id, regexp_extract_all(text, {S.q(SEG_RE)}) AS s FROM documents)),
+ch AS (SELECT doc_id, seg_no, unnest(string_split(piece, '')) AS c, unnest(range(length(piece))) AS i FROM seg),
+pr AS (SELECT doc_id, seg_no, i, c AS l, lead(c) OVER (PARTITION BY doc_id, seg_no ORDER BY i) AS r FROM ch),
+best AS (SELECT l, r FROM pr WHERE r IS NOT NULL GROUP BY l, r
+  ORDER BY count(*) DESC, min({{'d': doc_id, 's': seg_no, 'i': i}}) LIMIT 1),
+pcs AS (SELECT DISTINCT piece FROM seg),
+m AS (SELECT piece, l || r AS lr, string_split(replace(piece, l || r, chr(57344)), '') AS t FROM pcs, best)
+SELECT piece, CAST(tok_no AS INTEGER) AS tok_no, CASE WHEN tok = chr(57344) THEN lr ELSE tok END AS token
+FROM (SELECT piece, lr, unnest(t) AS tok, unnest(range(len(t))) AS tok_no FROM m)""")
+def q_apply_merge(spark, sf_dir):
+    docs = read_documents(spark, sf_dir)
+    pcs = B.pieces(docs)
+    alphabet = B.base_alphabet(pcs)
+    one = B.train(docs, len(alphabet) + 1)
+    a, b, _, _ = one.merges[0]
+    return B.apply_merge_once(pcs.select("piece"), alphabet, alphabet[a], alphabet[b]) \
+        .select("piece", F.col("tok_no").cast("int"), "token")
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf_dir):
+    docs = read_documents(spark, sf_dir)
+    tok = trained(spark, sf_dir)
+    enc = B.encode(docs, tok)
+    from glossa.functions.text import explode_rows
+    return explode_rows(enc, "ids", ("doc_id",), "token_id", "pos").select(
+        "doc_id", F.col("pos").cast("int"), "token_id")
+
+
+@register("bpe_decode", "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, true AS roundtrip FROM documents")
+def q_bpe_decode(spark, sf_dir):
+    docs = read_documents(spark, sf_dir)
+    tok = trained(spark, sf_dir)
+    dec = B.decode(B.encode(docs, tok, keep=("doc_id", "text")).withColumnRenamed("text", "orig"), tok)
+    return dec.select("doc_id", F.length("text").cast("int").alias("n_chars"),
+                      (F.col("text") == F.col("orig")).alias("roundtrip"))
+
+
+@register("tokenizer_save")
+def q_tokenizer_save(spark, sf_dir):
+    from glossa.session import ensure_checkpoint_dir
+    tok = trained(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/tokenizer-{abs(hash(sf_dir))}"
+    K.tokenizer_save(tok.vocab_df(spark), tok.merges_df(spark), path)
+    return spark.read.parquet(f"{path}/merges")
+
+
+@register("tokenizer_load")
+def q_tokenizer_load(spark, sf_dir):
+    from glossa.session import ensure_checkpoint_dir
+    tok = trained(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/tokenizer-{abs(hash(sf_dir))}"
+    K.tokenizer_save(tok.vocab_df(spark), tok.merges_df(spark), path)
+    vocab, merges, size = K.tokenizer_load(spark, path)
+    return vocab.withColumn("vocab_size", F.lit(size).cast("bigint"))
+
+
+@register("capitalised_vocab")
+def q_capitalised_vocab(spark, sf_dir):
+    return T.capitalised_vocab(trained(spark, sf_dir).vocab_df(spark))
+
+
+@register("vocab_coverage_by_size")
+def q_vocab_coverage(spark, sf_dir):
+    return T.vocab_coverage_by_size(trained(spark, sf_dir).vocab_df(spark), [150, 200, 250, 300])
+
+
+def bpe_labels(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The three labellers on the BPE grain (the source's own setting)."""
+    docs = read_documents(spark, sf_dir, columns=tuple(dict.fromkeys(keep + ("text",))))
+    tok = trained(spark, sf_dir)
+    enc = B.encode(docs, tok, keep=keep)
+    wide = enc.select(*keep, B.id_tokens("ids", tok).alias("toks"))
+    return L.heuristic_labels(wide, keep=keep)
+
+
+@register("bpe_kappa")
+def q_bpe_kappa(spark, sf_dir):
+    lab = bpe_labels(spark, sf_dir)
+    return _round(A.cohen_kappa(lab), ["po", "pe", "kappa"])
