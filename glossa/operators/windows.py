@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossa.functions.text import explode_rows, uniform_from_key
+from glossa.operators.lookup import materialise
 
 
 def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> DataFrame:
@@ -35,9 +36,16 @@ def _partition_offsets(ranged: DataFrame, total: str) -> DataFrame:
 
 def global_row_number(df: DataFrame, order: list[str], out: str = "row_no",
                       partitions: int | None = None) -> DataFrame:
-    """0-based ordinal of each row in ``order`` (which must be a total order)."""
+    """0-based ordinal of each row in ``order`` (which must be a total order).
+
+    The range-partitioned, locally numbered rows are written once (reliable
+    checkpoint) before the per-partition counts are taken, so the counts and
+    the rows they offset come from the same partitioning even if a stage is
+    recomputed after an executor loss (range bounds come from sampling).
+    """
     r = _ranged(df, order, partitions)
     r = r.withColumn("_idx", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    r = materialise(r)
     offs = _partition_offsets(r.withColumn("_one", F.lit(1)), "_one")
     return r.join(offs, "_pid").withColumn(out, (F.col("_off") + F.col("_idx")).cast("bigint")) \
         .drop("_pid", "_idx", "_off")
@@ -48,8 +56,9 @@ def global_exclusive_sum(df: DataFrame, order: list[str], value: str, out: str =
     """Sum of ``value`` over all rows strictly before each row in ``order``.
 
     Inside a partition the running sum is a pandas ``cumsum`` over the
-    partition's Arrow batches (the partition is already sorted); partition
-    totals become offsets through a bounded broadcast.
+    partition's Arrow batches (the partition is already sorted); the result
+    is written once, then partition totals become offsets through a bounded
+    broadcast (one row per partition).
     """
     r = _ranged(df, order, partitions)
     schema = T.StructType(r.schema.fields + [T.StructField("_local", T.LongType())])
@@ -62,8 +71,8 @@ def global_exclusive_sum(df: DataFrame, order: list[str], value: str, out: str =
             carry += int(v.sum())
             yield b
 
-    local = r.mapInPandas(local_cumsum, schema)
-    offs = _partition_offsets(r, value)
+    local = materialise(r.mapInPandas(local_cumsum, schema))
+    offs = _partition_offsets(local, value)
     return (local.join(offs, "_pid").withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_pid", "_local", "_off"))
 
@@ -119,7 +128,9 @@ def train_val_split(wide: DataFrame, ratio: float = 0.9, toks: str = "toks", ord
                                        else F.array().cast(wide.schema[toks].dataType))
     tail = F.when(d > cut_doc, a).when(d == cut_doc, F.slice(a, cut_pos + 1, F.size(a)))
     parts = F.array(F.struct(F.lit("train").alias("split"), F.lit(0).alias("start"), head.alias("t")),
-                    F.struct(F.lit("val").alias("split"), F.lit(cut_pos).alias("start"), tail.alias("t")))
+                    F.struct(F.lit("val").alias("split"),
+                              F.when(d == cut_doc, F.lit(cut_pos)).otherwise(F.lit(0)).alias("start"),
+                              tail.alias("t")))
     return (explode_rows(wide, parts, (order,), "p")
             .filter(F.col("p.t").isNotNull())
             .select("p.split", order, F.col("p.start").alias("start_pos"), F.col("p.t").alias(toks)))
