@@ -233,7 +233,7 @@ gen AS (
   FROM gen LEFT JOIN top ON top.ctx = gen.last WHERE gen.step < {STEPS})"""
 
 
-@register("generate_greedy", f"""{GREEDY_SQL}
+@register("generate_greedy", "WITH RECURSIVE" + f"""{GREEDY_SQL}""".removeprefix("WITH") + f"""
 SELECT pr.prompt_id, array_to_string(pr.prompt, ' ') AS prompt, array_to_string(gen.out, ' ') AS generated
 FROM gen JOIN pr USING (prompt_id) WHERE gen.step = {STEPS}""")
 def q_generate_greedy(spark, sf_dir):
