@@ -20,7 +20,7 @@ K = 1            # n-gram order of the registered model queries
 ALPHA = 1000.0   # smoothing weight of the registered model queries
 TEMP = 0.8       # sampling temperature (the source's default)
 STEPS = 10       # generated tokens per prompt
-PROMPT_TOKENS = 3
+PROMPT_TOKENS = 3  # context shown before a sweep run's sample (the longest order used)
 
 
 # --- shared plan fragments -------------------------------------------------------------
@@ -42,9 +42,11 @@ def fitted(spark: SparkSession, sf_dir: str, orders: tuple[int, ...] = (K,)) ->
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark text, whole, is a prompt; generation continues from its end."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     from glossa.operators.tokens import tokenize
-    return M.prompts_from(tokenize(bench, "word", keep=("item_id",)), "item_id", n_tokens=PROMPT_TOKENS)
+    return tokenize(bench, "word", keep=("item_id",)).select(F.col("item_id").alias("prompt_id"),
+                                                             F.col("toks").alias("prompt"))
 
 
 # DuckDB: word tokens -> global position -> split -> row-local position.
@@ -223,7 +225,7 @@ top AS (SELECT ctx, token AS nxt FROM (
   SELECT ctx, token, row_number() OVER (PARTITION BY ctx ORDER BY c DESC, token) AS rn FROM cnt) WHERE rn = 1),
 utop AS (SELECT token AS nxt FROM uni ORDER BY c1 DESC, token LIMIT 1),
 bt AS (SELECT item_id, regexp_extract_all(text, {S.q(S.WORD_RE)}) AS t FROM benchmark),
-pr AS (SELECT item_id AS prompt_id, t[1:{PROMPT_TOKENS}] AS prompt FROM bt),
+pr AS (SELECT item_id AS prompt_id, t AS prompt FROM bt),
 gen AS (
   SELECT prompt_id, 0 AS step, CASE WHEN len(prompt) >= {K} THEN prompt[len(prompt)] ELSE NULL END AS last,
     CAST([] AS VARCHAR[]) AS out FROM pr

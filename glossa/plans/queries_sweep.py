@@ -13,11 +13,12 @@ _RUNS: dict[str, DataFrame] = {}
 
 
 def first_prompt(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The opening tokens of the first benchmark item (one short row reaches the driver)."""
+    """The context at the end of the first benchmark text: its last tokens (one short row reaches the driver)."""
+    from glossa.functions.text import context_tail
     from glossa.operators.tokens import tokenize
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     row = (tokenize(bench, "word", keep=("item_id",)).orderBy("item_id")
-           .select(F.slice("toks", 1, PROMPT_TOKENS).alias("p")).first())
+           .select(context_tail("toks", PROMPT_TOKENS).alias("p")).first())
     return list(row["p"]) if row else []
 
 

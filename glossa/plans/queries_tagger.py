@@ -66,3 +66,14 @@ def q_argmax_label(spark, sf_dir):
     lab = word_labels(spark, sf_dir)
     scores = lab.groupBy("token", F.col("l1").alias("label")).agg(F.count(F.lit(1)).cast("bigint").alias("score"))
     return TG.argmax_label(scores, ("token",))
+
+
+@register("pred_align")
+def q_pred_align(spark, sf_dir):
+    """Tokens zipped with the tagger's predictions by position (inner equi-join on ``(doc_id, pos)``)."""
+    from glossa.operators.tokens import explode_tokens
+    from glossa.plans.queries import word_wide
+    model = fitted_tagger(spark, sf_dir)
+    pred = TG.tagger_predict(model, training_rows(spark, sf_dir)).select("doc_id", "pos", "pred")
+    toks = explode_tokens(word_wide(spark, sf_dir)).select("doc_id", F.col("pos").cast("int"), "token")
+    return A.label_align(toks, pred)

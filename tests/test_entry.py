@@ -4,7 +4,7 @@ import __spark_entry__ as E
 
 ROWS_ONLY = {"bpe_train", "bpe_encode", "tokenizer_save", "tokenizer_load", "capitalised_vocab",
              "vocab_coverage_by_size", "bpe_kappa", "generate_sample", "sample_box", "runs_sink", "runs_source",
-             "tagger_fit", "tagger_predict", "tagger_eval"}
+             "tagger_fit", "tagger_predict", "tagger_eval", "pred_align"}
 
 
 def test_entry_runs(spark):
