@@ -35,11 +35,11 @@ def q_tagger_fit(spark, sf_dir):
 
 @register("tagger_predict")
 def q_tagger_predict(spark, sf_dir):
-    """Lines of every conversation turn (unseen in training) -> tokens -> predicted labels -> entities."""
+    """Every line of every document -> tokens -> predicted labels -> entities per line (the ``ner`` command)."""
+    from glossa.sources.corpus import read_documents
     model = fitted_tagger(spark, sf_dir)
-    keep = ("conv_id", "turn", "line_no")
-    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    lines = line_source(conv, keep=("conv_id", "turn"))
+    keep = ("doc_id", "line_no")
+    lines = line_source(read_documents(spark, sf_dir))
     wide = tokenize(lines, "word", text="line", keep=keep)
     rows = TG.feature_rows(wide, labels=None, keep=keep)
     pred = TG.tagger_predict(model, rows, keep=keep)
