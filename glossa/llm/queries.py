@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import chat_format, exact_dedup, url_filter
+from glossa.llm import bpe_tables, chat_format, exact_dedup, language_id, url_filter
 from glossa.llm.common import Queries, documents
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -16,10 +20,15 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digest(chat_format.with_probe(spark, documents(spark, sf_dir, "conversations")))
 
 
+def op7_bpe_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_tables.encode_documents(documents(spark, sf_dir))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(documents(spark, sf_dir, "pages"))
 
 
-QUERIES: Queries = {f.__name__: f for f in (op3_exact_dedup, op6_chat_format, op8_url_filter)}
+QUERIES: Queries = {f.__name__: f for f in (
+    op2_language_id, op3_exact_dedup, op6_chat_format, op7_bpe_tables, op8_url_filter)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE}
