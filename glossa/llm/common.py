@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -21,9 +22,18 @@ WS_RUN = r"[\x20\x09-\x0D]+"
 Queries = dict[str, Callable[[SparkSession, str], DataFrame]]
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back: lineage ends here."""
+#: Rows of small tables that go to one file of a staged table.
+FILE_ROWS = 65_536
+
+
+def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back: lineage ends here.
+
+    ``rows``: about how many (small) rows to expect; they then go to files of ``FILE_ROWS`` instead of one per task.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / FILE_ROWS)))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

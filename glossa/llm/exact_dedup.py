@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossa.llm.common import external_id, if_small, internal_id, staged
+from glossa.llm.common import FILE_ROWS, external_id, if_small, internal_id, staged
 
 #: Digests per filter shard: a filter then takes about 75 KB, at any number of documents.
 SHARD_ROWS = 65_536
@@ -145,8 +145,9 @@ def shard_of(digest: str, shards: int) -> Column:
 
 
 def build_snapshot(keys: DataFrame) -> Snapshot:
-    buckets = staged(grouped(keys), "exact-buckets")
-    shards = max(1, math.ceil(buckets.count() / SHARD_ROWS))
+    n = keys.count()
+    buckets = staged(grouped(keys), "exact-buckets", n)
+    shards = max(1, math.ceil(n / SHARD_ROWS))
 
     def make(table: pa.Table) -> pa.Table:
         digests = np.unique(table["digest"].to_numpy().astype(np.int64).view(np.uint64))
@@ -157,7 +158,7 @@ def build_snapshot(keys: DataFrame) -> Snapshot:
 
     filters = (buckets.select("digest").distinct().withColumn("shard", shard_of("digest", shards))
                .groupBy("shard").applyInArrow(make, FILTER_SCHEMA))
-    return Snapshot(buckets, staged(filters, "fuse-filters"), shards)
+    return Snapshot(buckets, staged(filters, "fuse-filters", n), shards)
 
 
 def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
@@ -190,9 +191,9 @@ def match_batch(batch: DataFrame, snapshot: Snapshot, batch_docs: DataFrame, sna
     pairs = (batch.join(hits, "digest", "left_semi")
              .join(snapshot.buckets.select("digest", F.col("sha").alias("old_sha"), F.col("first_id").alias("old_id"),
                                            F.col("n").alias("old_n")), "digest"))
-    pairs = staged(pairs, "exact-pairs")
-    new = texts_of(batch_docs, staged(pairs.select(F.col("first_id").alias("_id")).distinct(), "exact-new"))
-    old = texts_of(snapshot_docs, staged(pairs.select(F.col("old_id").alias("_id")).distinct(), "exact-old"))
+    pairs = staged(pairs, "exact-pairs", batch.count())
+    new = texts_of(batch_docs, pairs.select(F.col("first_id").alias("_id")))
+    old = texts_of(snapshot_docs, pairs.select(F.col("old_id").alias("_id")))
     new = new.select(F.col("_id").alias("first_id"), "sha", F.col("norm").alias("new_norm"))
     old = old.select(F.col("_id").alias("old_id"), F.col("sha").alias("old_sha"), F.col("norm").alias("old_norm"))
     checked = pairs.join(new, ["first_id", "sha"]).join(old, ["old_id", "old_sha"])
@@ -205,12 +206,13 @@ def exact_dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
 
     The lower half of the id range is taken as the stored snapshot and the upper half as the incoming batch.
     """
-    keys = staged(keyed(docs, digest_bits), "exact-keys")
+    rows = docs.count()
+    keys = staged(keyed(docs, digest_bits).repartition(max(1, math.ceil(rows / FILE_ROWS))), "exact-keys")
     lo, hi = keys.where(F.col("_id") < F.lit(2**62)).agg(F.min("_id"), F.max("_id")).first()
     middle = 0 if lo is None else (lo + hi) // 2
     is_old, is_old_doc = F.col("_id") <= middle, internal_id() <= middle
     snapshot = build_snapshot(keys.where(is_old))
-    batch = staged(grouped(keys.where(~is_old)), "exact-batch")
+    batch = staged(grouped(keys.where(~is_old)), "exact-batch", rows)
     seen = match_batch(batch, snapshot, docs.where(~is_old_doc), docs.where(is_old_doc))
     merged = batch.join(seen, ["digest", "sha"], "left").select(
         "digest", "sha", F.coalesce("old_id", "first_id").alias("keep"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("size"))
