@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, exact_dedup, language_id, url_filter
+from glossa.llm import bpe_tables, chat_format, exact_dedup, group_matrix, language_id, url_filter
 from glossa.llm.common import Queries, documents
 
 
@@ -28,7 +28,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(documents(spark, sf_dir, "pages"))
 
 
+def op10_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_matrix.jaccard_components(documents(spark, sf_dir))
+
+
 QUERIES: Queries = {f.__name__: f for f in (
-    op2_language_id, op3_exact_dedup, op6_chat_format, op7_bpe_tables, op8_url_filter)}
+    op2_language_id, op3_exact_dedup, op6_chat_format, op7_bpe_tables, op8_url_filter,
+    op10_group_matrix)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE}
