@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, exact_dedup, group_matrix, language_id, url_filter
+from glossa.llm import bpe_tables, chat_format, exact_dedup, group_matrix, language_id, suffix_dedup, url_filter
 from glossa.llm.common import Queries, documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir))
 
@@ -33,7 +37,7 @@ def op10_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: Queries = {f.__name__: f for f in (
-    op2_language_id, op3_exact_dedup, op6_chat_format, op7_bpe_tables, op8_url_filter,
+    op1_suffix_dedup, op2_language_id, op3_exact_dedup, op6_chat_format, op7_bpe_tables, op8_url_filter,
     op10_group_matrix)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE}
