@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import uuid
 from collections.abc import Callable
 
@@ -59,4 +60,22 @@ def fold(modulus: int, col: str = "doc_id") -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of the folder.  Workers find this package also where it isn't installed, if they see the same files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     return read_table(spark, sf_dir, name)
+
+
+def most_frequent(counts: DataFrame, limit: int, n: str = "n") -> DataFrame:
+    """The rows of the largest ``n``: as many whole classes of frequency (an eighth of a power of two wide) as fit in ``limit``.
+
+    The driver gets one row per class, and every task filters by the bound found; no task sorts or keeps the top rows.
+    """
+    scale = F.floor(F.log2(F.col(n).cast("double")) * 8)
+    classes = counts.groupBy(scale.alias("c")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("c")).collect()
+    bound, total = None, 0
+    for r in classes:
+        total += r["rows"]
+        if total > limit:
+            break
+        bound = r["c"]
+    return counts.where(F.lit(False)) if bound is None else counts.where(scale >= bound)

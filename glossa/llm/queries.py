@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, suffix_dedup, url_filter
+from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, suffix_dedup, toxicity, url_filter
 from glossa.llm.common import Queries, documents
 
 
@@ -24,6 +24,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digest(chat_format.with_probe(spark, documents(spark, sf_dir, "conversations")))
 
@@ -41,7 +45,7 @@ def op10_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: Queries = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op6_chat_format, op7_bpe_tables, op8_url_filter,
+    op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op5_toxicity, op6_chat_format, op7_bpe_tables, op8_url_filter,
     op10_group_matrix)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
