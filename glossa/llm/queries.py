@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, suffix_dedup, toxicity, url_filter
+from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, suffix_dedup, toxicity, url_filter, warc_derive
 from glossa.llm.common import Queries, documents
 
 
@@ -40,13 +40,18 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(documents(spark, sf_dir, "pages"))
 
 
+def op9_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derive.derivative_digest(documents(spark, sf_dir, "pages"))
+
+
 def op10_group_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_matrix.jaccard_components(documents(spark, sf_dir))
 
 
 QUERIES: Queries = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op5_toxicity, op6_chat_format, op7_bpe_tables, op8_url_filter,
+    op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op5_toxicity, op6_chat_format, op7_bpe_tables, op8_url_filter, op9_warc_derive,
     op10_group_matrix)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
-          "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE}
+          "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE,
+          "op9_warc_derive": warc_derive.ORACLE}
