@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Documents per block: about 15 MB of ordinary text.
-BLOCK_DOCS = 4096
+#: Documents per block: about 7 MB of ordinary text.
+BLOCK_DOCS = 2048
 #: Bits of a hash that the screen compares.  A wrong match only lets something through that the exact steps refuse later.
 SCREEN_BITS = 48
 

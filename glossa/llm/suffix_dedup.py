@@ -5,17 +5,19 @@ lie within one document, and all strings are judged on the input.
 
 A text of this size can't be sorted in one place, so the strings are brought together by content:
 
-1. Every window of 50 bytes has an anchor: the 24 bytes within it with the smallest hash (all of them, if equal).  Equal windows
+1. Every window of 50 bytes has an anchor: the 24 bytes within it with the smallest hash (the first, if equal).  Equal windows
    have equal anchors.  The screen in ``blocks.py`` finds the anchors that more than one document holds.
 2. Around each such anchor a document has a context: the bytes of all windows that the anchor stands for (50 to 76).
-   Blocks send each different context once, with the smallest id that holds it, to the bin of its anchor.
-3. A bin that gets one form of an anchor's context knows all: its windows are shared by the same documents.  Where there are
-   several forms, those that agree with another one on 13 bytes left or right of the anchor (any shared window does)
-   are joined into one text, and its suffix array (``suffix_array.py``) puts equal windows side by side; runs of suffixes
-   with 50 common bytes give the smallest id of each window.
-4. Blocks get the smallest ids back per context and remove bytes.
-
-The shuffled text is the same for steps 1, 2 and 4, so Spark reuses one exchange.  A passage in a third of all documents reaches
+   Blocks send a hash of each different context (its *form*) and the smallest id that holds it to the bin of the anchor.  A bin that
+   gets one form of an anchor knows all: the windows of that form are held by the same documents.  Of several forms, those that agree
+   with no other on 13 bytes left or right of the anchor (any shared window does) share no window either.
+3. Blocks send the bytes of the other forms.  A bin joins what follows the anchors, and what precedes them read backwards, into one text of
+   8-byte symbols.  Its suffix array (``suffix_array.py``) puts the suffixes that begin at equal anchors side by side, ordered by what follows.
+   Neighbours with enough common bytes form runs; windows with j bytes left of the anchor are equal where both the runs of j common bytes to
+   the left and of ``26 - j`` to the right agree, which gives the smallest id of each window.
+4. Blocks get the smallest ids back per form and remove bytes.
+
+The shuffled text is the same for steps 1 to 4, so Spark reuses one exchange.  A passage in a third of all documents reaches
 a bin once per block and form, never once per document.
 
 Defined results: null text counts as empty; texts under 50 bytes stay whole; a null ``doc_id`` is larger than all others and comes
@@ -71,40 +73,39 @@ def _anchor_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Low bits of a key that hold a place within a step.
+_PLACE_BITS = 18
+_PLACE = _U((1 << _PLACE_BITS) - 1)
+
+
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, re-mixed hash, first window, last window) of all anchors of the texts, in order."""
+    """(place, re-mixed hash, first window, last window) of all anchors of the texts, in order.
+
+    Works in steps; an anchor whose windows reach over a step's end is cut there and joined again at the end.
+    """
     n = len(data)
-    edges = np.zeros(n + 1, np.int32)
+    edges = np.zeros(n + 1, np.int8)
     long = np.flatnonzero(np.diff(bounds) >= MIN_BYTES)
-    np.add.at(edges, bounds[long], 1)
-    np.subtract.at(edges, bounds[long + 1] - MIN_BYTES + 1, 1)
-    valid = np.cumsum(edges[:n], dtype=np.int32) > 0
+    edges[bounds[long]] = 1
+    edges[bounds[long + 1] - MIN_BYTES + 1] = -1
+    valid = np.cumsum(edges[:n], dtype=np.int8).view(bool)
     out: list[list[np.ndarray]] = [[], [], [], []]
-    if n >= MIN_BYTES:
-        for lo in range(0, n, STEP):
-            hi = min(n, lo + STEP)
-            a = max(0, lo - PLACES + 1)
-            z = min(n, hi + MIN_BYTES)
-            if z - a < MIN_BYTES:
-                continue
-            h = _anchor_hashes(data[a:z])
-            ok = valid[a : a + len(h) - PLACES + 1]
-            least = np.where(ok, _slide(h, PLACES, np.minimum), _U(0))  # by window
-            pad = np.zeros(PLACES - 1, _U)
-            top = _slide(np.concatenate([pad, least, pad]), PLACES, np.maximum)  # by place: over the windows that hold it
-            at = np.flatnonzero((top == h) & (top > 0))
-            at = at[(at >= lo - a) & (at < hi - a)]
-            mine = h[at]
-            first, last = np.full(len(at), -1), np.full(len(at), -1)
-            for back in range(PLACES - 1, -1, -1):
-                s = at - back
-                inside = (s >= 0) & (s < len(least))
-                hit = inside & (least[np.where(inside, s, 0)] == mine)
-                first = np.where(hit & (first < 0), s, first)
-                last = np.where(hit, s, last)
-            for column, values in zip(out, (at + a, mix(mine), first + a, last + a)):
-                column.append(values)
-    return tuple(np.concatenate(c) if c else np.zeros(0, _U if i == 1 else np.int64) for i, c in enumerate(out))
+    for lo in range(0, n - MIN_BYTES + 1, STEP):  # windows that start in lo..hi
+        hi = min(n - MIN_BYTES + 1, lo + STEP)
+        h = _anchor_hashes(data[lo : hi + MIN_BYTES - 1])
+        key = (h & ~_PLACE) | np.arange(len(h), dtype=_U)
+        at = (_slide(key, PLACES, np.minimum) & _PLACE).astype(np.int64)  # by window
+        ok = valid[lo:hi]
+        turn = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (ok[1:] != ok[:-1])]))
+        last = np.append(turn[1:], len(at)) - 1
+        turn, last = turn[ok[turn]], last[ok[turn]]
+        for column, values in zip(out, (at[turn] + lo, h[at[turn]], turn + lo, last + lo)):
+            column.append(values)
+    place, h, first, last = (np.concatenate(c) if c else np.zeros(0, _U if i == 1 else np.int64) for i, c in enumerate(out))
+    again = np.flatnonzero((place[1:] == place[:-1]) & (first[1:] == last[:-1] + 1)) + 1
+    last[again - 1] = last[again]
+    place, h, first, last = (np.delete(c, again) for c in (place, h, first, last))
+    return place, mix(h), first, last
 
 
 def contexts(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -131,70 +132,104 @@ def _screened(hashes: np.ndarray) -> np.ndarray:
     return hashes >> _U(64 - B.SCREEN_BITS)
 
 
-def _empty(schema: dict[str, pa.DataType]) -> pa.Table:
-    return pa.table({k: pa.array([], t) for k, t in schema.items()})
+_LONG, _BYTES = pa.int64(), pa.binary()
+#: Arrays travel as binary cells, one per block and bin.
+FORMS = {"bin": _LONG, "block": _LONG, "anchor": _BYTES, "form": _BYTES, "left": _BYTES, "right": _BYTES, "least": _BYTES, "more": _BYTES}
+#: ``ask``: the form's bytes are wanted; ``count`` smallest ids per form, one if all its windows have the same.
+FOUND = {"block": _LONG, "ask": pa.bool_(), "anchor": _BYTES, "form": _BYTES, "count": _BYTES, "least": _BYTES}
+TEXTS = {"bin": _LONG, "block": _LONG, "anchor": _BYTES, "form": _BYTES, "side": _BYTES, "size": _BYTES, "least": _BYTES, "bytes": _BYTES}
 
 
-ENTRIES = {"bin": pa.int64(), "block": pa.int64(), "hashes": pa.binary(), "again": pa.binary()}
-FORMS = {"bin": pa.int64(), "block": pa.int64(), "anchor": pa.binary(), "form": pa.binary(), "side": pa.binary(), "size": pa.binary(),
-         "least": pa.binary(), "more": pa.binary(), "bytes": pa.binary()}
-FOUND = {"block": pa.int64(), "anchor": pa.binary(), "form": pa.binary(), "count": pa.binary(), "least": pa.binary()}
+def _ddl(schema: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"{k} {({_LONG: 'long', _BYTES: 'binary'}.get(t, 'boolean'))}" for k, t in schema.items())
 
 
-def _ddl(schema: dict[str, pa.DataType]) -> str:
-    return ", ".join(f"{k} {'long' if t == pa.int64() else 'binary'}" for k, t in schema.items())
+def _bins_of(anchor: np.ndarray, bins: int) -> list[tuple[int, int, int]]:
+    """(bin, from, to) of sorted anchors."""
+    cuts = np.searchsorted(((anchor >> _U(32)) * _U(bins)) >> _U(32), np.arange(bins + 1, dtype=_U))
+    return [(i, x, y) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+
+
+def _cells(values: np.ndarray, parts: list[tuple[int, int, int]]) -> pa.Array:
+    return pa.array([values[x:y].tobytes() for _, x, y in parts], _BYTES)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Marks the first of each run of equal rows."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _nothing(schema: dict[str, pa.DataType]) -> pa.Table:
+    return pa.table({k: pa.array([], t) for k, t in schema.items()})
+
+
+_ENTRIES = {"bin": _LONG, "block": _LONG, "hashes": _BYTES, "again": _BYTES}
 
 
 def _send_anchors(bins: int):
     def send(docs: pa.Table) -> pa.Table:
         data, bounds = text_bytes(docs["text"])
         place, h, _, _ = anchors(data, bounds)
+        if not len(h):
+            return _nothing(_ENTRIES)
         doc = np.unique(docs["_id"].to_numpy(), return_inverse=True)[1][np.searchsorted(bounds, place, "right") - 1]
         h = _screened(h)
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        stops = np.append(starts[1:], len(h))
-        again = doc[starts] != doc[stops - 1]
+        starts = np.flatnonzero(_starts(h))
+        again = doc[starts] != doc[np.append(starts[1:], len(h)) - 1]
         return B.entries(docs["block"][0].as_py(), h[starts], again, bins)
 
     return send
 
 
+def _sides(rows: np.ndarray, side: np.ndarray, size: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit hashes of the anchor with ``SIDE`` bytes to its left and to its right; 0 where there are fewer."""
+    reach = np.arange(16)
+    left = np.take_along_axis(rows, np.maximum(side[:, None] - 1 - reach, 0), 1) * (reach < SIDE)
+    right = np.take_along_axis(rows, np.minimum(side[:, None] + ANCHOR + reach, WIDTH - 1), 1) * (reach < SIDE)
+    out = []
+    for part, enough in ((left, side >= SIDE), (right, size - side - ANCHOR >= SIDE)):
+        key = h.copy()
+        with np.errstate(over="ignore"):
+            for word in np.ascontiguousarray(part.astype(np.uint8)).view("<u8").T:
+                key = mix((key ^ word) * _M1 + _M2)
+        out.append(np.where(enough, (key >> _U(48)) | _U(1), _U(0)).astype(np.uint16))
+    return out[0], out[1]
+
+
+def _forms_in(docs: pa.Table, wanted) -> tuple:
+    """The anchors of a block that ``wanted`` (hashes -> marks) picks: data, bounds, ids, hash, first, last, side, context rows, sizes, forms."""
+    data, bounds = text_bytes(docs["text"])
+    place, h, first, last = anchors(data, bounds)
+    keep = wanted(h)
+    place, h, first, last = (x[keep] for x in (place, h, first, last))
+    doc = docs["_id"].to_numpy()[np.searchsorted(bounds, place, "right") - 1]
+    size = last + MIN_BYTES - first
+    rows = contexts(data, first, last)
+    return data, bounds, doc, h, first, last, place - first, rows, size, context_ids(rows, h, size)
+
+
 def _send_forms(bins: int):
     def send(docs: pa.Table, notes: pa.Table) -> pa.Table:
         shared = B.gathered(iter(notes["hashes"].to_pylist())) if docs.num_rows else ()
         if not len(shared):
-            return _empty(FORMS)
-        data, bounds = text_bytes(docs["text"])
-        place, h, first, last = anchors(data, bounds)
-        keep = B.held(_screened(h), shared)
-        place, h, first, last = (x[keep] for x in (place, h, first, last))
+            return _nothing(FORMS)
+        _, _, doc, h, _, _, side, rows, size, form = _forms_in(docs, lambda h: B.held(_screened(h), shared))
         if not len(h):
-            return _empty(FORMS)
-        doc = docs["_id"].to_numpy()[np.searchsorted(bounds, place, "right") - 1]
-        size = last + MIN_BYTES - first
-        rows = contexts(data, first, last)
-        form = context_ids(rows, h, size)
+            return _nothing(FORMS)
         order = np.lexsort((doc, form, h))
-        h, form, doc = h[order], form[order], doc[order]
-        starts = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (form[1:] != form[:-1])]))
+        starts = np.flatnonzero(_starts(h[order], form[order]))
         stops = np.append(starts[1:], len(h))
-        more = (doc[starts] != doc[stops - 1]).astype(np.uint8)
         one = order[starts]
-        h, form, least = h[starts], form[starts], doc[starts]
-        rows, size, side = rows[one], size[one].astype(np.uint8), (place - first)[one].astype(np.uint8)
-        at = (((h >> _U(32)) * _U(bins)) >> _U(32)).astype(np.int64)
-        cuts = np.searchsorted(at, np.arange(bins + 1))
-        out = [(i, x, y) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
-        inside = np.arange(WIDTH) < size[:, None]
-
-        def cells(values: np.ndarray) -> pa.Array:
-            return pa.array([values[x:y].tobytes() for _, x, y in out], pa.binary())
-
-        return pa.table({"bin": pa.array([i for i, _, _ in out], pa.int64()), "block": pa.array([docs["block"][0].as_py()] * len(out), pa.int64()),
-                         "anchor": cells(h), "form": cells(form), "side": cells(side), "size": cells(size), "least": cells(least), "more": cells(more),
-                         "bytes": pa.array([rows[x:y][inside[x:y]].tobytes() for _, x, y in out], pa.binary())})
+        more = (doc[one] != doc[order[stops - 1]]).astype(np.uint8)
+        left, right = _sides(rows[one], side[one], size[one], h[one])
+        parts = _bins_of(h[one], bins)
+        return pa.table({"bin": pa.array([i for i, _, _ in parts], _LONG), "block": pa.array([docs["block"][0].as_py()] * len(parts), _LONG),
+                         "anchor": pa.array([B.pack(h[one][x:y]) for _, x, y in parts], _BYTES),
+                         **{k: _cells(v, parts) for k, v in (("form", form[one]), ("left", left), ("right", right), ("least", doc[one]), ("more", more))}})
 
     return send
 
@@ -203,93 +238,146 @@ def _column(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
 
-def _alike(anchor: np.ndarray, part: np.ndarray, enough: np.ndarray) -> np.ndarray:
-    """Which rows have another row with the same anchor and the same ``SIDE`` bytes; rows with fewer bytes have none."""
-    key = anchor.copy()
+def _alike(key: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Which rows have a (non-zero) key that another row has with the same anchor."""
+    out = np.zeros(len(key), bool)
+    enough = np.flatnonzero(key)
     with np.errstate(over="ignore"):
-        for word in np.ascontiguousarray(part).view("<u8").T:
-            key = mix((key ^ word) * _M1 + _M2)
-    _, inverse, n = np.unique(key[enough], return_inverse=True, return_counts=True)
-    out = np.zeros(len(anchor), bool)
+        both = mix(anchor[enough] * _M1 + key[enough].astype(_U))
+    _, inverse, n = np.unique(both, return_inverse=True, return_counts=True)
     out[enough] = n[inverse] > 1
     return out
 
 
-def window_minima(rows: np.ndarray, size: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For contexts (padded rows): the smallest ``least`` over all equal windows, flat by context and window, and each context's first window.
+def _settle(table: pa.Table) -> pa.Table:
+    """One bin: the smallest id of each form that shares windows only as a whole; the other forms are asked for."""
+    cells = [B.unpack(x) for x in table["anchor"].to_pylist()]
+    anchor, form, least = np.concatenate(cells), _column(table, "form", _U), _column(table, "least", np.int64)
+    left, right, more = _column(table, "left", np.uint16), _column(table, "right", np.uint16), _column(table, "more", np.uint8)
+    order = np.lexsort((least, form, anchor))
+    new = _starts(anchor[order], form[order])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1  # form number by row
+    one = order[new]  # the row of each form with its smallest id
+    _, inverse, n = np.unique(anchor[one], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(n[inverse] > 1)
+    ask = np.zeros(len(one), bool)
+    a = anchor[one[several]]
+    ask[several] = _alike(left[one[several]], a) | _alike(right[one[several]], a ^ _M2)
+    lowest = least[one][which]
+    ask = ask[which]
+    useful = ~ask & ((lowest < least) | (more > 0))
+    out: dict[str, list] = {k: [] for k in FOUND}
+    lo = 0
+    for block, c in zip(table["block"].to_pylist(), map(len, cells)):
+        for asked, marks in ((False, useful), (True, ask)):
+            rows = np.flatnonzero(marks[lo : lo + c]) + lo
+            if len(rows):
+                values = (block, asked, B.pack(anchor[rows]), form[rows].tobytes(), np.ones(len(rows), np.uint8).tobytes(), lowest[rows].tobytes())
+                for k, v in zip(FOUND, values):
+                    out[k].append(v)
+        lo += c
+    return pa.table({k: pa.array(v, FOUND[k]) for k, v in out.items()})
+
+
+def _told(found: pa.Table) -> tuple[np.ndarray, ...]:
+    """(sorted anchors, sorted forms, count, first value by form, values) of what bins told a block."""
+    anchor = np.sort(np.concatenate([B.unpack(x) for x in found["anchor"].to_pylist()])) if found.num_rows else np.zeros(0, _U)
+    form, count = _column(found, "form", _U), _column(found, "count", np.uint8).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(count)])[:-1]
+    order = np.argsort(form)
+    return anchor, form[order], count[order], begin[order], _column(found, "least", np.int64)
+
+
+def _send_texts(bins: int):
+    def send(docs: pa.Table, found: pa.Table) -> pa.Table:
+        if not docs.num_rows or not found.num_rows:
+            return _nothing(TEXTS)
+        anchor, told, _, begin, least = _told(found)
+        _, _, _, h, _, _, side, rows, size, form = _forms_in(docs, lambda h: B.held(h, anchor))
+        order = np.lexsort((form, h))
+        order = order[_starts(h[order], form[order]) & B.held(form[order], told)]
+        h, form, rows, side, size = h[order], form[order], rows[order], side[order].astype(np.uint8), size[order].astype(np.uint8)
+        least = least[begin[np.searchsorted(told, form)]]
+        parts = _bins_of(h, bins)
+        inside = np.arange(WIDTH) < size[:, None]
+        return pa.table({"bin": pa.array([i for i, _, _ in parts], _LONG), "block": pa.array([docs["block"][0].as_py()] * len(parts), _LONG),
+                         "anchor": pa.array([B.pack(h[x:y]) for _, x, y in parts], _BYTES),
+                         **{k: _cells(v, parts) for k, v in (("form", form), ("side", side), ("size", size), ("least", least))},
+                         "bytes": pa.array([rows[x:y][inside[x:y]].tobytes() for _, x, y in parts], _BYTES)})
+
+    return send
+
+
+def _runs(anchor: np.ndarray, sides: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of ``sides`` (rows of bytes that lead away from equal anchors): every row's rank, and the bytes that it has in common with the one before.
 
-    One suffix array over all contexts, a separator after each; suffixes that start a window and share 50 bytes are neighbours.
+    One suffix array over all rows of all sides, as 8-byte symbols behind a symbol for side and anchor.
     """
-    inside = np.arange(WIDTH) <= size[:, None]  # with one separator
-    text = np.where(np.arange(WIDTH) < size[:, None], rows.astype(np.int16) + 1, 0)[inside]
-    owner = np.repeat(np.arange(len(rows)), size + 1)
-    start = np.concatenate([[0], np.cumsum(size + 1)])
-    begin = np.concatenate([[0], np.cumsum(size - MIN_BYTES + 1)])
+    n, width = len(anchor), sides[0].shape[1] // 8
+    names = np.unique(anchor, return_inverse=True)[1]
+    words = np.unique(np.concatenate([np.ascontiguousarray(s).view(">u8").astype(_U) for s in sides]), return_inverse=True)[1].reshape(-1, width)
+    heads = np.concatenate([names + k * n for k in range(len(sides))])  # symbols of their own, before all others
+    text = np.concatenate([heads[:, None], words + len(sides) * n], axis=1).ravel()
     order = suffix_array(text)
-    who = owner[order]
-    offset = order - start[who]
-    full = offset <= size[who] - MIN_BYTES
-    order, who, offset = order[full], who[full], offset[full]
-    windows = np.lib.stride_tricks.sliding_window_view(text, MIN_BYTES)
-    new = np.ones(len(order), bool)
-    for lo in range(1, len(order), 65_536):
-        hi = min(len(order), lo + 65_536)
-        new[lo:hi] = (windows[order[lo:hi]] != windows[order[lo - 1 : hi - 1]]).any(axis=1)
-    runs = np.flatnonzero(new)
-    smallest = np.minimum.reduceat(least[who], runs)[np.cumsum(new) - 1]
+    order = order[order % (width + 1) == 0] // (width + 1)
+    out = []
+    for k, side in enumerate(sides):
+        mine = order[order // n == k] - k * n
+        rows, heads = side[mine], names[mine]
+        differ = rows[1:] != rows[:-1]
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+        common = np.concatenate([[-1], np.where(heads[1:] == heads[:-1], common, -1)])
+        rank = np.empty(n, np.int64)
+        rank[mine] = np.arange(n)
+        out.append((rank, common))
+    return out
+
+
+def window_minima(anchor: np.ndarray, rows: np.ndarray, side: np.ndarray, size: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For contexts (padded rows): the smallest ``least`` over all equal windows, flat by context and window, and each context's first window."""
+    reach = np.arange(32)
+    after = side + ANCHOR
+    right = np.where(reach < (size - after)[:, None], np.take_along_axis(rows, np.minimum(after[:, None] + reach, WIDTH - 1), 1), 0).astype(np.uint8)
+    left = np.where(reach < side[:, None], np.take_along_axis(rows, np.maximum(side[:, None] - 1 - reach, 0), 1), 0).astype(np.uint8)
+    (rank_l, common_l), (rank_r, common_r) = _runs(anchor, [left, right])
+    begin = np.concatenate([[0], np.cumsum(size - MIN_BYTES + 1)])
     out = np.zeros(begin[-1], np.int64)
-    out[begin[who] + offset] = smallest
+    for j in range(PLACES):
+        which = np.flatnonzero((side >= j) & (size - after >= PLACES - 1 - j))
+        run_l, run_r = np.cumsum(common_l < j)[rank_l[which]], np.cumsum(common_r < PLACES - 1 - j)[rank_r[which]]
+        if not len(which):
+            continue
+        _, same = np.unique(run_l * (len(rows) + 1) + run_r, return_inverse=True)
+        lowest = np.full(same.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(lowest, same, least[which])
+        out[begin[which] + side[which] - j] = lowest[same]
     return out, begin
 
 
-def _match_forms(table: pa.Table) -> pa.Table:
-    """One bin: the smallest id of every window of every form, back to the blocks where it can remove something."""
-    counts = np.array([len(x) // 8 for x in table["anchor"].to_pylist()])
-    anchor, form, least = _column(table, "anchor", _U), _column(table, "form", _U), _column(table, "least", np.int64)
-    side, size, more = (_column(table, c, np.uint8).astype(np.int64) for c in ("side", "size", "more"))
+def _match(table: pa.Table) -> pa.Table:
+    """One bin: the smallest id of every window of the forms that were asked for, to each block that holds them."""
+    cells = [B.unpack(x) for x in table["anchor"].to_pylist()]
+    form, size, least = _column(table, "form", _U), _column(table, "size", np.uint8).astype(np.int64), _column(table, "least", np.int64)
     flat = _column(table, "bytes", np.uint8)
-    order = np.lexsort((least, form, anchor))
-    new = np.ones(len(order), bool)
-    new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (form[order][1:] != form[order][:-1])
-    one = order[new]  # a row for each form: its smallest id
-    which = np.empty(len(order), np.int64)
-    which[order] = np.cumsum(new) - 1  # form number by row
-    f_anchor, f_least, f_size, f_side = anchor[one], least[one], size[one], side[one]
-    forms_of = np.unique(f_anchor, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(forms_of[2][forms_of[1]] > 1)
-    lowest = f_least.copy()  # smallest id over a form's windows
-    varied: dict[int, np.ndarray] = {}
-    if len(several):
-        starts = np.concatenate([[0], np.cumsum(size)])[:-1][one[several]]
-        n, at = f_size[several], f_side[several]
-        rows = np.where(np.arange(WIDTH) < n[:, None], flat[np.minimum(starts[:, None] + np.arange(WIDTH), len(flat) - 1)], 0).astype(np.uint8)
-        reach = np.arange(16) < SIDE
-        left = np.take_along_axis(rows, np.maximum(at[:, None] - 1 - np.arange(16), 0), 1) * reach
-        right = np.take_along_axis(rows, np.minimum(at[:, None] + ANCHOR + np.arange(16), WIDTH - 1), 1) * reach
-        a = f_anchor[several]
-        alike = _alike(a, left.astype(np.uint8), at >= SIDE) | _alike(a ^ _M2, right.astype(np.uint8), n - at - ANCHOR >= SIDE)
-        rows, n, several = rows[alike], n[alike], several[alike]
-        if len(several):
-            minima, begin = window_minima(rows, n, f_least[several])
-            lowest[several] = np.minimum.reduceat(minima, begin[:-1])
-            highest = np.maximum.reduceat(minima, begin[:-1])
-            for k, i in enumerate(several.tolist()):
-                if lowest[i] != highest[k]:
-                    varied[i] = minima[begin[k] : begin[k + 1]]
-    useful = (lowest[which] < least) | (more > 0)
+    _, one, which = np.unique(form, return_index=True, return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(size)])[:-1][one]
+    n = size[one]
+    rows = np.where(np.arange(WIDTH) < n[:, None], flat[np.minimum(starts[:, None] + np.arange(WIDTH), len(flat) - 1)], 0).astype(np.uint8)
+    side = _column(table, "side", np.uint8).astype(np.int64)[one]
+    minima, begin = window_minima(np.concatenate(cells)[one], rows, side, n, least[one])
+    lowest, highest = np.minimum.reduceat(minima, begin[:-1]), np.maximum.reduceat(minima, begin[:-1])
+    count = np.where(lowest == highest, 1, np.diff(begin))
+    values = [minima[x : x + c] for x, c in zip(begin[:-1].tolist(), count.tolist())]
     out: dict[str, list] = {k: [] for k in FOUND}
     lo = 0
-    for block, c in zip(table["block"].to_pylist(), counts.tolist()):
-        rows = np.flatnonzero(useful[lo : lo + c]) + lo
-        lo += c
-        if not len(rows):
-            continue
-        values = [varied.get(i) for i in which[rows].tolist()]
-        out["block"].append(block)
-        out["anchor"].append(anchor[rows].tobytes())
-        out["form"].append(form[rows].tobytes())
-        out["count"].append(np.array([1 if v is None else len(v) for v in values], np.uint8).tobytes())
-        out["least"].append(np.concatenate([lowest[which[r] : which[r] + 1] if v is None else v for r, v in zip(rows.tolist(), values)]).tobytes())
+    for block, cell in zip(table["block"].to_pylist(), cells):
+        mine = which[lo : lo + len(cell)]
+        told = (block, False, B.pack(cell), form[lo : lo + len(cell)].tobytes(), count[mine].astype(np.uint8).tobytes(),
+                np.concatenate([values[i] for i in mine.tolist()]).tobytes())
+        for k, v in zip(FOUND, told):
+            out[k].append(v)
+        lo += len(cell)
     return pa.table({k: pa.array(v, FOUND[k]) for k, v in out.items()})
 
 
@@ -302,18 +390,10 @@ def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
     ids = docs["_id"].to_numpy()
     edges = np.zeros(len(data) + 1, np.int32)
     if docs.num_rows and found.num_rows:
-        form, anchor = _column(found, "form", _U), _column(found, "anchor", _U)
-        count, least = _column(found, "count", np.uint8).astype(np.int64), _column(found, "least", np.int64)
-        begin = np.concatenate([[0], np.cumsum(count)])[:-1]
-        order = np.argsort(form)
-        form, count, begin = form[order], count[order], begin[order]
-        place, h, first, last = anchors(data, bounds)
-        keep = B.held(h, np.sort(anchor))
-        place, h, first, last = (x[keep] for x in (place, h, first, last))
-        mine = context_ids(contexts(data, first, last), h, last + MIN_BYTES - first)
-        keep = B.held(mine, form)
-        place, first, last, at = place[keep], first[keep], last[keep], np.searchsorted(form, mine[keep])
-        doc = ids[np.searchsorted(bounds, place, "right") - 1]
+        anchor, told, count, begin, least = _told(found)
+        _, _, doc, _, first, last, _, _, _, form = _forms_in(docs, lambda h: B.held(h, anchor))
+        keep = B.held(form, told)
+        doc, first, last, at = doc[keep], first[keep], last[keep], np.searchsorted(told, form[keep])
         whole = (count[at] == 1) & (least[begin[at]] < doc)
         np.add.at(edges, first[whole], 1)
         np.subtract.at(edges, last[whole] + MIN_BYTES, 1)
@@ -325,7 +405,7 @@ def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
             hit = least[begin[at[row]] + step] < doc[row]
             np.add.at(edges, (first[row] + step)[hit], 1)
             np.subtract.at(edges, (first[row] + step)[hit] + MIN_BYTES, 1)
-    gone = np.cumsum(edges[:-1]) > 0
+    gone = np.cumsum(edges[:-1], dtype=np.int32) > 0
     raw = data.tobytes()
     spans, kept = [], []
     for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -348,7 +428,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     dealt = B.with_block(docs.select(internal_id().alias("_id"), F.col("text").cast("string").alias("text")), n)
     shared = B.shared_hashes(dealt.groupBy("block").applyInArrow(_send_anchors(n), B.ENTRY_SCHEMA))
     forms = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_forms(n), _ddl(FORMS))
-    found = forms.groupBy("bin").applyInArrow(_match_forms, _ddl(FOUND))
+    settled = forms.groupBy("bin").applyInArrow(_settle, _ddl(FOUND))
+    texts = dealt.groupBy("block").cogroup(settled.where("ask").groupBy("block")).applyInArrow(_send_texts(n), _ddl(TEXTS))
+    matched = texts.groupBy("bin").applyInArrow(_match, _ddl(FOUND))
+    found = settled.where("NOT ask").unionByName(matched)
     cut = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_remove, RESULT)
     return cut.select(external_id("_id").alias("doc_id"), "n_bytes", "spans", "kept")
 
