@@ -6,7 +6,8 @@ unescaping restores any text.
 
 Windows come from prefix sums of turn tokens: a turn that lies within one slot of
 ``budget - system - history`` tokens goes to that slot's window, a turn that crosses a slot's end gets a window of its
-own.  So windows are aligned with turns and hold at most ``budget`` tokens, unless one turn alone is longer.
+own.  So windows are aligned with turns and hold at most ``budget`` tokens, unless one turn alone is longer or the system turn
+leaves new turns less than ``LEAST_ROOM`` tokens, which they get in any case.
 Every window repeats the system turn and those turns before it that start within the last
 ``history`` tokens; repeated turns are never in the loss mask, so each assistant text is a target exactly once.
 
@@ -24,6 +25,7 @@ BUDGET = 512
 HISTORY = 96
 #: Tokens that a turn's marks count for.
 OVERHEAD = 4
+LEAST_ROOM = 64
 
 ESCAPES = [("\\", "\\b"), ("<", "\\l"), ("#", "\\h")]
 
@@ -71,7 +73,7 @@ def format_chat(conversations: DataFrame, budget: int = BUDGET, history: int = H
     turns = (turns.withColumn("stop", F.sum("weight").over(by_conv.orderBy("nth")))
              .withColumn("start", F.col("stop") - F.col("weight"))
              .withColumn("system", F.max(F.when(F.col("is_system"), F.struct(F.col("t.piece"), "tokens"))).over(by_conv)))
-    room = F.greatest(F.lit(budget - history) - F.coalesce(F.col("system.tokens"), F.lit(0)), F.lit(64))
+    room = F.greatest(F.lit(budget - history) - F.coalesce(F.col("system.tokens"), F.lit(0)), F.lit(LEAST_ROOM))
     first_slot, last_slot = F.floor(F.col("start") / room), F.floor((F.greatest("stop", F.lit(1)) - 1) / room)
     crossing = ~F.col("is_system") & (last_slot > first_slot)
     before = by_conv.orderBy("start").rangeBetween(-history, -1)
