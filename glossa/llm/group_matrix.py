@@ -9,10 +9,11 @@ components of the links.  Exact, up to the 64-bit hashes that stand for shingles
 3. *Groups.*  The remaining sets are partitioned by the smallest of their re-hashed shingles, which similar sets mostly have
    in common; large partitions are cut into groups of bounded size.  Inside a group all pairs are
    compared.  A second such partition, and a pivot that all groups of one partition share, join most of what belongs together.
-4. *Token-group matrix.*  Every group's token union is stored as (token, group) in token bins.  A bin counts the tokens
-   that a set shares with each group; the sums bound the overlap of a set with any member.  Only groups that could hold a
-   partner are opened.  Groups that are wholly in the set's own component needn't be opened, so a
-   family of near copies isn't compared pair by pair.
+4. *Token-group matrix.*  The token unions of the groups are stored as (token, group) in token bins.  First the bins tell each set which of its
+   shingles sets of another component hold; with fewer than ``ceil(0.75 n)`` of them it has no partner left to find.  The others look up their
+   rarest shingles, as many as a partner can't miss all of, and get the groups that they could have a partner in.
+   The set's overlap with such a group's union bounds its overlap with any member; only groups that reach the bound are opened and compared.
+   Groups that are wholly in the set's own component needn't be opened, so a family of near copies isn't compared pair by pair.
 5. Components over all links give the result.
 
 Steps 3's partitions only save work: every pair from different components that could be linked is found by step 4.
@@ -45,7 +46,7 @@ QUERY_SETS = 512
 BIN_TOKENS = 1_000_000
 
 _U = np.uint64
-#: The half of the hash range that the screen and the matrix use.
+#: The half of the hash range that the screen uses.
 _HALF = _U(1 << 63)
 
 
@@ -136,7 +137,7 @@ def _rows_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def links_between(queries: pa.Table, members: pa.Table, same: bool) -> list[tuple[int, int]]:
-    """Verified links of queries with members; with ``same`` (one table) a spanning set of them.
+    """A spanning set of the verified links of queries with members (of all pairs with ``same``: one table).
 
     First the bound: the number of a query's tokens in the members' union.  Only queries that reach it are compared.
     """
@@ -144,7 +145,7 @@ def links_between(queries: pa.Table, members: pa.Table, same: bool) -> list[tupl
     union, place = np.unique(mt, return_inverse=True)
     sizes = np.diff(mb)
     out = []
-    parent = list(range(len(mn)))
+    parent = list(range(len(mn) + (0 if same else queries.num_rows)))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -166,13 +167,11 @@ def links_between(queries: pa.Table, members: pa.Table, same: bool) -> list[tupl
         present[at] = False
         hit = np.flatnonzero(100 * both >= PERCENT * (sizes + len(tokens) - both))
         for j in hit.tolist():
-            if same:
-                x, y = find(i), find(j)
-                if x == y:
-                    continue
+            x, y = find(i if same else len(mn) + i), find(j)
+            if x != y:
                 parent[x] = y
-            if node != int(mn[j]):
-                out.append((node, int(mn[j])))
+                if node != int(mn[j]):
+                    out.append((node, int(mn[j])))
     return out
 
 
@@ -198,79 +197,107 @@ def in_groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed.where("k = 1").select("node", "gid"), links
 
 
-def matrix_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, n_tokens: int) -> DataFrame:
-    """Links between sets of different groups and components, through the token-group matrix."""
-    known = groups.join(labels, "node", "left").select("node", "gid", F.coalesce("label", "node").alias("label"))
-    pure = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
-        "gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(-1)).alias("pure"))
-    known = staged(known.join(pure, "gid"), "matrix-known")
-    bins = max(1, math.ceil(n_tokens / 2 / BIN_TOKENS))
+_ENTRIES = "bin long, token array<long>, at array<int>, node array<long>, gid array<long>, label array<long>, pure array<long>"
+
+
+def _to_bins(bins: int):
+    """A batch of sets as one row per token bin: its tokens in order, the set of each, and the sets' columns."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tokens = b["tokens"].flatten().to_numpy().view(_U)
-            row = np.repeat(np.arange(b.num_rows), np.diff(b["tokens"].offsets.to_numpy()))
-            low = tokens < _HALF
-            tokens, row = tokens[low], row[low]
+            at = np.repeat(np.arange(b.num_rows, dtype=np.int32), np.diff(b["tokens"].offsets.to_numpy()))
             order = np.argsort(tokens, kind="stable")
-            tokens, row = tokens[order], row[order]
-            at = ((tokens >> _U(32)) * _U(bins)) >> _U(31)
-            cuts = np.searchsorted(at, np.arange(bins + 1, dtype=_U))
-            cols = {k: b[k].to_numpy() for k in ("node", "gid", "label", "pure")}
-            rows = [(i, x, y) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+            tokens, at = tokens[order], at[order]
+            cuts = np.searchsorted(((tokens >> _U(32)) * _U(bins)) >> _U(32), np.arange(bins + 1, dtype=_U))
+            parts = [(i, x, y) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
             yield pa.record_batch(
-                [pa.array([i for i, _, _ in rows], pa.int64()), pa.array([tokens[x:y].view(np.int64) for _, x, y in rows], pa.list_(pa.int64())),
-                 *[pa.array([v[row[x:y]] for _, x, y in rows], pa.list_(pa.int64())) for v in cols.values()]], ["bin", "token", *cols])
-
-    def count(table: pa.Table) -> pa.Table:
-        token, node, gid, label, pure = (table[k].combine_chunks().flatten().to_numpy() for k in ("token", "node", "gid", "label", "pure"))
-        order = np.lexsort((gid, token))
-        token, node, gid, label, pure = (x[order] for x in (token, node, gid, label, pure))
-        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        lo, hi = np.minimum.reduceat(label, starts), np.maximum.reduceat(label, starts)
-        stops = np.append(starts[1:], len(token))
-        keep = lo != hi
-        parts: list[tuple] = []
-        size = 0
-        sums = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-        def fold() -> tuple:
-            q = np.concatenate([sums[0], *[p[0] for p in parts]])
-            g = np.concatenate([sums[1], *[p[1] for p in parts]])
-            n = np.concatenate([sums[2], *[np.ones(len(p[0]), np.int64) for p in parts]])
-            o = np.lexsort((g, q))
-            q, g, n = q[o], g[o], n[o]
-            if not len(q):
-                return q, g, n
-            new = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (g[1:] != g[:-1])]))
-            return q[new], g[new], np.add.reduceat(n, new)
-
-        for s, e in zip(starts[keep].tolist(), stops[keep].tolist()):
-            g, where = np.unique(gid[s:e], return_index=True)
-            p = pure[s:e][where]
-            for x in range(s, e, 1024):  # the sets that hold the token, against its groups of higher number
-                y = min(e, x + 1024)
-                ok = (gid[x:y, None] < g[None, :]) & (label[x:y, None] != p[None, :])
-                a, b = np.nonzero(ok)
-                if len(a):
-                    parts.append((node[x:y][a], g[b]))
-                    size += len(a)
-                if size > 2_000_000:
-                    sums, parts, size = fold(), [], 0
-        sums = fold()
-        return pa.table({"node": sums[0], "gid": sums[1], "hits": sums[2]})
+                [pa.array([i for i, _, _ in parts], pa.int64()), pa.array([tokens[x:y].view(np.int64) for _, x, y in parts], pa.list_(pa.int64())),
+                 pa.array([at[x:y] for _, x, y in parts], pa.list_(pa.int32())),
+                 *[pa.array([b[k].to_numpy()] * len(parts), pa.list_(pa.int64())) for k in ("node", "gid", "label", "pure")]],
+                ["bin", "token", "at", "node", "gid", "label", "pure"])
+
+    return send
+
+
+def _bin_entries(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """token, node, gid, label, pure of a bin's entries, by token and group, and the first entry of each token."""
+    cols = {k: [x.values.to_numpy() for x in table[k]] for k in ("token", "at", "node", "gid", "label", "pure")}
+    token = np.concatenate(cols["token"])
+    node, gid, label, pure = (np.concatenate([v[at] for v, at in zip(cols[k], cols["at"])]) for k in ("node", "gid", "label", "pure"))
+    order = np.lexsort((gid, token))
+    token, node, gid, label, pure = (x[order] for x in (token, node, gid, label, pure))
+    return token, node, gid, label, pure, np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+
+
+def _foreign_tokens(table: pa.Table) -> pa.Table:
+    """Per set of a bin: its tokens that another component holds too, with the number of sets that hold them."""
+    token, node, _, label, _, starts = _bin_entries(table)
+    n = np.diff(np.append(starts, len(token)))
+    keep = np.repeat(np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts), n)
+    token, node, df = token[keep], node[keep], np.repeat(n, n)[keep]
+    order = np.argsort(node, kind="stable")
+    token, node, df = token[order], node[order], df[order]
+    first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
+    offsets = pa.array(np.append(first, len(node)), pa.int32())
+    return pa.table({"node": node[first], "token": pa.ListArray.from_arrays(offsets, pa.array(token, pa.int64())),
+                     "df": pa.ListArray.from_arrays(offsets, pa.array(df, pa.int64()))})
+
+
+def _groups_to_open(table: pa.Table) -> pa.Table:
+    """Distinct (set, group of higher number) that share a token of the bin and aren't in one component."""
+    token, node, gid, label, pure, starts = _bin_entries(table)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def distinct() -> tuple[np.ndarray, np.ndarray]:
+        q, g = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in (0, 1))
+        order = np.lexsort((g, q))
+        q, g = q[order], g[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1]) | (g[1:] != g[:-1])
+        return q[new], g[new]
+
+    for s, e in zip(starts.tolist(), np.append(starts[1:], len(token)).tolist()):
+        if e - s < 2:
+            continue
+        g, where = np.unique(gid[s:e], return_index=True)
+        p = pure[s:e][where]
+        for x in range(s, e, 1024):
+            y = min(e, x + 1024)
+            a, b = np.nonzero((gid[x:y, None] < g[None, :]) & (label[x:y, None] != p[None, :]))
+            if len(a):
+                parts.append((node[x:y][a], g[b]))
+                size += len(a)
+        if size > 4_000_000:
+            parts = [distinct()]
+            size = len(parts[0][0]) // 2
+    q, g = distinct()
+    return pa.table({"node": pa.array(q, pa.int64()), "gid": pa.array(g, pa.int64())})
+
+
+def matrix_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, n_tokens: int) -> DataFrame:
+    """Links between sets of different groups and components, through the token-group matrix."""
+    known = groups.join(labels, "node", "left").select("node", "gid", F.coalesce("label", "node").alias("label"))
+    pure = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
+        "gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(-1)).alias("pure"))
+    known = staged(known.join(pure, "gid").join(sets.select("node", "n"), "node"), "matrix-known", n_tokens // 100)
+    bins = max(1, math.ceil(n_tokens / BIN_TOKENS))
+    send = _to_bins(bins)
 
     rows = sets.select("node", "tokens").join(known, "node")
-    sent = rows.mapInArrow(send, "bin long, token array<long>, node array<long>, gid array<long>, label array<long>, pure array<long>")
-    hits = sent.groupBy("bin").applyInArrow(count, "node long, gid long, hits long").groupBy("node", "gid").agg(F.sum("hits").alias("hits"))
-    low = F.size(F.filter("tokens", lambda t: t >= 0))  # tokens of the lower half, as signed numbers
-    least = low - (F.col("n") - F.ceil(F.col("n") * PERCENT / 100))
-    asked = hits.join(sets.select("node", least.alias("least")), "node").where("hits >= least").select("node", "gid")
+    foreign = rows.mapInArrow(send, _ENTRIES).groupBy("bin").applyInArrow(_foreign_tokens, "node long, token array<long>, df array<long>")
+    foreign = foreign.groupBy("node").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("df", "token")))).alias("t"))
+    needs = F.expr(f"(n * {PERCENT} + 99) div 100").cast("int")
+    asking = foreign.join(known, "node").where(F.size("t") >= needs)
+    asking = staged(asking.select("node", "gid", "label", "pure", F.transform(F.slice("t", F.lit(1), F.size("t") - needs + 1), lambda x: x["token"]).alias("tokens")),
+                    "matrix-asking")
+    asked = asking.mapInArrow(send, _ENTRIES).groupBy("bin").applyInArrow(_groups_to_open, "node long, gid long").distinct()
     asked = staged(asked, "matrix-asked")
     load = asked.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERY_SETS).alias("parts"))
     queries = (asked.join(load, "gid").withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")))
                .join(sets.select("node", "tokens"), "node").select("gid", "part", "node", "tokens"))
-    opened = (groups.join(load, "gid").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    opened = (asking.select("node", "gid").join(load, "gid").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .join(sets.select("node", "tokens"), "node").select(*[F.col(c).alias(c) for c in ("gid", "part", "node", "tokens")]))
 
     def verify(left: pa.Table, right: pa.Table) -> pa.Table:
