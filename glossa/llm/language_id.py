@@ -2,9 +2,9 @@
 
 Learning: Spark counts (lang, word) over every labelled training text; each task adds up its own words before the
 shuffle.  The model holds, per language, the log frequency of the ``max_words`` most frequent words
-and of the ``max_grams`` most frequent character n-grams of each length up to five, taken over all
-distinct words (``^`` and ``$`` mark a word's ends).  Both bounds are parameters, so the broadcast model has
-a fixed largest size (about 20 MB with the defaults), however large the corpus is.
+and of the ``max_grams`` most frequent character n-grams of each length up to five, taken over the
+known words (``^`` and ``$`` mark a word's ends).  Both bounds are parameters, so the broadcast model has
+a fixed largest size (about 40 MB with the defaults), however large the corpus is.
 
 Scoring: a known word adds its log frequency per language.  An unseen word is scored by the longest
 n-grams of which any is known: first those of five characters, then four, down to one; the mean log
@@ -30,17 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import fold, staged
+from glossa.llm.common import fold, most_frequent, staged
 
 WORD = re.compile(r"[^\W\d_]+")
 MAX_WORD = 40
 MAX_ORDER = 5
-MAX_WORDS = 60_000
+MAX_WORDS = 200_000
 MAX_GRAMS = 20_000
 SMOOTH = 0.5
 #: Distinct (lang, word) pairs that a task holds before it passes them on.
 FLUSH = 400_000
 UNDETERMINED = "und"
+#: New words that a text may bring, for the number of files of the word counts.
+WORDS_PER_TEXT = 8
 
 
 def words_of(text: str) -> list[str]:
@@ -52,13 +54,13 @@ def grams_of(word: str, order: int) -> list[str]:
     return [marked[i : i + order] for i in range(len(marked) - order + 1)]
 
 
-def _pairs(counts: dict[str, Counter], names: tuple[str, str, str]) -> pa.RecordBatch:
+def _pairs(counts: dict[str, Counter]) -> pa.RecordBatch:
     langs, keys, ns = [], [], []
     for lang, c in counts.items():
         langs += [lang] * len(c)
         keys += c.keys()
         ns += c.values()
-    return pa.record_batch([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(ns, pa.int64())], list(names))
+    return pa.record_batch([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(ns, pa.int64())], ["lang", "word", "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,22 +69,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(b["lang"], b["text"]):
             counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
             if sum(map(len, counts.values())) > FLUSH:
-                yield _pairs(counts, ("lang", "word", "n"))
+                yield _pairs(counts)
                 counts = {}
-    yield _pairs(counts, ("lang", "word", "n"))
-
-
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, Counter] = {}
-    for b in batches:
-        for lang, word in zip(b["lang"].to_pylist(), b["word"].to_pylist()):
-            c = counts.setdefault(lang, Counter())
-            for order in range(1, MAX_ORDER + 1):
-                c.update(grams_of(word, order))
-        if sum(map(len, counts.values())) > FLUSH:
-            yield _pairs(counts, ("lang", "gram", "n"))
-            counts = {}
-    yield _pairs(counts, ("lang", "gram", "n"))
+    yield _pairs(counts)
 
 
 @dataclass
@@ -102,30 +91,41 @@ def word_counts(train: DataFrame) -> DataFrame:
     return rows.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _table(counts: DataFrame, key: str, order, limit: int, langs: list[str], totals: dict[str, float]) -> tuple[dict[str, int], np.ndarray]:
-    """The ``limit`` most frequent keys with their smoothed log frequency per language; the driver gets no more rows than that."""
-    wide = counts.groupBy(key).agg(F.sum("n").alias("_all"), *[F.sum(F.when(F.col("lang") == lang, F.col("n"))).alias(f"_{i}") for i, lang in enumerate(langs)])
-    top = wide.where(order).orderBy(F.desc("_all"), key).limit(limit).collect()
-    n = np.array([[r[f"_{i}"] or 0 for i in range(len(langs))] for r in top], float).reshape(len(top), len(langs))
-    total = np.array([totals[lang] for lang in langs])
-    logs = np.log((n + SMOOTH) / (total + SMOOTH * max(1, len(top))))
-    return {r[key]: i for i, r in enumerate(top)}, logs
+def _logs(counts: dict[str, list[int]], totals: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+    """Row numbers and smoothed log frequencies per language."""
+    n = np.array(list(counts.values()), float).reshape(len(counts), len(totals))
+    return {key: i for i, key in enumerate(counts)}, np.log((n + SMOOTH) / (totals + SMOOTH * max(1, len(counts))))
+
+
+def _known_words(counts: DataFrame, langs: list[str], limit: int) -> dict[str, list[int]]:
+    """``word -> count per language`` of the most frequent words; the driver gets no more rows than ``limit``."""
+    wide = counts.where(F.length("word") <= MAX_WORD).groupBy("word").agg(
+        F.sum("n").alias("n"), *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"_{i}") for i, lang in enumerate(langs)])
+    rows = most_frequent(wide, limit).drop("n").toArrow()
+    columns = [rows[f"_{i}"].to_pylist() for i in range(len(langs))]
+    return dict(sorted(zip(rows["word"].to_pylist(), map(list, zip(*columns)))))
 
 
 def fit(train: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    counts = staged(word_counts(train), "lang-words")
+    counts = staged(word_counts(train), "lang-words", WORDS_PER_TEXT * train.count())
     totals = {r["lang"]: float(r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     if not langs:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    words, word_logs = _table(counts, "word", F.length("word") <= MAX_WORD, max_words, langs, totals)
-    grams = staged(counts.select("lang", "word").mapInArrow(_count_grams, "lang string, gram string, n long")
-                   .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
-    by_order = {(r["lang"], r["k"]): float(r["n"]) for r in grams.groupBy("lang", F.length("gram").alias("k")).agg(F.sum("n").alias("n")).collect()}
+    known = _known_words(counts, langs, max_words)
+    words, word_logs = _logs(known, np.array([totals[lang] for lang in langs]))
     rows: dict[str, int] = {}
     logs = []
-    for k in range(1, MAX_ORDER + 1):
-        index, part = _table(grams, "gram", F.length("gram") == k, max_grams, langs, {g: by_order.get((g, k), 0.0) for g in langs})
+    for order in range(1, MAX_ORDER + 1):
+        sums = [Counter() for _ in langs]
+        for word, ns in known.items():
+            for g in grams_of(word, order):
+                for c, n in zip(sums, ns):
+                    if n:
+                        c[g] += 1  # each word of a language counts once: unseen words are like rare ones
+        every = sum(sums, Counter())
+        grams = {g: [c[g] for c in sums] for g, _ in sorted(every.items(), key=lambda x: (-x[1], x[0]))[:max_grams]}
+        index, part = _logs(grams, np.array([float(c.total()) for c in sums]))
         rows |= {g: i + len(rows) for g, i in index.items()}
         logs.append(part)
     return Model(langs, words, word_logs, rows, np.concatenate(logs))
