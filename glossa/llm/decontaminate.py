@@ -5,8 +5,8 @@ are free, so one changed word can't break all seeds that cover it.  Every place
 Equal hashes join a document's place with an item's place.  Each hit is then verified: along the hit's diagonal, over
 ``WINDOW`` tokens of the item around it (the whole item if shorter), at least ``LEAST`` of the tokens must be equal, wherever the substitutions are.
 
-The benchmark's seeds are broadcast if they are few enough (counted), else Spark shuffles both sides of the join.  A document's tokens
-are only copied for hits; nothing else of the documents is shuffled.
+The benchmark's seeds are broadcast if they are few enough (counted), else Spark shuffles both sides of the join.  Only alignments with equal seeds
+leave the scan; the texts of those documents are then read again for the verification.
 
 Defined results: null or empty texts have no hits; items under ``SPAN`` tokens have no seeds and are not looked for; equal items
 all count; a null ``doc_id`` comes back as null; repeated rows each get a result; an empty documents table gives no rows, an empty benchmark
@@ -31,26 +31,42 @@ def tokens_of(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
-def seeded(tokens: DataFrame) -> DataFrame:
-    """A row per place and mask: ``seed`` and ``at`` beside the other columns.  (``explode_outer``: Spark would compute the tokens twice to filter for ``explode``.)"""
+def seeded(tokens: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, ``at`` and ``seed`` of every place and mask; the tokens aren't kept, so that no row copies them.
+
+    ``explode_outer``: for ``explode``, Spark would compute the tokens a second time to filter by their number.
+    """
     places = F.when(F.size("tokens") >= SPAN, F.sequence(F.lit(0), F.size("tokens") - SPAN))
-    at = tokens.select("*", F.explode_outer(places).alias("at"))
+    at = tokens.select(*keep, "tokens", F.explode_outer(places).alias("at"))
     seeds = [F.xxhash64(*[F.get("tokens", F.col("at") + k) for k, bit in enumerate(mask) if bit == "1"], F.lit(m)) for m, mask in enumerate(MASKS)]
-    return at.select("*", F.explode(F.array(*seeds)).alias("seed")).where("at IS NOT NULL")
+    return at.select(*keep, "at", F.explode(F.array(*seeds)).alias("seed")).where("at IS NOT NULL")
+
+
+def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``_id, _text, item_id, shift, lo``: distinct alignments of documents with items that share a seed.
+
+    ``shift`` is the document's place less the item's, ``lo`` the first token of the item's window around the hit.
+    """
+    seeds = staged(seeded(items.withColumn("size", F.size("tokens")), ["item_id", "size"]).withColumnRenamed("at", "item_at"), "decon-seeds", 1)
+    found = seeded(docs, ["_id", "_text"]).join(if_small(seeds), "seed")
+    lo = F.greatest(F.lit(0), F.least(F.col("item_at") - (WINDOW - SPAN) // 2, F.col("size") - F.least(F.col("size"), F.lit(WINDOW))))
+    return found.select("_id", "_text", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), lo.alias("lo")).distinct()
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``_id, _text, item_id, matched, compared``: the verified hits of documents (``_id, _text, tokens``), repeated for each seed."""
+    """``_id, _text, item_id, matched, compared`` of every alignment that passes the verification; ``docs`` has ``_id, _text, text``."""
     items = benchmark.select("item_id", tokens_of(F.col("text")).alias("tokens"))
-    seeds = staged(seeded(items).select("seed", F.col("at").alias("item_at"), "item_id", F.col("tokens").alias("item")), "decon-seeds", 1)
-    found = seeded(docs).join(if_small(seeds), "seed")
-    size = F.size("item")
-    compared = F.least(size, F.lit(WINDOW))
-    first = F.greatest(F.lit(0), F.least(F.col("item_at") - (WINDOW - SPAN) // 2, size - compared))
-    shift = F.col("at") - F.col("item_at")
-    equal = F.filter(F.sequence(first, first + compared - 1), lambda k: F.get(F.col("tokens"), shift + k) == F.get(F.col("item"), k))
-    found = found.select("_id", "_text", "item_id", F.size(equal).alias("matched"), compared.alias("compared"))
-    return found.where(F.col("matched") >= F.ceil(F.col("compared") * LEAST))
+    rows = docs.select("_id", "_text", tokens_of(F.col("text")).alias("tokens"))
+    found = staged(candidates(rows, items), "decon-candidates")
+    ids = if_small(found.select("_id", "_text").distinct())
+    texts = docs.join(ids, ["_id", "_text"], "left_semi").select("_id", "_text", tokens_of(F.col("text")).alias("tokens")).distinct()
+    both = (found.join(texts, ["_id", "_text"])
+            .join(if_small(items.select("item_id", F.col("tokens").alias("item")).distinct()), "item_id"))
+    compared = F.least(F.size("item"), F.lit(WINDOW))
+    equal = F.filter(F.sequence(F.col("lo"), F.col("lo") + compared - 1),
+                     lambda k: (F.col("shift") + k >= 0) & (F.get(F.col("tokens"), F.col("shift") + k) == F.get(F.col("item"), k)))
+    both = both.select("_id", "_text", "item_id", F.size(equal).alias("matched"), compared.alias("compared"))
+    return both.where(F.col("matched") >= F.ceil(F.col("compared") * LEAST))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -59,8 +75,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``_id, _text`` (hash), ``n_items, first_item, best`` of the documents with verified overlaps."""
-    rows = keyed(docs).select("_id", "_text", tokens_of(F.col("text")).alias("tokens"))
-    return (hits(rows, benchmark).groupBy("_id", "_text", "item_id").agg(F.max(F.col("matched") / F.col("compared")).alias("best"))
+    return (hits(keyed(docs), benchmark).groupBy("_id", "_text", "item_id").agg(F.max(F.col("matched") / F.col("compared")).alias("best"))
             .groupBy("_id", "_text").agg(F.count(F.lit(1)).alias("n_items"), F.min("item_id").alias("first_item"), F.max("best").alias("best")))
 
 
