@@ -39,6 +39,5 @@ KAPPA_PREFIX = "acuerdo "
 # Display of vocabulary entries: newline shown as backslash-n, space as U+2581.
 PRETTY_SPACE = "▁"
 
-# Packed-id alphabet for BPE: token id i is stored as code point 0xE000 + i.
-PACK_BASE = 0xE000
-PACK_LIMIT = 6400
+# Packed-id alphabet for BPE: private-use code points, first those of the basic plane, then planes 15 and 16.
+PACK_RANGES = [(0xE000, 0xF8FF), (0xF0000, 0xFFFFD), (0x100000, 0x10FFFD)]

@@ -108,9 +108,9 @@ def strip_ws(c) -> Column:
 
 def kappa_interpretation(k) -> Column:
     kc = _col(k)
-    expr = None
+    expr = F.when(kc.isNull(), F.lit(None))  # no rows, no reading
     for bound, word in KAPPA_BANDS:
-        expr = F.when(kc > bound, F.lit(word)) if expr is None else expr.when(kc > bound, F.lit(word))
+        expr = expr.when(kc > bound, F.lit(word))
     return expr.otherwise(F.lit(KAPPA_FLOOR))
 
 
@@ -123,8 +123,8 @@ def context_tail(arr, n: int) -> Column:
 
 
 def uniform_from_key(key) -> Column:
-    """Repeatable number in [0, 1) from a string key (first 32 bits of its md5)."""
-    return F.conv(F.substring(F.md5(_col(key)), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    """Repeatable number in [0, 1) from a string key (first 52 bits of its md5, as many as a double holds)."""
+    return F.conv(F.substring(F.md5(_col(key)), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 # --- generators -------------------------------------------------------------

@@ -12,19 +12,18 @@ Spark form
   pattern, merges never cross pieces; ``segment="document"``: whole texts).
   Identical pieces are counted once with a weight and their first
   occurrence ``(doc_id, seg_no)``, so work scales with distinct pieces.
-* Token id ``i`` is stored as the character U+E000+i ("packed"), so a merge
-  is one built-in ``replace`` and a pair is a 2-character ``substring``.
+* Token id ``i`` is stored as the i-th private-use code point ("packed"), so a
+  merge is one built-in ``replace`` and a pair is two characters.  There are
+  137,468 of them (``PACK_LIMIT``): alphabet plus merges may not exceed that.
 * A round is one aggregate (partial per task) and a bounded top-k; only those
-  rows reach the driver.  Lineage is cut with a reliable ``checkpoint`` every
-  few rounds.
+  rows reach the driver.  Lineage is cut with a reliable ``checkpoint`` after
+  a bounded number of merges, so expressions stay shallow.
 * Training fetches the exact top of the pair ranking each round and takes
   every pair that one-merge-per-round training would provably take next
   (``accept_batch``), about 3x fewer rounds on the test corpus.
-* Encoding and decoding are row-local (no shuffle): every merge in rank
-  order as one nested ``replace`` expression compiled by whole-stage codegen,
-  and the vocabulary (at most 6,400 ids) as an array literal for decoding.
-  (A literal map of frequent pieces was measured and dropped: Spark map
-  lookups scan keys linearly.)
+* Encoding folds the merges over each distinct piece once and joins the ids
+  back by piece: broadcast if the piece table is small (counted), else salted,
+  as frequent pieces are hot keys.
 """
 
 from __future__ import annotations
@@ -34,16 +33,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions.patterns import PACK_BASE, PACK_LIMIT
+from glossa.functions.patterns import PACK_RANGES
 from glossa.functions.text import char_tokens, explode_rows, segment_tokens
-from glossa.operators.lookup import materialise
+from glossa.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded, materialise, salted_left_join
 from glossa.operators.windows import global_row_number
 
-CHECKPOINT_EVERY = 4  # rounds between reliable checkpoints of the piece table
-_TRACE = False
-POS_BITS = 24  # offsets inside a piece (pieces up to 16 M characters)
+CHECKPOINT_MERGES = 48  # merges stacked on the piece table between reliable checkpoints
 ROWS_PER_PARTITION = 250_000  # distinct pieces per task in the training loop
-ENCODE_CACHE = 4096  # most frequent pieces pre-encoded into a literal map (bounded)
+PACK_LIMIT = sum(hi - lo + 1 for lo, hi in PACK_RANGES)
+PACKED = "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in PACK_RANGES)  # for a regex class
 
 
 @dataclass
@@ -53,6 +51,13 @@ class Tokenizer:
     merges: list[tuple[int, int, int, int]]  # (left_id, right_id, new_id, pair_count)
     n_base: int
 
+    @staticmethod
+    def load(vocab: DataFrame, merges: DataFrame) -> "Tokenizer":
+        """From saved tables (as many rows as the vocabulary has)."""
+        tokens = [r["token"] for r in vocab.orderBy("token_id").collect()]
+        rules = [(r["left_id"], r["right_id"], r["new_id"], r["pair_count"]) for r in merges.orderBy("rank").collect()]
+        return Tokenizer(tokens, rules, len(tokens) - len(rules))
+
     def vocab_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.vocab)), "token_id int, token string")
 
@@ -62,7 +67,30 @@ class Tokenizer:
 
 
 def pack(i: int) -> str:
-    return chr(PACK_BASE + i)
+    for lo, hi in PACK_RANGES:
+        if i <= hi - lo:
+            return chr(lo + i)
+        i -= hi - lo + 1
+    raise ValueError(f"ids end at {PACK_LIMIT}")
+
+
+def packed_id(ch: str) -> int:
+    """Inverse of ``pack``."""
+    before = 0
+    for lo, hi in PACK_RANGES:
+        if ord(ch) <= hi:
+            return before + ord(ch) - lo
+        before += hi - lo + 1
+    raise ValueError(f"{ch!r} is no packed id")
+
+
+def packed_id_column(ch: Column) -> Column:
+    code, before, out = F.ascii(ch), 0, None
+    for lo, hi in PACK_RANGES:
+        value = code - lo + before
+        out = F.when(code <= hi, value) if out is None else out.when(code <= hi, value)
+        before += hi - lo + 1
+    return out.cast("int")
 
 
 def pieces(docs: DataFrame, segment: str = "word", text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -79,35 +107,44 @@ def pieces(docs: DataFrame, segment: str = "word", text: str = "text", doc: str
 
 
 def base_alphabet(pcs: DataFrame) -> list[str]:
-    """Sorted distinct characters (bounded: refused beyond the packed id space)."""
+    """Sorted distinct characters (bounded by Unicode; refused beyond the packed id space)."""
     chars = explode_rows(pcs, char_tokens("piece"), (), "c").distinct()
     n = chars.count()
     if n > PACK_LIMIT:
-        raise ValueError(f"{n} distinct characters exceed the {PACK_LIMIT}-id packed space")
+        raise ValueError(f"{n} distinct characters exceed the {PACK_LIMIT} packed ids")
     return sorted(r["c"] for r in chars.collect())
 
 
-def _packer(alphabet: list[str]) -> tuple[str, str]:
-    return "".join(alphabet), "".join(pack(i) for i in range(len(alphabet)))
-
-
 def pack_column(c: Column, alphabet: list[str], unk_id: int = 0) -> Column:
     """Characters -> packed ids; characters outside the alphabet become id ``unk_id``."""
-    src, dst = _packer(alphabet)
-    packed = F.translate(c, src, dst)
-    # Anything not translated is outside the alphabet: map it to the unknown id.
-    lo, hi = PACK_BASE, PACK_BASE + len(alphabet) - 1
-    return F.regexp_replace(packed, f"[^\\x{{{lo:04X}}}-\\x{{{hi:04X}}}]", pack(unk_id))
+    if not alphabet:
+        return F.lit("")
+    # Private-use characters of the text itself: only those of the alphabet may be read as characters.
+    own = "".join(f"\\x{{{ord(ch):X}}}" for ch in alphabet if is_packed(ch))
+    foreign = f"[{PACKED}&&[^{own}]]" if own else f"[{PACKED}]"
+    known = F.regexp_replace(c, foreign, _quoted(alphabet[unk_id]))
+    packed = F.translate(known, "".join(alphabet), "".join(pack(i) for i in range(len(alphabet))))
+    return F.regexp_replace(packed, f"[^{PACKED}]", pack(unk_id))
+
+
+def is_packed(ch: str) -> bool:
+    return any(lo <= ord(ch) <= hi for lo, hi in PACK_RANGES)
+
 
+def _quoted(replacement: str) -> str:
+    return "\\" + replacement if replacement in "\\$" else replacement
 
-def pair_counts(state: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Weighted overlapping pair counts of packed pieces with the first occurrence."""
-    # Overlapping 2-character windows; packed ids are single BMP characters.
-    pairs = F.regexp_extract_all(F.col("p"), F.lit("(?=(..))"), 1)
+
+def pair_counts(state: DataFrame, bits: int) -> DataFrame:
+    """Weighted overlapping pair counts of packed pieces with the first occurrence.
+
+    ``at`` is the rank of the piece shifted by ``bits`` plus the offset; wider than 63 bits, it is a decimal.
+    """
+    # The class keeps the scan from matching in the middle of a two-unit character.
+    pairs = F.regexp_extract_all(F.col("p"), F.lit(f"(?=([{PACKED}]{{2}}))"), 1)
     ex = explode_rows(state, pairs, ("w", "first"), "pair", "i")
-    return ex.groupBy("pair").agg(
-        F.sum("w").cast("bigint").alias("cnt"),
-        F.min(F.col("first") + F.col("i")).alias("at"))
+    at = F.col("first") * F.lit(1 << bits) + F.col("i")
+    return ex.groupBy("pair").agg(F.sum("w").cast("bigint").alias("cnt"), F.min(at).alias("at"))
 
 
 def accept_batch(ranked: list[tuple[str, int]], room: int) -> list[tuple[str, int]]:
@@ -145,88 +182,80 @@ def train(docs: DataFrame, vocab_size: int = 300, segment: str = "word", text: s
     if vocab_size > PACK_LIMIT:
         raise ValueError(f"vocab_size {vocab_size} exceeds {PACK_LIMIT}")
     vocab = list(alphabet)
-    # First occurrence as one sortable BIGINT: global rank of the piece's first
-    # occurrence, shifted left, plus the pair's offset inside the piece.
+    n, longest = pcs.agg(F.count(F.lit(1)), F.max(F.length("piece"))).first()
+    bits = int(longest or 1).bit_length()
+    rank_type = "bigint" if n.bit_length() + bits < 63 else "decimal(28,0)"
+    # First occurrence as one sortable number: global rank of the piece's first
+    # occurrence and the pair's offset inside the piece.
     ranked = global_row_number(pcs, ["first", "piece"], "first_rank")
     state = ranked.select(pack_column(F.col("piece"), alphabet).alias("p"), F.col("weight").alias("w"),
-                          F.shiftleft(F.col("first_rank"), POS_BITS).alias("first")) \
+                          F.col("first_rank").cast(rank_type).alias("first")) \
         .filter(F.length("p") >= 2)
-    state = materialise(state)
     # Size the loop's partitions by the piece table itself: a few large
     # partitions per core locally, thousands on a cluster with 1e8+ pieces.
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, state.count() // ROWS_PER_PARTITION + 1)
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, n // ROWS_PER_PARTITION + 1)
     state = materialise(state.repartition(parts, "p"))
     merges: list[tuple[int, int, int, int]] = []
-    rounds = 0
+    stacked = 0
     while len(vocab) < vocab_size:
-        top = (pair_counts(state, parts).orderBy(F.col("cnt").desc(), F.col("at").asc())
+        top = (pair_counts(state, bits).orderBy(F.col("cnt").desc(), F.col("at").asc())
                .select("pair", "cnt").limit(batch).collect())
         if not top:
             break
         taken = accept_batch([(r["pair"], int(r["cnt"])) for r in top], vocab_size - len(vocab))
+        if stacked + len(taken) > CHECKPOINT_MERGES:
+            state, stacked = materialise(state), 0
         for pair, cnt in taken:
-            a, b = ord(pair[0]) - PACK_BASE, ord(pair[1]) - PACK_BASE
+            a, b = packed_id(pair[0]), packed_id(pair[1])
             new_id = len(vocab)
             merges.append((a, b, new_id, cnt))
             vocab.append(vocab[a] + vocab[b])
             state = state.withColumn("p", F.replace(F.col("p"), F.lit(pair), F.lit(pack(new_id))))
         state = state.filter(F.length("p") >= 2)
-        rounds += 1
-        if _TRACE: print("round", rounds, "taken", len(taken), "vocab", len(vocab), flush=True)
-        if rounds % CHECKPOINT_EVERY == 0:
-            state = materialise(state)
+        stacked += len(taken)
     return Tokenizer(vocab, merges, len(alphabet))
 
 
-def apply_merges(packed: Column, merges: list[tuple[int, int, int, int]], fold: bool = False) -> Column:
+def apply_merges(packed: Column, merges: list[tuple[int, int, int, int]]) -> Column:
     """Apply every merge, in rank order, to a packed string (non-overlapping, left to right).
 
-    By default the merges become one nested ``replace`` expression, which
-    whole-stage codegen compiles; ``fold=True`` uses an ``aggregate`` lambda
-    over an array literal instead (interpreted per element, slower).
+    A fold over the merges as an array literal: its depth doesn't grow with their number.
     """
     if not merges:
         return packed
-    if fold:
-        rules = F.array(*[F.struct(F.lit(pack(a) + pack(b)).alias("pair"), F.lit(pack(n)).alias("new"))
-                          for a, b, n, _ in merges])
-        return F.aggregate(rules, packed, lambda acc, m: F.replace(acc, m["pair"], m["new"]))
-    out = packed
-    for a, b, n, _ in merges:
-        out = F.replace(out, F.lit(pack(a) + pack(b)), F.lit(pack(n)))
-    return out
+    rules = F.array(*[F.struct(F.lit(pack(a) + pack(b)).alias("pair"), F.lit(pack(n)).alias("new"))
+                      for a, b, n, _ in merges])
+    return F.aggregate(rules, packed, lambda acc, m: F.replace(acc, m["pair"], m["new"]))
 
 
 def unpack_ids(packed: Column) -> Column:
-    return F.transform(char_tokens(packed), lambda ch: (F.ascii(ch) - PACK_BASE).cast("int"))
+    return F.transform(char_tokens(packed), packed_id_column)
 
 
-def encode(docs: DataFrame, tok: Tokenizer, segment: str = "word", text: str = "text",
-           keep: tuple[str, ...] = ("doc_id",), cache: dict[str, str] | None = None) -> DataFrame:
-    """``keep + ids ARRAY<INT>`` per row, computed inside the row (no shuffle)."""
-    alphabet = tok.vocab[:tok.n_base]
-    if segment == "word":
-        segs = segment_tokens(text)
-    else:
-        segs = F.array(F.col(text))
-
-    def enc(seg):
-        folded = apply_merges(pack_column(seg, alphabet), tok.merges)
-        if cache:
-            lookup = F.create_map(*[x for k, v in cache.items() for x in (F.lit(k), F.lit(v))])
-            return F.coalesce(F.element_at(lookup, seg), folded)
-        return folded
+def encode_pieces(pcs: DataFrame, tok: Tokenizer) -> DataFrame:
+    """``(piece, ids ARRAY<INT>)`` of distinct pieces: every piece is encoded once."""
+    packed = apply_merges(pack_column(F.col("piece"), tok.vocab[:tok.n_base]), tok.merges)
+    return pcs.select("piece", packed.alias("p")).select("piece", unpack_ids(F.col("p")).alias("ids"))
 
-    packed = F.array_join(F.transform(segs, enc), "")
-    return docs.select(*keep, unpack_ids(packed).alias("ids"))
 
+def encode(docs: DataFrame, tok: Tokenizer, segment: str = "word", text: str = "text",
+           keep: tuple[str, ...] = ("doc_id",), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``keep + ids ARRAY<INT>`` per row (``keep[0]`` names the row), through the table of distinct pieces.
 
-def frequent_piece_cache(pcs: DataFrame, tok: Tokenizer, k: int = ENCODE_CACHE) -> dict[str, str]:
-    """The k most frequent pieces, encoded once (a bounded driver-side table)."""
-    alphabet = tok.vocab[:tok.n_base]
-    top = pcs.orderBy(F.col("weight").desc(), F.col("piece")).limit(k)
-    enc = top.select("piece", apply_merges(pack_column(F.col("piece"), alphabet), tok.merges).alias("e"))
-    return {r["piece"]: r["e"] for r in enc.collect()}
+    The ids return by (row, segment number): one group per document, the unit of work of this library.
+    """
+    key = keep[0]
+    segs = segment_tokens(text) if segment == "word" else F.array(F.col(text))
+    occ = explode_rows(docs, segs, (key,), "piece", "seg_no").filter(F.length("piece") > 0)
+    table, small = bounded(encode_pieces(occ.select("piece").distinct(), tok), broadcast_rows)
+    if small:
+        found = occ.join(F.broadcast(table), "piece")
+    else:
+        found = salted_left_join(occ, table.withColumnRenamed("piece", "_piece"), "piece", "_piece", [key, "seg_no"])
+    ids = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seg_no", "ids"))).alias("s")) \
+        .select(F.col(key).alias("_key"), F.flatten(F.transform("s", lambda x: x["ids"])).alias("ids"))
+    return docs.select(*keep).join(ids, F.col(key) == F.col("_key"), "left").select(
+        *keep, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 
 def decode(ids: DataFrame, tok: Tokenizer, col: str = "ids", out: str = "text") -> DataFrame:
@@ -252,5 +281,5 @@ def apply_merge_once(pcs: DataFrame, alphabet: list[str], left: str, right: str)
     new = pack(len(alphabet))
     merged = F.replace(pack_column(F.col("piece"), alphabet), F.lit(pack(a) + pack(b)), F.lit(new))
     toks = F.transform(char_tokens(merged), lambda ch: F.when(ch == new, F.lit(left + right))
-                       .otherwise(F.element_at(F.array(*[F.lit(x) for x in alphabet]), F.ascii(ch) - PACK_BASE + 1)))
+                       .otherwise(F.element_at(F.array(*[F.lit(x) for x in alphabet]), packed_id_column(ch) + 1)))
     return explode_rows(pcs, toks, ("piece",), "token", "tok_no")

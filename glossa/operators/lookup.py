@@ -43,3 +43,33 @@ def salted_left_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     d = dim.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     cond = (f[fact_key] == d[dim_key]) & (f[salt_col] == d[salt_col])
     return f.join(d, cond, "left").drop(d[salt_col]).drop(f[salt_col])
+
+
+#: Dimension rows that count as hot and are broadcast by ``split_left_join``.
+HOT_ROWS = 20_000
+
+
+def split_left_join(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str,
+                    max_rows: int = DEFAULT_BROADCAST_ROWS // 8, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``facts LEFT JOIN dim USING keys`` for a ``dim`` with unique keys whose ``weight`` tells which are frequent.
+
+    A small ``dim`` (counted) is broadcast.  Of a larger one, the at most
+    ``hot_rows`` heaviest rows are broadcast, so the facts of frequent keys
+    are never shuffled; the facts of all other keys meet the rest by a
+    shuffle.  ``dim`` should be written before, as it is read several times.
+    """
+    if dim.count() <= max_rows:
+        return facts.join(F.broadcast(dim), keys, "left")
+    level = F.floor(F.log2(F.col(weight).cast("double")) * 4)
+    classes = dim.groupBy(level.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    bound, total = None, 0
+    for r in classes:
+        total += r["n"]
+        if total > hot_rows:
+            break
+        bound = r["c"]
+    if bound is None:
+        return facts.join(dim, keys, "left")
+    hot = dim.filter(level >= bound)
+    rest = facts.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(dim.filter(level < bound), keys, "left")
+    return facts.join(F.broadcast(hot), keys).unionByName(rest)

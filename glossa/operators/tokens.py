@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded, salted_left_join
+
 from glossa.functions.text import (
     char_tokens, explode_rows, is_capitalised, segment_tokens, vocab_pretty as _pretty, word_tokens,
 )
@@ -54,14 +56,23 @@ def char_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
     return chars.select((F.row_number().over(w) - 1).cast("int").alias("token_id"), "token")
 
 
-def oov_map(tokens: DataFrame, vocab: DataFrame, token: str = "token", unk_id: int = 0) -> DataFrame:
+def _vocab_join(rows: DataFrame, vocab: DataFrame, key: str, vocab_key: str,
+                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    vocab, small = bounded(vocab, max_rows)
+    if small:
+        return rows.join(F.broadcast(vocab), rows[key] == vocab[vocab_key], "left")
+    return salted_left_join(rows, vocab, key, vocab_key, rows.columns)
+
+
+def oov_map(tokens: DataFrame, vocab: DataFrame, token: str = "token", unk_id: int | None = 0) -> DataFrame:
     """Attach ``token_id``; characters outside the vocabulary get ``unk_id`` (0, as in the source).
 
-    ``vocab`` is bounded (distinct characters, or a trained vocabulary of at
-    most 6,400 ids), so it is broadcast and the token side never shuffles.
+    A vocabulary that is small (counted) is broadcast and the token side never
+    shuffles; a larger one meets salted tokens.  With ``unk_id=None`` an
+    unknown character keeps a NULL id (for vocabularies with their own ``<unk>``).
     """
-    v = F.broadcast(vocab.select(F.col("token").alias("_vt"), F.col("token_id").alias("_vid")))
-    return (tokens.join(v, tokens[token] == v["_vt"], "left")
+    v = vocab.select(F.col("token").alias("_vt"), F.col("token_id").alias("_vid"))
+    return (_vocab_join(tokens, v, token, "_vt")
             .withColumn("token_id", F.coalesce(F.col("_vid"), F.lit(unk_id)).cast("int"))
             .drop("_vt", "_vid"))
 
@@ -69,8 +80,8 @@ def oov_map(tokens: DataFrame, vocab: DataFrame, token: str = "token", unk_id: i
 def vocab_lookup_safe(ids: DataFrame, vocab: DataFrame, id_col: str = "token_id",
                       out: str = "token") -> DataFrame:
     """id -> token string; an id with no entry reads as '' (never NULL)."""
-    v = F.broadcast(vocab.select(F.col("token_id").alias("_vid"), F.col("token").alias("_vt")))
-    return (ids.join(v, ids[id_col] == v["_vid"], "left")
+    v = vocab.select(F.col("token_id").alias("_vid"), F.col("token").alias("_vt"))
+    return (_vocab_join(ids, v, id_col, "_vid")
             .withColumn(out, F.coalesce(F.col("_vt"), F.lit("")))
             .drop("_vid", "_vt"))
 
@@ -80,8 +91,9 @@ def vocab_pretty(vocab: DataFrame) -> DataFrame:
 
 
 def capitalised_vocab(vocab: DataFrame) -> DataFrame:
-    """Vocabulary entries that are capitalised words of more than one character."""
-    return vocab.filter(is_capitalised(F.col("token")) & (F.length("token") > 1))
+    """Vocabulary entries that are capitalised words of more than one character, apart from a segment's leading blank."""
+    word = F.ltrim("token")
+    return vocab.filter(is_capitalised(word) & (F.length(word) > 1))
 
 
 def vocab_coverage_by_size(vocab: DataFrame, sizes: list[int]) -> DataFrame:
@@ -90,7 +102,8 @@ def vocab_coverage_by_size(vocab: DataFrame, sizes: list[int]) -> DataFrame:
     Merges are prefix-stable (a vocabulary of size n is the first n ids of any
     larger one), so one conditional count per size answers every size at once.
     """
-    flag = (is_capitalised(F.col("token")) & (F.length("token") > 1)).cast("int")
+    word = F.ltrim("token")
+    flag = (is_capitalised(word) & (F.length(word) > 1)).cast("int")
     aggs = [F.sum(F.when(F.col("token_id") < s, flag).otherwise(0)).cast("bigint").alias(f"s{s}")
             for s in sizes]
     wide = vocab.agg(*aggs)

@@ -29,7 +29,7 @@ def _ranged(df: DataFrame, order: list[str], partitions: int | None) -> DataFram
 
 def _partition_offsets(ranged: DataFrame, total: str) -> DataFrame:
     """Exclusive running total of ``total`` over partition ids (one row per partition)."""
-    per = ranged.groupBy("_pid").agg(F.sum(total).cast("bigint").alias("_tot"))
+    per = ranged.groupBy("_pid").agg(F.sum(total).alias("_tot"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     return F.broadcast(per.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off")))
 
@@ -61,19 +61,21 @@ def global_exclusive_sum(df: DataFrame, order: list[str], value: str, out: str =
     broadcast (one row per partition).
     """
     r = _ranged(df, order, partitions)
-    schema = T.StructType(r.schema.fields + [T.StructField("_local", T.LongType())])
+    whole = not isinstance(r.schema[value].dataType, (T.DoubleType, T.FloatType))
+    kind, numbers = ("bigint", "int64") if whole else ("double", "float64")
+    schema = T.StructType(r.schema.fields + [T.StructField("_local", T.LongType() if whole else T.DoubleType())])
 
     def local_cumsum(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         carry = 0
         for b in batches:
-            v = b[value].fillna(0).astype("int64")
-            b = b.assign(_local=(v.cumsum() - v + carry).astype("int64"))
-            carry += int(v.sum())
+            v = b[value].fillna(0).astype(numbers)
+            b = b.assign(_local=(v.cumsum().shift(fill_value=0) + carry).astype(numbers))
+            carry += v.sum()
             yield b
 
     local = materialise(r.mapInPandas(local_cumsum, schema))
     offs = _partition_offsets(local, value)
-    return (local.join(offs, "_pid").withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+    return (local.join(offs, "_pid").withColumn(out, (F.col("_off") + F.col("_local")).cast(kind))
             .drop("_pid", "_local", "_off"))
 
 

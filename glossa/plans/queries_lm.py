@@ -10,6 +10,7 @@ from glossa.operators import lm as M
 from glossa.operators import windows as W
 from glossa.plans import sql as S
 from glossa.plans.queries import _round, register, word_wide
+from glossa.session import artifact_path, path_exists
 from glossa.sources.corpus import read_documents
 
 RATIO = 0.9      # train share of the token stream (the source's default)
@@ -30,15 +31,13 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.train_val_split(word_wide(spark, sf_dir), RATIO)
 
 
-_MODELS: dict[tuple, M.NgramModel] = {}
-
-
 def fitted(spark: SparkSession, sf_dir: str, orders: tuple[int, ...] = (K,)) -> M.NgramModel:
-    key = (sf_dir, orders)
-    if key not in _MODELS:
+    """The model saved by this application for the input; fitted and saved first if there is none."""
+    path = artifact_path(spark, "ngram" + "-".join(map(str, orders)), sf_dir)
+    if not path_exists(spark, f"{path}/unigram/_SUCCESS"):
         rows = split_rows(spark, sf_dir)
-        _MODELS[key] = M.ngram_fit(rows.filter(F.col("split") == "train"), list(orders))
-    return _MODELS[key]
+        M.ngram_save(M.ngram_fit(rows.filter(F.col("split") == "train"), list(orders)), path)
+    return M.ngram_load(spark, path)
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +167,7 @@ SELECT cnt.ctx, cnt.token, CAST(cnt.c AS BIGINT) AS cnt, CAST(ct.cc AS BIGINT) A
 FROM cnt JOIN ct USING (ctx) LEFT JOIN uni USING (token), st""")
 def q_ngram_fit(spark, sf_dir):
     m = fitted(spark, sf_dir)
-    j = (m.counts.join(m.ctx_totals, ["k", "ctx"]).join(m.unigram, "token", "left"))
-    return j.select(F.array_join("ctx", " ").alias("ctx"), "token", "cnt", "ctx_cnt",
+    return m.counts.select(F.array_join("ctx", " ").alias("ctx"), "token", "cnt", "ctx_cnt",
                     F.round(M.prob(m, ALPHA), 6).alias("prob"))
 
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from glossa.operators import sweep as SW
 from glossa.plans.queries import _round, register
+from glossa.session import artifact_path, path_exists
 from glossa.plans.queries_lm import PROMPT_TOKENS, SPLIT_SQL, SR_LISTS, split_rows
 
-_RUNS: dict[str, DataFrame] = {}
-
-
 def first_prompt(spark: SparkSession, sf_dir: str) -> list[str]:
     """The context at the end of the first benchmark text: its last tokens (one short row reaches the driver)."""
     from glossa.functions.text import context_tail
@@ -23,11 +21,11 @@ def first_prompt(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All run records of the sweep, computed once per process (9 rows, written once)."""
-    if sf_dir not in _RUNS:
-        from glossa.operators.lookup import materialise
-        _RUNS[sf_dir] = materialise(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir)))
-    return _RUNS[sf_dir]
+    """The run records saved by this application for the input; the sweep runs first if there are none."""
+    path = artifact_path(spark, "runs", sf_dir)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        SW.runs_sink(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir)), path)
+    return SW.runs_source(spark, path)
 
 
 def _values() -> str:
@@ -117,16 +115,11 @@ def q_sample_box(spark, sf_dir):
 
 @register("runs_sink")
 def q_runs_sink(spark, sf_dir):
-    from glossa.session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark)}/runs-{abs(hash(sf_dir))}"
+    path = artifact_path(spark, "runs-copy", sf_dir)
     SW.runs_sink(runs(spark, sf_dir), path)
     return spark.read.json(path).select("exp", "ord", "label")
 
 
 @register("runs_source")
 def q_runs_source(spark, sf_dir):
-    from glossa.session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(spark)}/runs-src-{abs(hash(sf_dir))}"
-    SW.runs_sink(runs(spark, sf_dir), path)
-    back = SW.runs_source(spark, path)
-    return back.select("exp", "ord", "label", F.inline("history"))
+    return runs(spark, sf_dir).select("exp", "ord", "label", F.inline("history"))

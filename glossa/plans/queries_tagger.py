@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,27 +11,33 @@ from glossa.operators import tagger as TG
 from glossa.operators.entities import entities_from_long
 from glossa.operators.tokens import tokenize
 from glossa.plans import sql as S
-from glossa.plans.queries import _round, register, word_label_wide, word_labels
+from glossa.operators import windows as W
+from glossa.plans.queries import _round, register, row_labels, word_label_wide
+from glossa.plans.queries_lm import RATIO
+from glossa.session import artifact_path, path_exists
 from glossa.sources.corpus import line_source
 
-_TAGGERS: dict[str, object] = {}
+def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of ``documents`` with its features, the ``auto`` heuristic label and its split (the token stream cut at 90 %)."""
+    wide = word_label_wide(spark, sf_dir, "l0")
+    _, cut_doc, cut_pos = W.split_point(wide, RATIO)
+    return TG.feature_rows(wide).withColumn("split", W.split_label("doc_id", "pos", cut_doc, cut_pos))
 
 
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every token of ``documents`` with its features and the ``auto`` heuristic label."""
-    return TG.feature_rows(word_label_wide(spark, sf_dir, "l0"))
-
-
-def fitted_tagger(spark: SparkSession, sf_dir: str):
-    if sf_dir not in _TAGGERS:
-        from glossa.operators.lookup import materialise
-        _TAGGERS[sf_dir] = TG.tagger_fit(materialise(training_rows(spark, sf_dir)))
-    return _TAGGERS[sf_dir]
+def fitted_tagger(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """The tagger saved by this application for the input; fitted on the train split and saved first if there is none."""
+    path = artifact_path(spark, "tagger", sf_dir)
+    if not path_exists(spark, f"{path}/model/metadata/_SUCCESS"):
+        model, history = TG.tagger_fit(all_rows(spark, sf_dir).filter(F.col("split") == "train"))
+        history.write.mode("overwrite").parquet(f"{path}/history")
+        model.write().overwrite().save(f"{path}/model")
+    return PipelineModel.load(f"{path}/model")
 
 
 @register("tagger_fit")
 def q_tagger_fit(spark, sf_dir):
-    return TG.training_history(fitted_tagger(spark, sf_dir), spark)
+    fitted_tagger(spark, sf_dir)
+    return spark.read.parquet(artifact_path(spark, "tagger", sf_dir) + "/history")
 
 
 @register("tagger_predict")
@@ -48,9 +55,9 @@ def q_tagger_predict(spark, sf_dir):
 
 @register("tagger_eval")
 def q_tagger_eval(spark, sf_dir):
-    """Tagger predictions against the ``auto`` heuristic labels on the whole corpus."""
+    """Tagger predictions against the ``auto`` heuristic labels on the validation split, which the fit didn't see."""
     model = fitted_tagger(spark, sf_dir)
-    rows = training_rows(spark, sf_dir)
+    rows = all_rows(spark, sf_dir).filter(F.col("split") == "val")
     scored = model.transform(rows).select(F.col("label").cast("int").alias("l_auto"),
                                          TG.argmax_from_vector().alias("l_tagger"))
     k = A.cohen_kappa(scored, "l_auto", "l_tagger")
@@ -63,17 +70,11 @@ SELECT token, CAST(label AS INTEGER) AS label, CAST(score AS BIGINT) AS score FR
   SELECT *, row_number() OVER (PARTITION BY token ORDER BY score DESC, label) AS r FROM sc) WHERE r = 1""")
 def q_argmax_label(spark, sf_dir):
     """Most frequent H1 label per token type (a count score table); tie -> lowest label."""
-    lab = word_labels(spark, sf_dir)
-    scores = lab.groupBy("token", F.col("l1").alias("label")).agg(F.count(F.lit(1)).cast("bigint").alias("score"))
+    scores = row_labels(spark, sf_dir, "l1").groupBy("token", "label").agg(F.count(F.lit(1)).cast("bigint").alias("score"))
     return TG.argmax_label(scores, ("token",))
 
 
 @register("pred_align")
 def q_pred_align(spark, sf_dir):
-    """Tokens zipped with the tagger's predictions by position (inner equi-join on ``(doc_id, pos)``)."""
-    from glossa.operators.tokens import explode_tokens
-    from glossa.plans.queries import word_wide
-    model = fitted_tagger(spark, sf_dir)
-    pred = TG.tagger_predict(model, training_rows(spark, sf_dir)).select("doc_id", "pos", "pred")
-    toks = explode_tokens(word_wide(spark, sf_dir)).select("doc_id", F.col("pos").cast("int"), "token")
-    return A.label_align(toks, pred)
+    """Tokens with the tagger's predictions: columns of one row, so no join (``label_align`` is for labels that come apart)."""
+    return TG.tagger_predict(fitted_tagger(spark, sf_dir), all_rows(spark, sf_dir)).select("doc_id", "pos", "token", "pred")

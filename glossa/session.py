@@ -9,6 +9,7 @@ when that setting is absent (tests, local mode).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -53,11 +54,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    # Only reached in local/test sessions where the cluster names no shared folder.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="glossa-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return local
 
 
+def artifact_path(spark: SparkSession, name: str, source: str) -> str:
+    """Where this application keeps something made from ``source``: in the shared folder, the same for every caller."""
+    key = hashlib.md5(source.encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{spark.sparkContext.applicationId}-{key}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

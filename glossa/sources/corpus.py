@@ -82,11 +82,12 @@ def corpus_prefix(docs: DataFrame, n_chars: int, order: str = "doc_id", text: st
     """The first ``n_chars`` characters of the corpus in ``order``: whole documents, then a cut one.
 
     The character offset of each document is a global exclusive sum (range
-    partitions + one row per partition), never an un-partitioned window.
+    partitions + one row per partition), never an un-partitioned window.  Only
+    the lengths take part in it; the texts of the few kept documents are joined.
     """
-    sized = docs.select(order, text, F.length(text).cast("bigint").alias("_len"))
+    sized = docs.select(order, F.length(text).cast("bigint").alias("_len"))
     off = global_exclusive_sum(sized, [order], "_len", "char_offset")
-    kept = off.filter(F.col("char_offset") < n_chars)
+    kept = docs.select(order, text).join(off.filter(F.col("char_offset") < n_chars), order)
     take = F.least(F.col("_len"), F.lit(n_chars) - F.col("char_offset")).cast("int")
     return kept.select(order, "char_offset", F.substring(F.col(text), 1, take).alias(text))
 

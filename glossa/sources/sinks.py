@@ -1,4 +1,4 @@
-"""Writers: annotated TSV, annotation metadata JSON, tokenizer tables, sweep runs.
+"""Writers: annotated TSV, annotation metadata JSON, tokenizer tables.
 
 Each writer has a pure projection (``*_rows``) that the registered queries
 return, and a ``write_*`` that persists it with Spark's own file sinks.
@@ -14,15 +14,6 @@ from glossa.functions.text import kappa_interpretation, label_name, tsv_escape
 from glossa.functions.patterns import KAPPA_PREFIX, LABEL_NAMES
 from glossa.operators.agreement import cohen_kappa
 
-# --- fixed values: annotation metadata as published ---------------------------
-ANNOTATORS = [
-    ("H1", "Heurística amplia",
-     "Token en mayúscula + no inicio de frase + alfabético (len >= 1, incluye iniciales)"),
-    ("H2", "Heurística estricta",
-     "Igual que H1 + len >= 4 + frecuencia >= 2 en corpus (nombre propio recurrente)"),
-]
-
-
 def annotated_tsv_rows(labelled: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep, token_id (the position), token (escaped), etiqueta_H1, etiqueta_H2``."""
     return labelled.select(*keep, F.col("pos").cast("int").alias("token_id"),
@@ -61,10 +52,15 @@ def annotation_metadata_rows(labelled: DataFrame, project: str = "", group: str
     ).drop("kappa")
 
 
-def annotation_metadata_struct(flat: DataFrame) -> DataFrame:
-    """Nest the flat row into the published JSON layout (one row, one struct column per block)."""
-    ann = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(nm).alias("nombre"), F.lit(d).alias("descripcion"))
-                    for i, nm, d in ANNOTATORS])
+ANNOTATOR_FIELDS = ("id", "nombre", "descripcion", "fecha", "responsable")
+
+
+def annotation_metadata_struct(flat: DataFrame, annotators: list[dict[str, str]]) -> DataFrame:
+    """Nest the flat row into the published JSON layout (one row, one struct column per block).
+
+    ``annotators``: the texts that describe each labeler, by ``ANNOTATOR_FIELDS``; a missing one is null.
+    """
+    ann = F.array(*[F.struct(*[F.lit(a.get(f)).cast("string").alias(f) for f in ANNOTATOR_FIELDS]) for a in annotators])
 
     def block(name):
         return F.struct(F.col(f"{name}_tokens_entidad").alias("tokens_entidad"),
@@ -81,8 +77,8 @@ def annotation_metadata_struct(flat: DataFrame) -> DataFrame:
     )
 
 
-def write_annotation_metadata(flat: DataFrame, path: str) -> None:
-    annotation_metadata_struct(flat).coalesce(1).write.mode("overwrite").json(path)
+def write_annotation_metadata(flat: DataFrame, annotators: list[dict[str, str]], path: str) -> None:
+    annotation_metadata_struct(flat, annotators).coalesce(1).write.mode("overwrite").json(path)
 
 
 # --- tokenizer tables -----------------------------------------------------------
@@ -105,29 +101,3 @@ def tokenizer_load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     vocab = spark.read.schema(VOCAB_SCHEMA).parquet(f"{path}/vocab")
     merges = spark.read.schema(MERGES_SCHEMA).parquet(f"{path}/merges")
     return vocab, merges, vocab.count()
-
-
-# --- sweep runs -----------------------------------------------------------------
-
-HISTORY = T.ArrayType(T.StructType([
-    T.StructField("epoch", T.IntegerType()), T.StructField("train", T.DoubleType()),
-    T.StructField("val", T.DoubleType()),
-]))
-RUNS_SCHEMA = T.StructType([
-    T.StructField("exp", T.StringType()), T.StructField("ord", T.IntegerType()),
-    T.StructField("label", T.StringType()),
-    T.StructField("settings", T.StructType([
-        T.StructField("order", T.IntegerType()), T.StructField("alpha", T.DoubleType()),
-        T.StructField("grain", T.StringType())])),
-    T.StructField("n_params", T.LongType()), T.StructField("history", HISTORY),
-    T.StructField("final_train_loss", T.DoubleType()), T.StructField("final_val_loss", T.DoubleType()),
-    T.StructField("sample", T.StringType()),
-])
-
-
-def runs_sink(runs: DataFrame, path: str) -> None:
-    runs.select(*RUNS_SCHEMA.fieldNames()).write.mode("overwrite").json(path)
-
-
-def runs_source(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).json(path)

@@ -53,6 +53,47 @@ def test_encode_decode_round_trip(spark):
         assert rows[d]["text"] == t
 
 
+def test_vocabulary_of_1000_in_a_cold_session(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").limit(40)
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    tok = B.train(docs, 1000)
+    assert len(tok.vocab) == 1000
+    back = B.decode(B.encode(docs, tok), tok).collect()
+    assert {r["doc_id"]: r["text"] for r in back} == rows
+    for d in list(rows)[:10]:
+        ids = next(r["ids"] for r in back if r["doc_id"] == d)
+        assert list(ids) == brute.bpe_encode(brute.segments(rows[d]), tok.vocab, tok.merges, tok.n_base)
+
+
+def test_more_characters_than_the_basic_private_area(spark):
+    han = [chr(0x4E00 + i) for i in range(7200)] + ["\U0001F600", "\uE001", "\U000F0001"]
+    text = "".join(han) + " " + han[7100] + han[7101] + " " + han[7100] + han[7101] + han[7102]
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    vocab, merges = brute.bpe_train(brute.segments(text), len(set(text)) + 3)
+    tok = B.train(docs, len(set(text)) + 3)
+    assert tok.vocab == vocab and tok.merges == merges
+    row = B.decode(B.encode(docs, tok), tok).first()
+    assert row["text"] == text
+    assert list(row["ids"]) == brute.bpe_encode(brute.segments(text), vocab, merges, tok.n_base)
+
+
+def test_whole_documents_as_pieces(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    vocab, merges = brute.bpe_train([t for t in TEXTS if t], 40)
+    tok = B.train(docs, 40, segment="document")
+    assert tok.vocab == vocab and tok.merges == merges
+    got = {r["doc_id"]: list(r["ids"]) for r in B.encode(docs, tok, segment="document").collect()}
+    assert got == {d: brute.bpe_encode([t], vocab, merges, tok.n_base) for d, t in enumerate(TEXTS)}
+
+
+def test_salted_join_gives_the_same_ids(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    tok = B.train(docs, 40)
+    small = {r["doc_id"]: r["ids"] for r in B.encode(docs, tok).collect()}
+    assert small == {r["doc_id"]: r["ids"] for r in B.encode(docs, tok, broadcast_rows=0).collect()}
+
+
 def test_unknown_character_maps_to_zero(spark):
     docs = spark.createDataFrame([(0, "abc")], "doc_id long, text string")
     tok = B.train(docs, 3)
