@@ -42,8 +42,7 @@ def corpus_load(spark: SparkSession, path: str) -> DataFrame:
 
     Raises when no file matches, as the source does.
     """
-    raw = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
-           .option("recursiveFileLookup", False).text(path)
+    raw = (spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", False).text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
     if raw.isEmpty():
         raise FileNotFoundError(f"no .txt files found in {path}")
