@@ -138,6 +138,19 @@ def train_val_split(wide: DataFrame, ratio: float = 0.9, toks: str = "toks", ord
             .select("p.split", order, F.col("p.start").alias("start_pos"), F.col("p.t").alias(toks)))
 
 
+#: Windows that are built as one array cell: a longer document is cut into blocks first.
+BLOCK_WINDOWS = 2048
+
+
+def window_starts(wide: DataFrame, length: int, stride: int = 1, toks: str = "ids",
+                  keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``(keep, start)`` of the windows, without their tokens."""
+    n = F.size(toks)
+    starts = F.when(n > length, F.sequence(F.lit(0), n - length - 1, F.lit(stride)))
+    return (explode_rows(wide, F.coalesce(starts, F.array().cast("array<int>")), keep, "start", "_w")
+            .select(*keep, F.col("start").cast("int").alias("start")))
+
+
 def windows(wide: DataFrame, length: int, stride: int = 1, toks: str = "ids", shift: bool = True,
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Sliding windows inside each row: ``(keep, start, x, y)``.
@@ -145,19 +158,26 @@ def windows(wide: DataFrame, length: int, stride: int = 1, toks: str = "ids", sh
     ``shift`` (language model): y is x moved one token left, N - L samples.
     Without it (tagger): ``y`` is taken from a parallel ``labels`` array, also N - L samples.
     Rows with N <= L give nothing.  The slices are made inside the row, no self-join.
+    A row is first cut into blocks of ``BLOCK_WINDOWS`` windows, so no cell
+    holds all windows of a long document.
     """
-    a = F.col(toks)
-    n = F.size(a)
-    starts = F.when(n > length, F.sequence(F.lit(0), n - length - 1, F.lit(stride))) \
+    n = F.size(toks)
+    reach = BLOCK_WINDOWS * stride
+    firsts = F.when(n > length, F.sequence(F.lit(0), n - length - 1, F.lit(reach))) \
         .otherwise(F.array().cast("array<int>"))
-    lab = F.col("labels") if not shift else None
+    cut = lambda c, s: F.slice(c, s + 1, F.lit(reach + length))
+    block = lambda s: F.struct(s.alias("first"), cut(F.col(toks), s).alias("t"),
+                               *([] if shift else [cut(F.col("labels"), s).alias("l")]))
+    blocks = explode_rows(wide, F.transform(firsts, block), keep, "b")
+    a, m = F.col("b.t"), F.size("b.t")
+    starts = F.sequence(F.lit(0), F.least(m - length - 1, F.lit(reach - stride)), F.lit(stride))
 
     def sample(s):
         x = F.slice(a, s + 1, F.lit(length))
-        y = F.slice(a, s + 2, F.lit(length)) if shift else F.slice(lab, s + 1, F.lit(length))
-        return F.struct(s.alias("start"), x.alias("x"), y.alias("y"))
+        y = F.slice(a, s + 2, F.lit(length)) if shift else F.slice(F.col("b.l"), s + 1, F.lit(length))
+        return F.struct((F.col("b.first") + s).alias("start"), x.alias("x"), y.alias("y"))
 
-    return (explode_rows(wide, F.transform(starts, sample), keep, "w")
+    return (explode_rows(blocks, F.transform(starts, sample), keep, "w")
             .select(*keep, F.col("w.start").cast("int").alias("start"), "w.x", "w.y"))
 
 
@@ -192,5 +212,5 @@ def context_chunks(wide: DataFrame, length: int, toks: str = "toks", keep: tuple
 
 __all__ = [
     "global_row_number", "global_exclusive_sum", "doc_offsets", "global_position", "split_point",
-    "split_label", "train_val_split", "windows", "shuffled_batches", "context_chunks", "uniform_from_key",
+    "split_label", "train_val_split", "window_starts", "windows", "shuffled_batches", "context_chunks", "uniform_from_key",
 ]

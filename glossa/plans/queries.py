@@ -441,7 +441,11 @@ def trained(spark: SparkSession, sf_dir: str, vocab_size: int = VOCAB_SIZE):
     return B.Tokenizer.load(*K.tokenizer_load(spark, path)[:2])
 
 
-@register("bpe_train")
+BPE = S.bpe_ctes(VOCAB_SIZE)
+CAPITAL = "regexp_matches(ltrim(token, ' '), '" + S.CAPWORD_RE + "') AND length(ltrim(token, ' ')) > 1"
+
+
+@register("bpe_train", f"{BPE} SELECT * FROM merges")
 def q_bpe_train(spark, sf_dir):
     return trained(spark, sf_dir).merges_df(spark)
 
@@ -467,7 +471,7 @@ def q_apply_merge(spark, sf_dir):
         .select("piece", F.col("tok_no").cast("int"), "token")
 
 
-@register("bpe_encode")
+@register("bpe_encode", f"{BPE} SELECT doc_id, pos, token_id FROM btok")
 def q_bpe_encode(spark, sf_dir):
     docs = read_documents(spark, sf_dir)
     tok = trained(spark, sf_dir)
@@ -486,7 +490,7 @@ def q_bpe_decode(spark, sf_dir):
                       (F.col("text") == F.col("orig")).alias("roundtrip"))
 
 
-@register("tokenizer_save")
+@register("tokenizer_save", f"{BPE} SELECT * FROM merges")
 def q_tokenizer_save(spark, sf_dir):
     tok = trained(spark, sf_dir)
     path = artifact_path(spark, "tokenizer-copy", sf_dir)
@@ -494,20 +498,22 @@ def q_tokenizer_save(spark, sf_dir):
     return spark.read.parquet(f"{path}/merges")
 
 
-@register("tokenizer_load")
+@register("tokenizer_load", f"{BPE} SELECT token_id, token, (SELECT count(*) FROM vocab) AS vocab_size FROM vocab")
 def q_tokenizer_load(spark, sf_dir):
     trained(spark, sf_dir)
     vocab, _, size = K.tokenizer_load(spark, artifact_path(spark, f"tokenizer{VOCAB_SIZE}", sf_dir))
     return vocab.withColumn("vocab_size", F.lit(size).cast("bigint"))
 
 
-@register("capitalised_vocab")
+@register("capitalised_vocab", f"{S.bpe_ctes(LARGE_VOCAB)} SELECT token_id, token FROM vocab WHERE {CAPITAL}")
 def q_capitalised_vocab(spark, sf_dir):
     """At the larger size; segments carry their leading blank, which is stripped for the test."""
     return T.capitalised_vocab(trained(spark, sf_dir, LARGE_VOCAB).vocab_df(spark))
 
 
-@register("vocab_coverage_by_size")
+@register("vocab_coverage_by_size", f"""{S.bpe_ctes(LARGE_VOCAB)}
+SELECT CAST(s AS INTEGER) AS vocab_size, (SELECT count(*) FROM vocab WHERE token_id < s AND {CAPITAL}) AS n_capitalised
+FROM (SELECT unnest([{VOCAB_SIZE}, {LARGE_VOCAB}]) AS s)""")
 def q_vocab_coverage(spark, sf_dir):
     return T.vocab_coverage_by_size(trained(spark, sf_dir, LARGE_VOCAB).vocab_df(spark), [VOCAB_SIZE, LARGE_VOCAB])
 
@@ -521,7 +527,10 @@ def bpe_labels(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ("doc_i
     return L.heuristic_labels(wide, keep=keep)
 
 
-@register("bpe_kappa")
+@register("bpe_kappa", BPE + ", tok AS (SELECT doc_id, pos, token FROM btok JOIN vocab USING (token_id))"
+          + LAB.removeprefix("WITH " + S.word_tokens_cte()) + ", conf AS (SELECT l1, l2, count(*) AS n FROM lab GROUP BY l1, l2), "
+          + f"k AS ({S.kappa_select()}) SELECT n, round(po, 6) AS po, round(pe, 6) AS pe, round(kappa, 6) AS kappa, "
+          + S.interpretation_sql("kappa") + " AS interpretation FROM k")
 def q_bpe_kappa(spark, sf_dir):
     lab = bpe_labels(spark, sf_dir)
     return _round(A.cohen_kappa(lab), ["po", "pe", "kappa"])

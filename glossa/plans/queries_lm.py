@@ -139,7 +139,7 @@ def q_tagger_windows(spark, sf_dir):
 def batched_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of both splits with ``batch_id``: train shuffled (seeded md5), validation in order."""
     r = split_rows(spark, sf_dir)
-    w = W.windows(r, WIN, 1, toks="toks", shift=True, keep=("split", "doc_id", "start_pos"))
+    w = W.window_starts(r, WIN, 1, toks="toks", keep=("split", "doc_id", "start_pos"))
     w = w.select("split", "doc_id", "start", (F.col("start_pos") + F.col("start")).cast("int").alias("gstart"))
     tr = W.shuffled_batches(w.filter(F.col("split") == "train"), BATCH, SEED, key=("doc_id", "gstart"))
     va = W.shuffled_batches(w.filter(F.col("split") == "val"), BATCH, SEED, key=("doc_id", "gstart"),

@@ -7,7 +7,7 @@ is evidence of correctness.  Patterns are the same fixed values.
 
 from __future__ import annotations
 
-from glossa.functions.patterns import ALPHA_RE, BOUNDARY_RE, SEG_RE, UPPER_RE, WORD_RE
+from glossa.functions.patterns import ALPHA_RE, BOUNDARY_RE, CAPWORD_RE, SEG_RE, UPPER_RE, WORD_RE
 
 
 def q(pattern: str) -> str:
@@ -82,5 +82,43 @@ def interpretation_sql(col: str) -> str:
             f"WHEN {col} > 0.4 THEN 'moderado' ELSE 'débil' END")
 
 
-__all__ = ["q", "word_tokens_cte", "labels_ctes", "label_name_sql", "kappa_select", "interpretation_sql",
-           "SEG_RE", "WORD_RE"]
+def bpe_ctes(size: int) -> str:
+    """``seg`` (doc_id, piece, seg_no), ``pcs`` (piece, w, n), ``st`` (one row per merge) and ``fin`` (the last state).
+
+    Training as a recursive query: the state is one row that holds all packed
+    pieces; a step takes the best pair and replaces it everywhere.
+    """
+    return f"""WITH RECURSIVE seg AS (
+  SELECT doc_id, unnest(s) AS piece, CAST(unnest(range(len(s))) AS INTEGER) AS seg_no
+  FROM (SELECT doc_id, regexp_extract_all(text, {q(SEG_RE)}) AS s FROM documents)),
+pcs AS (SELECT piece, count(*) AS w, row_number() OVER (ORDER BY min((doc_id, seg_no))) AS n FROM seg GROUP BY piece),
+alpha AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT unnest(string_split(piece, '')) AS c FROM pcs)),
+al AS (SELECT count(*) AS n0, list(c ORDER BY id) AS v, string_agg(c, '' ORDER BY id) AS cs,
+  string_agg(chr((57344 + id)::INTEGER), '' ORDER BY id) AS ids FROM alpha),
+st(k, l, w, v, lt, rt, cnt) AS (
+  SELECT n0, (SELECT list(translate(piece, cs, ids) ORDER BY n) FROM pcs), (SELECT list(w ORDER BY n) FROM pcs), v,
+    NULL::INTEGER, NULL::INTEGER, NULL::BIGINT FROM al
+  UNION ALL
+  SELECT k + 1, list_transform(l, lambda x : replace(x, b.pair, chr((57344 + k)::INTEGER))), w,
+    list_append(v, v[unicode(b.pair[1]) - 57343] || v[unicode(b.pair[2]) - 57343]),
+    unicode(b.pair[1]) - 57344, unicode(b.pair[2]) - 57344, b.c
+  FROM (SELECT k, l, w, v, (
+    SELECT arg_max({{'pair': pair, 'c': c}}, (c, -f)) FROM (
+      SELECT pair, sum(wt)::BIGINT AS c, min(n * 1048576 + j) AS f FROM (
+        SELECT p[j:j+1] AS pair, wt, n, j FROM (
+          SELECT p, wt, n, unnest(range(1, length(p))) AS j
+          FROM (SELECT unnest(l) AS p, unnest(w) AS wt, unnest(range(len(l))) AS n)))
+      GROUP BY pair)) AS b FROM st WHERE k < {size})
+  WHERE b IS NOT NULL),
+fin AS (SELECT * FROM st ORDER BY k DESC LIMIT 1),
+vocab AS (SELECT CAST(unnest(range(len(v))) AS INTEGER) AS token_id, unnest(v) AS token FROM fin),
+merges AS (SELECT CAST(k - 1 - (SELECT n0 FROM al) AS INTEGER) AS rank, lt AS left_id, rt AS right_id,
+  CAST(k - 1 AS INTEGER) AS new_id, cnt AS pair_count FROM st WHERE lt IS NOT NULL),
+enc AS (SELECT piece, p FROM (SELECT unnest(l) AS p, unnest(range(1, len(l) + 1)) AS n FROM fin) JOIN pcs USING (n)),
+btok AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seg_no, i) - 1 AS INTEGER) AS pos,
+    CAST(unicode(c) - 57344 AS INTEGER) AS token_id
+  FROM (SELECT doc_id, seg_no, unnest(string_split(p, '')) AS c, unnest(range(length(p))) AS i FROM seg JOIN enc USING (piece)))"""
+
+
+__all__ = ["q", "bpe_ctes", "word_tokens_cte", "labels_ctes", "label_name_sql", "kappa_select", "interpretation_sql",
+           "CAPWORD_RE", "SEG_RE", "WORD_RE"]

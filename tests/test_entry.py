@@ -3,8 +3,7 @@
 import __spark_entry__ as E
 
 #: Queries without SQL (the optional corpus operators are listed by themselves).
-ROWS_ONLY = {"bpe_train", "bpe_encode", "tokenizer_save", "tokenizer_load", "capitalised_vocab",
-             "vocab_coverage_by_size", "bpe_kappa", "generate_sample", "sample_box", "runs_sink", "runs_source",
+ROWS_ONLY = {"generate_sample", "sample_box", "runs_sink", "runs_source",
              "tagger_fit", "tagger_predict", "tagger_eval", "pred_align"}
 
 
