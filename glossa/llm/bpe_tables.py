@@ -3,35 +3,43 @@
 Words are the runs between ASCII white space.  The vocabulary's normaliser and splitter never look across white space,
 so the ids of a text are the ids of its words in order.
 
-1. Each task counts its words; Spark adds the counts up.  Each distinct word is encoded once by the tokenizers library.
-2. Decoding joins the ids of the distinct words with the id-to-piece table (as many rows as the vocabulary has).
-3. The ids come back by position.  The ``max_common`` most frequent words with their ids are broadcast - a bound that
-   doesn't depend on the corpus - and applied while the text is read.  Every other word
-   of a text goes out as (text's key, position, word), is joined with the word table, and returns to its text by a
-   second shuffle.  No word is dropped; rare words can't be hot keys, as frequent ones never get there.
+1. Each task counts its words; Spark adds the counts up.  The words that repeat are encoded once, by the tokenizers library, into the
+   table of distinct words: hash of the word, packed ids.
+2. The ids come back by position: the table is broadcast and joined with the words of each text while the text is read.  Its size has a bound
+   (``MAX_WORDS`` rows of about 30 bytes): if more words repeat, those of the lowest frequencies are left out.
+3. A word outside the table is encoded where it stands.  With a table that holds all words that repeat, those are the words that occur once,
+   so every distinct word is encoded once; else a word left out is encoded at most as often as it occurs, and once per batch of texts.
+   (Joining the rare words by a shuffle gives the same ids; see the README for its figures.)
+4. Decoding joins ids with the id-to-piece table, which has as many rows as the vocabulary (``decode_ids``; for the table's words the same
+   join is a look-up in the broadcast pieces).
 
 Defined results: null text counts as empty (no ids, empty decoded text); repeated rows give repeated results; a null ``doc_id`` stays
-null; an empty table gives no rows; other columns are ignored.  Texts are keyed by (doc_id, hash of the text), so repeated ids
-with other texts don't mix.
+null; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm.common import external_id, internal_id, staged
+from glossa.llm.common import most_frequent, staged
 
-MAX_COMMON = 200_000
+MAX_WORDS = 1_000_000
+#: Repeated words that a text may bring, for the number of files of the word counts.
+WORDS_PER_TEXT = 8
+#: Bytes of texts whose words a task resolves at a time (one longer text is taken by itself).
+CHUNK_BYTES = 3_000_000
 WORDS = re.compile(r"[^\x09-\x0D\x20]+").findall
-FLUSH = 400_000
+FLUSH = 200_000
 
 
 def word_bpe_path() -> str:
@@ -40,7 +48,9 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@functools.lru_cache(1)
 def _load(path: str):
+    """The tokenizer, once per worker process."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -69,20 +79,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _counted(c)
 
 
-def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """``word, n, ids`` of every distinct word, each encoded once."""
-    counts = docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def word_table(docs: DataFrame, path: str, max_words: int) -> DataFrame:
+    """``hash, ids`` of the words that repeat, each encoded once; the most frequent if there are more than ``max_words``."""
+    counts = staged(docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-words",
+                    WORDS_PER_TEXT * docs.count())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _load(path)
         for b in batches:
-            ids = [e.ids for e in tokenizer.encode_batch(b["word"].to_pylist(), add_special_tokens=False)]
-            yield pa.record_batch([b["word"], b["n"], pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
+            ids = [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(b["word"].to_pylist(), add_special_tokens=False)]
+            yield pa.record_batch([b["hash"], pa.array(ids, pa.binary())], ["hash", "ids"])
 
-    return counts.mapInArrow(encode, "word string, n long, ids array<int>")
+    chosen = most_frequent(counts, max_words).select("word", F.xxhash64("word").alias("hash"))
+    return chosen.mapInArrow(encode, "hash long, ids binary")
 
 
-def id_to_piece(spark, path: str) -> DataFrame:
+def id_to_piece(spark: SparkSession, path: str) -> DataFrame:
     """``id, piece`` of the vocabulary and its special tokens: one row per id, read in a task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,81 +105,96 @@ def id_to_piece(spark, path: str) -> DataFrame:
     return spark.range(0, 1, 1, 1).mapInArrow(read, "id int, piece string")
 
 
-def decode_words(words: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``word, n, ids, decoded``: the ids joined with their pieces (the vocabulary's rows are broadcast), in order, one space between."""
-    at = words.select("word", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(pieces), "id")
-    spelled = at.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"))
-    spelled = spelled.select("word", F.array_join(F.transform("p", lambda p: p["piece"]), " ").alias("decoded"))
-    return words.join(spelled, "word", "left").select("word", "n", "ids", F.coalesce("decoded", F.lit("")).alias("decoded"))
-
-
-class _Common:
-    """The broadcast words: row number by word, ids and decoded text by row number."""
-
-    def __init__(self, rows: list) -> None:
-        self.row = {r["word"]: i for i, r in enumerate(rows)}
-        self.ids = [" ".join(map(str, r["ids"])) for r in rows]
-        self.size = [len(r["ids"]) for r in rows]
-        self.decoded = [r["decoded"] for r in rows]
-
-
-def _digests(ids: str, decoded: str) -> tuple[str, str]:
-    return hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
-
-
-def encode_documents(docs: DataFrame, path: str | None = None, max_common: int = MAX_COMMON) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
+def decode_ids(encoded: DataFrame, pieces: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key, decoded`` of rows ``key, ids`` (array): the ids joined with their pieces, in order, one space between; no ids give an empty text."""
+    at = encoded.select(key, F.posexplode_outer("ids").alias("pos", "id")).join(F.broadcast(pieces), "id", "left")
+    at = at.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("p"))
+    return at.select(key, F.coalesce(F.array_join(F.transform("p", lambda p: p["piece"]), " "), F.lit("")).alias("decoded"))
+
+
+class Table:
+    """The broadcast table of distinct words (sorted hashes, ids in one array) and the pieces by id."""
+
+    def __init__(self, words: pa.Table, pieces: pa.Table) -> None:
+        hashes = words["hash"].to_numpy()
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        ids = words["ids"].to_pylist()
+        self.stops = np.cumsum([len(ids[i]) // 4 for i in order.tolist()], dtype=np.int32)
+        flat = np.frombuffer(b"".join([ids[i] for i in order.tolist()]), np.uint32)
+        self.ids = flat.astype(np.uint16) if not len(flat) or flat.max() < 1 << 16 else flat
+        self.pieces = [""] * (1 + max(pieces["id"].to_pylist(), default=0))
+        for i, piece in zip(pieces["id"].to_pylist(), pieces["piece"].to_pylist()):
+            self.pieces[i] = piece
+        self.names = [str(i) for i in range(len(self.pieces))]
+
+    def find(self, words: list[str]) -> list[list[int] | None]:
+        """The ids of each word, or None."""
+        if not len(self.hashes) or not words:
+            return [None] * len(words)
+        wanted = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)  # as Spark's xxhash64
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        stops = self.stops[at]
+        starts = np.where(at > 0, self.stops[at - 1], 0)
+        return [self.ids[x:y].tolist() if h else None for h, x, y in zip((self.hashes[at] == wanted).tolist(), starts.tolist(), stops.tolist())]
+
+
+Entry = tuple[int, str, str]
+NOTHING: Entry = (0, "", "")
+
+
+def resolve(words: list[str], table: Table, tokenizer) -> dict[str, Entry]:
+    """word -> (number of ids, ids as text, decoded text); ``NOTHING`` for a word without ids."""
+    found = table.find(words)
+    rest = [w for w, ids in zip(words, found) if ids is None]
+    encoded = iter([e.ids for e in tokenizer.encode_batch(rest, add_special_tokens=False)] if rest else ())
+    out = {}
+    for w, ids in zip(words, found):
+        ids = next(encoded) if ids is None else ids
+        out[w] = (len(ids), " ".join([table.names[i] for i in ids]), " ".join([table.pieces[i] for i in ids])) if ids else NOTHING
+    return out
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    lo = size = 0
+    for i, n in enumerate(pc.binary_length(batch["text"]).to_pylist()):
+        if i > lo and size + n > CHUNK_BYTES:
+            yield batch.slice(lo, i - lo)
+            lo, size = i, 0
+        size += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
+def encode_texts(docs: DataFrame, path: str | None = None, max_words: int = MAX_WORDS) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded`` of every document; ``ids`` are decimal numbers with one space between."""
     path = path or word_bpe_path()
     spark = docs.sparkSession
-    docs = docs.select(internal_id().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    words = staged(word_table(docs, path), "bpe-words")
-    words = staged(decode_words(words, id_to_piece(spark, path)), "bpe-decoded")
-    top = words.orderBy(F.desc("n"), "word").limit(max_common).select("word", "ids", "decoded").collect()
-    common = spark.sparkContext.broadcast(_Common(top))
-    keyed = docs.select("_id", F.xxhash64("text").alias("_text"), "text")
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = common.value.row
-        for b in batches:
-            ids, keys, pos, out = [], [], [], []
-            for i, k, t in zip(b["_id"].to_pylist(), b["_text"].to_pylist(), b["text"]):
-                unseen = [w for w in dict.fromkeys(split_words(t.as_py())) if w not in row]
-                ids += [i] * len(unseen)
-                keys += [k] * len(unseen)
-                pos += range(len(unseen))
-                out += unseen
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(pos, pa.int32()), pa.array(out, pa.string())],
-                                  ["_id", "_text", "pos", "word"])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = common.value
-        for b in batches:
-            result = []
-            for t, extra in zip(b["text"], b["found"]):
-                more = iter(extra.as_py() or ())
-                own: dict = {}
-                ids, decoded, n = [], [], 0
-                for w in split_words(t.as_py()):
-                    i = c.row.get(w)
-                    if i is not None:
-                        size, spelled, text = c.size[i], c.ids[i], c.decoded[i]
-                    else:
-                        if w not in own:
-                            f = next(more)
-                            own[w] = len(f["ids"]), " ".join(map(str, f["ids"])), f["decoded"]
-                        size, spelled, text = own[w]
-                    if size:
-                        n += size
-                        ids.append(spelled)
-                        decoded.append(text)
-                result.append((n, *_digests(" ".join(ids), " ".join(decoded))))
-            cols = list(zip(*result)) if result else [(), (), ()]
-            yield pa.record_batch([b["_id"], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())],
-                                  ["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rare = keyed.mapInArrow(missing, "_id long, _text long, pos int, word string").distinct()
-    found = rare.join(words.select("word", "ids", "decoded"), "word").groupBy("_id", "_text").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ids", "decoded"))).alias("found"))
-    full = keyed.join(found, ["_id", "_text"], "left").select("_id", "text", "found")
-    return full.mapInArrow(finish, "_id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumn(
-        "doc_id", external_id("_id")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    shared = spark.sparkContext.broadcast(Table(word_table(docs, path, max_words).toArrow(), id_to_piece(spark, path).toArrow()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, tokenizer = shared.value, _load(path)
+        for whole in batches:
+            for b in _chunks(whole):
+                texts = [split_words(t.as_py()) for t in b["text"]]
+                known = resolve(list(set().union(*texts)), table, tokenizer)
+                rows = []
+                for words in texts:
+                    found = list(map(known.__getitem__, words))
+                    if NOTHING in found:
+                        found = [f for f in found if f is not NOTHING]
+                    sizes, ids, decoded = zip(*found) if found else ((), (), ())
+                    rows.append((sum(sizes), " ".join(ids), " ".join(decoded)))
+                n, ids, decoded = zip(*rows)
+                yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                                      ["doc_id", "n_tokens", "ids", "decoded"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids string, decoded string")
+
+
+def encode_documents(docs: DataFrame, path: str | None = None, max_words: int = MAX_WORDS) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
+    return encode_texts(docs, path, max_words).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
