@@ -9,14 +9,14 @@ Every stage works on all documents that the one before it kept, and its decision
 5. ``bpe``          returns the ids of every remaining text, with counts and digests.
 
 All stages but the last return the columns of documents.  Documents are told apart by id and text, so repeated rows count as copies.
-Defined results: null and empty texts have no letters and are dropped by the first stage; an empty table passes through.
+Defined results: rows without an id are told apart by text alone; null and empty texts have no letters and are dropped by the first stage; an empty table passes through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import bpe_tables, decontaminate, exact_dedup, group_matrix, language_id
@@ -25,27 +25,35 @@ from glossa.llm.common import documents, if_small, internal_id, staged
 LEAST_SCORE = 0.5
 
 
-def _without(docs: DataFrame, dropped: DataFrame, rows: int) -> DataFrame:
-    """``docs`` without the ids in ``dropped`` (staged, as it is counted and used): broadcast if few, else Spark shuffles."""
-    dropped = staged(dropped.select(F.col("doc_id").alias("_dropped")).distinct(), "pipeline-dropped", rows)
-    return docs.join(if_small(dropped), internal_id() == internal_id("_dropped"), "left_anti")
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _without(docs: DataFrame, dropped: DataFrame, text_key: Column, rows: int) -> DataFrame:
+    """``docs`` without the rows whose id and text key are in ``dropped`` (``doc_id, text_key``): broadcast if few, else Spark shuffles."""
+    dropped = staged(dropped.select(internal_id().alias("_dropped"), F.col("text_key").alias("_dropped_text")).distinct(), "pipeline-dropped", rows)
+    return docs.join(if_small(dropped), (internal_id() == F.col("_dropped")) & (text_key == F.col("_dropped_text")), "left_anti")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = language_id.language_id(docs)
-    return _without(docs, told.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SCORE)), docs.count())
+    rejected = told.where((F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < LEAST_SCORE))
+    return _without(docs, rejected, _text_key(F.col("text")), docs.count())
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = exact_dedup.exact_dedup(docs)
-    kept = _without(docs, told.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept"), docs.count())
-    repeated = told.where("kept = false AND keep_id <=> doc_id").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    text = F.sha2(exact_dedup.normalised(F.col("text")), 256)
+    dropped = told.groupBy("doc_id", F.col("text_sha256").alias("text_key")).agg(F.max("kept").alias("kept")).where("NOT kept")
+    kept = _without(docs, dropped, text, docs.count())
+    if not told.where("kept = false AND keep_id <=> doc_id").limit(1).count():
+        return kept
+    return kept.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")  # the kept row itself is repeated
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = group_matrix.jaccard_components(docs)
-    return _without(docs, told.where(~F.col("component_id").eqNullSafe(F.col("doc_id"))), docs.count())
+    return _without(docs, told.where(~F.col("component_id").eqNullSafe(F.col("doc_id"))), _text_key(F.col("text")), docs.count())
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm import blocks as B
-from glossa.llm.common import FILE_ROWS, external_id, internal_id, staged
+from glossa.llm.common import FILE_ROWS, bounded_batches, external_id, internal_id, release, staged
 from glossa.llm.components import components
 from glossa.llm.shingles import mix, shingle_sets, text_bytes
 
@@ -68,10 +68,14 @@ def least_hashes(tokens: np.ndarray) -> list[int]:
 
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sets = shingle_sets(*text_bytes(b["text"]))
-        yield pa.record_batch([b["_id"], pa.array([len(s) for s in sets], pa.int64()),
-                               pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], ["_id", "n", "node"])
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 512):
+            b = whole.slice(lo, 512)
+            sets = shingle_sets(*text_bytes(b["text"]))
+            yield pa.record_batch([b["_id"], b["_text"], pa.array([len(s) for s in sets], pa.int64()),
+                                   pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())], ["_id", "_text", "n", "node"])
+            del sets
+    release()
 
 
 def _block_sets(docs: pa.Table, copies: pa.Table) -> dict[int, np.ndarray]:
@@ -307,10 +311,12 @@ def matrix_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, n_tokens
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+    """``doc_id, n_shingles, component_id, text_key`` (a hash of the text, to tell rows with one id apart) of every document."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(internal_id().alias("_id"), "text")
     rows = docs.count()
-    keys = staged(docs.mapInArrow(_key_rows, "_id long, n long, node long").repartition(max(1, math.ceil(rows / FILE_ROWS))), "matrix-keys")
+    hashed = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    keys = staged(hashed.mapInArrow(_key_rows, "_id long, _text long, n long, node long").repartition(max(1, math.ceil(rows / FILE_ROWS))), "matrix-keys")
     sets = staged(screen(docs, keys, rows), "matrix-sets")
     n_tokens = sets.agg(F.sum("n")).first()[0] or 0
     groups, near = in_groups(sets)
@@ -323,4 +329,5 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = nodes.groupBy("label").agg(F.min("first").alias("component"))
     named = nodes.join(least, "label").select("node", "component")
     return keys.join(named, "node", "left").select(
-        external_id("_id").alias("doc_id"), F.col("n").alias("n_shingles"), external_id(F.coalesce("component", "_id")).alias("component_id"))
+        external_id("_id").alias("doc_id"), F.col("n").alias("n_shingles"), external_id(F.coalesce("component", "_id")).alias("component_id"),
+        F.col("_text").alias("text_key"))

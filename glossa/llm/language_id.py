@@ -4,7 +4,7 @@ Learning: Spark counts (lang, word) over every labelled training text; each task
 shuffle.  The model holds, per language, the log frequency of the ``max_words`` most frequent words
 and of the ``max_grams`` most frequent character n-grams of each length up to five, taken over the
 known words (``^`` and ``$`` mark a word's ends).  Both bounds are parameters, so the broadcast model has
-a fixed largest size (about 40 MB with the defaults), however large the corpus is.
+a fixed largest size (about 30 MB with the defaults), however large the corpus is.
 
 Scoring: a known word adds its log frequency per language.  An unseen word is scored by the longest
 n-grams of which any is known: first those of five characters, then four, down to one; the mean log
@@ -30,16 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import fold, most_frequent, staged
+from glossa.llm.common import bounded_batches, fold, most_frequent, release, staged
 
 WORD = re.compile(r"[^\W\d_]+")
 MAX_WORD = 40
 MAX_ORDER = 5
-MAX_WORDS = 200_000
+MAX_WORDS = 120_000
 MAX_GRAMS = 20_000
 SMOOTH = 0.5
 #: Distinct (lang, word) pairs that a task holds before it passes them on.
-FLUSH = 400_000
+FLUSH = 200_000
+#: Unseen words that a task keeps scored.
+KEEP = 40_000
 UNDETERMINED = "und"
 #: New words that a text may bring, for the number of files of the word counts.
 WORDS_PER_TEXT = 8
@@ -72,6 +74,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _pairs(counts)
                 counts = {}
     yield _pairs(counts)
+    del counts
+    release()
 
 
 @dataclass
@@ -87,6 +91,7 @@ class Model:
 
 def word_counts(train: DataFrame) -> DataFrame:
     """``lang, word, n`` over all rows with text and lang; summed in each task before the shuffle."""
+    bounded_batches(train.sparkSession)
     rows = train.select("lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     return rows.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -162,7 +167,8 @@ def score_text(text: str | None, model: Model, cache: dict[str, np.ndarray | Non
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every document; the model is broadcast once."""
+    """``doc_id, held_out, lang_pred, score, text_key`` (a hash of the text, to tell rows with one id apart) of every document; the model is broadcast once."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +177,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             found = []
             for t in b["text"]:
                 found.append(score_text(t.as_py(), m, cache))
-                if len(cache) > FLUSH // 4:
+                if len(cache) > KEEP:
                     cache.clear()
             yield pa.record_batch([b["doc_id"], b["held_out"], pa.array([x for x, _ in found], pa.string()),
-                                   pa.array([s for _, s in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+                                   pa.array([s for _, s in found], pa.float64()), b["text_key"]],
+                                  ["doc_id", "held_out", "lang_pred", "score", "text_key"])
+        del m, cache
+        release()
 
-    rows = docs.select("doc_id", (fold(4) == 2).alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", (fold(4) == 2).alias("held_out"), F.col("text").cast("string").alias("text"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, text_key long")
 
 
 def language_id(docs: DataFrame) -> DataFrame:

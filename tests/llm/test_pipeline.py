@@ -32,11 +32,13 @@ def test_stages_take_effect(spark):
 
 def test_odd_rows(spark, table):
     text = "the of and to in that is was for it with as his on be at by this had not " * 3
-    docs = table([(1, text), (1, text), (2, text + " more"), (3, None), (4, ""), (None, text), (5, "12 34")])
+    docs = table([(1, text), (1, text), (2, text + " more"), (3, None), (4, ""), (None, text), (None, ""), (5, "12 34")])
     kept = P.exact_stage(spark, docs, SF)
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 2, 3, 5]
     kept = P.language_stage(spark, docs, SF)
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 1, 2]
+    kept = P.near_stage(spark, table([(1, text), (None, text + " x"), (None, "some other words here now"), (None, ""), (7, "")]), SF)
+    assert sorted(((r["doc_id"] or 0), (r["text"] or "")[:4]) for r in kept.collect()) == [(0, ""), (0, "some"), (1, "the "), (7, "")]
     empty = docs.where("false")
     for _, stage in P.STAGES:
         assert stage(spark, empty, SF).count() == 0
