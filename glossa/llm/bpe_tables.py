@@ -3,12 +3,12 @@
 Words are the runs between ASCII white space.  The vocabulary's normaliser and splitter never look across white space,
 so the ids of a text are the ids of its words in order.
 
-1. Each task counts its words; Spark adds the counts up.  The words that repeat are encoded once, by the tokenizers library, into the
-   table of distinct words: hash of the word, packed ids.
+1. Each task takes the distinct words of chunks of texts; Spark counts in how many chunks a word is.  The words of more than one chunk are
+   encoded once, by the tokenizers library, into the table of distinct words: hash of the word, packed ids.
 2. The ids come back by position: the table is broadcast and joined with the words of each text while the text is read.  Its size has a bound
    (``MAX_WORDS`` rows of about 30 bytes): if more words repeat, those of the lowest frequencies are left out.
-3. A word outside the table is encoded where it stands.  With a table that holds all words that repeat, those are the words that occur once,
-   so every distinct word is encoded once; else a word left out is encoded at most as often as it occurs, and once per batch of texts.
+3. A word outside the table is encoded where it stands, once per chunk.  With a table that holds all words of more than one chunk, every
+   distinct word is encoded once; else a word left out is encoded once in each of its (few) chunks.
    (Joining the rare words by a shuffle gives the same ids; see the README for its figures.)
 4. Decoding joins ids with the id-to-piece table, which has as many rows as the vocabulary (``decode_ids``; for the table's words the same
    join is a look-up in the broadcast pieces).
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm.common import most_frequent, staged
+from glossa.llm.common import bounded_batches, most_frequent, release, staged
 
 MAX_WORDS = 1_000_000
 #: Repeated words that a text may bring, for the number of files of the word counts.
@@ -70,17 +70,19 @@ def _counted(c: Counter) -> pa.RecordBatch:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     c: Counter = Counter()
-    for b in batches:
-        for t in b["text"]:
-            c.update(split_words(t.as_py()))
+    for whole in batches:
+        for b in _chunks(whole):
+            c.update(set().union(*[split_words(t.as_py()) for t in b["text"]]))
             if len(c) > FLUSH:
                 yield _counted(c)
                 c = Counter()
     yield _counted(c)
+    del c
+    release()
 
 
 def word_table(docs: DataFrame, path: str, max_words: int) -> DataFrame:
-    """``hash, ids`` of the words that repeat, each encoded once; the most frequent if there are more than ``max_words``."""
+    """``hash, ids`` of the words of more than one chunk, each encoded once; the most frequent if there are more than ``max_words``."""
     counts = staged(docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-words",
                     WORDS_PER_TEXT * docs.count())
 
@@ -170,15 +172,19 @@ def encode_texts(docs: DataFrame, path: str | None = None, max_words: int = MAX_
     """``doc_id, n_tokens, ids, decoded`` of every document; ``ids`` are decimal numbers with one space between."""
     path = path or word_bpe_path()
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shared = spark.sparkContext.broadcast(Table(word_table(docs, path, max_words).toArrow(), id_to_piece(spark, path).toArrow()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tokenizer = shared.value, _load(path)
+        known: dict[str, Entry] = {}
         for whole in batches:
             for b in _chunks(whole):
                 texts = [split_words(t.as_py()) for t in b["text"]]
-                known = resolve(list(set().union(*texts)), table, tokenizer)
+                distinct = set().union(*texts)
+                found = resolve([w for w in distinct if w not in known], table, tokenizer)
+                known = {w: known[w] if w in known else found[w] for w in distinct}  # frequent words stay from chunk to chunk
                 rows = []
                 for words in texts:
                     found = list(map(known.__getitem__, words))
@@ -189,6 +195,8 @@ def encode_texts(docs: DataFrame, path: str | None = None, max_words: int = MAX_
                 n, ids, decoded = zip(*rows)
                 yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                                       ["doc_id", "n_tokens", "ids", "decoded"])
+        del known, table
+        release()
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids string, decoded string")

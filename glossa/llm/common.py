@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import os
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,27 @@ def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of texts that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on Arrow batches to ``BATCH_BYTES``: ten thousand long texts make one large batch otherwise."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system: a worker process lives on and serves other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass
+
+
 def internal_id(col: str | Column = "doc_id") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(NULL_ID)).cast("long")
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm import blocks as B
-from glossa.llm.common import external_id, internal_id
+from glossa.llm.common import bounded_batches, external_id, internal_id
 from glossa.llm.shingles import mix, text_bytes
 from glossa.llm.suffix_array import suffix_array
 
@@ -423,6 +423,7 @@ def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every document: the removed runs of bytes and the bytes that are left."""
+    bounded_batches(docs.sparkSession)
     rows = docs.count()
     n = B.block_count(rows)
     dealt = B.with_block(docs.select(internal_id().alias("_id"), F.col("text").cast("string").alias("text")), n)

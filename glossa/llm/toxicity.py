@@ -28,7 +28,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import fold, staged
+from glossa.llm.common import bounded_batches, fold, staged
 
 SAMPLE_ROWS = 20_000
 LEXICON_WORDS = 400
@@ -97,6 +97,7 @@ def features_of(text: str | None, lexicon: Lexicon) -> list[float]:
 
 def with_features(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``features`` (array) of every row with ``text``."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
