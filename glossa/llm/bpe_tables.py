@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 
 from glossa.llm.common import bounded_batches, most_frequent, release, staged
 
-MAX_WORDS = 1_000_000
+MAX_WORDS = 700_000
 #: Repeated words that a text may bring, for the number of files of the word counts.
 WORDS_PER_TEXT = 8
 #: Bytes of texts whose words a task resolves at a time (one longer text is taken by itself).
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 2_500_000
+#: Texts that go back at once: their ids and pieces are several times as long as they are.
+ROWS_OUT = 64
 WORDS = re.compile(r"[^\x09-\x0D\x20]+").findall
-FLUSH = 200_000
+FLUSH = 100_000
 
 
 def word_bpe_path() -> str:
@@ -185,16 +187,17 @@ def encode_texts(docs: DataFrame, path: str | None = None, max_words: int = MAX_
                 distinct = set().union(*texts)
                 found = resolve([w for w in distinct if w not in known], table, tokenizer)
                 known = {w: known[w] if w in known else found[w] for w in distinct}  # frequent words stay from chunk to chunk
-                rows = []
-                for words in texts:
-                    found = list(map(known.__getitem__, words))
-                    if NOTHING in found:
-                        found = [f for f in found if f is not NOTHING]
-                    sizes, ids, decoded = zip(*found) if found else ((), (), ())
-                    rows.append((sum(sizes), " ".join(ids), " ".join(decoded)))
-                n, ids, decoded = zip(*rows)
-                yield pa.record_batch([b["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                                      ["doc_id", "n_tokens", "ids", "decoded"])
+                for lo in range(0, len(texts), ROWS_OUT):
+                    rows = []
+                    for words in texts[lo : lo + ROWS_OUT]:
+                        found = list(map(known.__getitem__, words))
+                        if NOTHING in found:
+                            found = [f for f in found if f is not NOTHING]
+                        sizes, ids, decoded = zip(*found) if found else ((), (), ())
+                        rows.append((sum(sizes), " ".join(ids), " ".join(decoded)))
+                    n, ids, decoded = zip(*rows)
+                    yield pa.record_batch([b["doc_id"].slice(lo, ROWS_OUT), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                                           pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
         del known, table
         release()
 

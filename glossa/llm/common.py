@@ -44,7 +44,7 @@ def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
 
 
 #: Bytes of texts that go to a Python worker at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
