@@ -1,10 +1,10 @@
 """Language identification by words first, backing off to character n-grams.
 
-Learning: Spark counts (lang, word) over every labelled training text; each task adds up its own words before the
-shuffle.  The model holds, per language, the log frequency of the ``max_words`` most frequent words
-and of the ``max_grams`` most frequent character n-grams of each length up to five, taken over the
-known words (``^`` and ``$`` mark a word's ends).  Both bounds are parameters, so the broadcast model has
-a fixed largest size (about 30 MB with the defaults), however large the corpus is.
+Learning: Spark counts (lang, word) over every labelled training text, and character n-grams of each length up to five
+over all distinct (lang, word) (``^`` and ``$`` mark a word's ends); each task adds up its own before the shuffle.
+The model holds the log frequencies of about ``max_words`` words and of about ``max_grams`` n-grams of each length.  Every language
+has an equal share of both for what is most frequent in it, however small it is beside the others; what a language doesn't use goes to the others.
+Both bounds are parameters, so the broadcast model has a fixed largest size (about 50 MB with the defaults), however large the corpus is.
 
 Scoring: a known word adds its log frequency per language.  An unseen word is scored by the longest
 n-grams of which any is known: first those of five characters, then four, down to one; the mean log
@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import bounded_batches, fold, most_frequent, release, staged
+from glossa.llm.common import bounded_batches, fold, release, staged
 
 WORD = re.compile(r"[^\W\d_]+")
 MAX_WORD = 40
 MAX_ORDER = 5
-MAX_WORDS = 120_000
+MAX_WORDS = 200_000
 MAX_GRAMS = 20_000
 SMOOTH = 0.5
 #: Distinct (lang, word) pairs that a task holds before it passes them on.
@@ -56,13 +56,13 @@ def grams_of(word: str, order: int) -> list[str]:
     return [marked[i : i + order] for i in range(len(marked) - order + 1)]
 
 
-def _pairs(counts: dict[str, Counter]) -> pa.RecordBatch:
+def _pairs(counts: dict[str, Counter], key: str) -> pa.RecordBatch:
     langs, keys, ns = [], [], []
     for lang, c in counts.items():
         langs += [lang] * len(c)
         keys += c.keys()
         ns += c.values()
-    return pa.record_batch([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(ns, pa.int64())], ["lang", "word", "n"])
+    return pa.record_batch([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(ns, pa.int64())], ["lang", key, "n"])
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,9 +71,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(b["lang"], b["text"]):
             counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
             if sum(map(len, counts.values())) > FLUSH:
-                yield _pairs(counts)
+                yield _pairs(counts, "word")
                 counts = {}
-    yield _pairs(counts)
+    yield _pairs(counts, "word")
+    del counts
+    release()
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word of a language counts once: unseen words are like rare ones."""
+    counts: dict[str, Counter] = {}
+    for b in batches:
+        for lang, word in zip(b["lang"], b["word"]):
+            c, w = counts.setdefault(lang.as_py(), Counter()), word.as_py()
+            for order in range(1, MAX_ORDER + 1):
+                c.update(grams_of(w, order))
+            if sum(map(len, counts.values())) > FLUSH:
+                yield _pairs(counts, "gram")
+                counts = {}
+    yield _pairs(counts, "gram")
     del counts
     release()
 
@@ -102,13 +118,47 @@ def _logs(counts: dict[str, list[int]], totals: np.ndarray) -> tuple[dict[str, i
     return {key: i for i, key in enumerate(counts)}, np.log((n + SMOOTH) / (totals + SMOOTH * max(1, len(counts))))
 
 
-def _known_words(counts: DataFrame, langs: list[str], limit: int) -> dict[str, list[int]]:
-    """``word -> count per language`` of the most frequent words; the driver gets no more rows than ``limit``."""
-    wide = counts.where(F.length("word") <= MAX_WORD).groupBy("word").agg(
-        F.sum("n").alias("n"), *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"_{i}") for i, lang in enumerate(langs)])
-    rows = most_frequent(wide, limit).drop("n").toArrow()
+def _shares(sizes: dict[str, int], limit: int) -> dict[str, int]:
+    """``limit`` in equal shares; what a language has no use for is left to the larger ones."""
+    out, left = {}, limit
+    for i, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[lang] = min(sizes[lang], left // (len(sizes) - i))
+        left -= out[lang]
+    return out
+
+
+def _known(counts: DataFrame, langs: list[str], limit: int) -> tuple[dict[int, dict[str, list[int]]], dict[int, np.ndarray]]:
+    """By kind: ``key -> count per language`` of each language's most frequent keys, and the totals per language of all keys; ``counts`` has ``lang, key, kind, n``.
+
+    A language's keys are taken by whole classes of frequency (an eighth of a power of two wide), and of the class that fits in part by a hash.
+    The driver gets a row per class and about ``limit`` keys of each kind; no task sorts or keeps the top rows.
+    """
+    spark = counts.sparkSession
+    counts = counts.withColumn("class", F.floor(F.log2(F.col("n").cast("double")) * 8))
+    classes = counts.groupBy("kind", "lang", "class").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).orderBy("kind", F.desc("class")).collect()
+    totals: dict[int, np.ndarray] = {}
+    bounds = []
+    for kind in sorted({r["kind"] for r in classes}):
+        mine = [r for r in classes if r["kind"] == kind]
+        totals[kind] = np.array([float(sum(r["n"] for r in mine if r["lang"] == lang)) for lang in langs])
+        left = _shares({lang: sum(r["rows"] for r in mine if r["lang"] == lang) for lang in langs}, limit)
+        for r in mine:
+            take = min(r["rows"], left[r["lang"]])
+            left[r["lang"]] -= take
+            bounds.append((kind, r["lang"], r["class"], take / r["rows"]))
+    if not bounds:
+        return {}, totals
+    taken = spark.createDataFrame(bounds, "kind int, lang string, class long, part double")
+    marked = counts.join(F.broadcast(taken), ["kind", "lang", "class"])
+    in_part = F.pmod(F.xxhash64("key", F.lit(17)), F.lit(1 << 20)) < F.col("part") * (1 << 20)
+    wide = marked.groupBy("kind", "key").agg(
+        F.max(in_part).alias("known"), *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"_{i}") for i, lang in enumerate(langs)])
+    rows = wide.where("known").toArrow()
     columns = [rows[f"_{i}"].to_pylist() for i in range(len(langs))]
-    return dict(sorted(zip(rows["word"].to_pylist(), map(list, zip(*columns)))))
+    out: dict[int, dict[str, list[int]]] = {kind: {} for kind in totals}
+    for kind, key, *ns in sorted(zip(rows["kind"].to_pylist(), rows["key"].to_pylist(), *columns)):
+        out[kind][key] = ns
+    return out, totals
 
 
 def fit(train: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
@@ -117,20 +167,15 @@ def fit(train: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS
     langs = sorted(totals)
     if not langs:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    known = _known_words(counts, langs, max_words)
-    words, word_logs = _logs(known, np.array([totals[lang] for lang in langs]))
+    known, _ = _known(counts.where(F.length("word") <= MAX_WORD).select("lang", F.col("word").alias("key"), F.lit(0).alias("kind"), "n"), langs, max_words)
+    words, word_logs = _logs(known.get(0, {}), np.array([totals[lang] for lang in langs]))
+    grams = staged(counts.select("lang", "word").mapInArrow(_count_grams, "lang string, gram string, n long")
+                   .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams", counts.count())
+    known, by_order = _known(grams.select("lang", F.col("gram").alias("key"), F.length("gram").alias("kind"), "n"), langs, max_grams)
     rows: dict[str, int] = {}
-    logs = []
-    for order in range(1, MAX_ORDER + 1):
-        sums = [Counter() for _ in langs]
-        for word, ns in known.items():
-            for g in grams_of(word, order):
-                for c, n in zip(sums, ns):
-                    if n:
-                        c[g] += 1  # each word of a language counts once: unseen words are like rare ones
-        every = sum(sums, Counter())
-        grams = {g: [c[g] for c in sums] for g, _ in sorted(every.items(), key=lambda x: (-x[1], x[0]))[:max_grams]}
-        index, part = _logs(grams, np.array([float(c.total()) for c in sums]))
+    logs = [np.zeros((0, len(langs)))]
+    for order, found in known.items():
+        index, part = _logs(found, by_order[order])
         rows |= {g: i + len(rows) for g, i in index.items()}
         logs.append(part)
     return Model(langs, words, word_logs, rows, np.concatenate(logs))

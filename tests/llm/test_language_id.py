@@ -31,6 +31,25 @@ def test_unseen_words_back_off(table):
     assert (lang, score) == ("de", 0.5)
 
 
+def test_small_language_keeps_its_share(table):
+    """A large language with more words than the bound doesn't displace a small one's, and n-grams come from all words."""
+    letters = "abcdefghij"
+    many = [" ".join(f"{a}{b}{c}{d}" for d in letters) for a in letters for b in letters for c in letters]
+    rows = [(i, f"{text} {text} {text}", "en") for i, text in enumerate(many)] + [(5000, "zwölf öfen müßig größe", "de"), (5001, "k" * 60 + "ß", "de")]
+    model = language_id.fit(table(rows), max_words=400, max_grams=60)
+    assert {"zwölf", "öfen", "müßig", "größe"} <= set(model.words) and 300 < len(model.words) < 500
+    assert {"zwö", "größ", "müßig"} <= set(model.grams) and {"kkkkk", "kkkß$"} <= set(model.grams)
+    assert all(20 < sum(len(g) == order for g in model.grams) < 100 for order in range(2, 6))
+    assert language_id.score_text("zwölf größe", model, {})[0] == "de"
+
+
+def test_n_grams_of_unknown_words(table):
+    train = table([(i, "der die das " * 40, "de") for i in range(5)] + [(50, "straße größe", "de")] + [(60 + i, "the of and " * 40, "en") for i in range(5)])
+    model = language_id.fit(train, max_words=6)
+    assert len(model.words) == 6 and "straße" not in model.words
+    assert "traße" in model.grams and language_id.score_text("straßen", model, {})[0] == "de"
+
+
 def test_edges(table, spark):
     rows = [(0, "the word " * 50_000), (1, None), (2, ""), (3, "123 ... 456"), (4, "the word"), (4, "the word"), (None, "the word"), (5, "Wort und Wort", "de"),
             (6, "the word", None), (7, "die Wort und", "de"), (8, "x" * 100_000)]
