@@ -120,7 +120,7 @@ def screen(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
             mine = right.filter(pa.compute.is_valid(right["_id"]))
             for node, s in _block_sets(left, mine).items():
                 alone = int((~B.held(_screened(s), shared_here)).sum())
-                if alone <= len(s) - needed(len(s)) and len(shared_here):
+                if alone <= len(s) - needed(len(s)):
                     rows.append((node, len(s), *least_hashes(s), s.view(np.int64)))
         cols = list(zip(*rows)) if rows else [()] * 5
         return pa.table({"node": pa.array(cols[0], pa.int64()), "n": pa.array(cols[1], pa.int64()), "m1": pa.array(cols[2], pa.int64()),

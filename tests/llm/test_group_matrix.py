@@ -70,6 +70,24 @@ def test_against_all_pairs(table, monkeypatch, group, block):
     assert out == brute(rows)
 
 
+def test_short_pairs_alone(table):
+    """Two linked texts of which all shared shingles may lie in the half that the screen doesn't look at, with nothing else shared in their block."""
+    rng = random.Random(8)
+    pairs, hidden = [], []
+    while len(hidden) < 3 or len(pairs) < 1:
+        words = [f"v{rng.randrange(10**6)}" for _ in range(8)]
+        pair = [" ".join(words[:7]), " ".join(words)]
+        a, _ = shingle_sets(*text_bytes(pa.array(pair, pa.string())))
+        if (a >= group_matrix._HALF).all():
+            hidden.append(pair)
+        elif not pairs:
+            pairs.append(pair)
+    for pair in pairs + hidden:
+        rows = list(enumerate(pair))
+        out = sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in group_matrix.jaccard_components(table(rows)).collect()], key=str)
+        assert out == brute(rows) == [(0, 3, 0), (1, 4, 0)]
+
+
 def test_shingles_are_sets_of_words():
     rng = random.Random(2)
     for _ in range(60):
