@@ -4,7 +4,7 @@ Every stage works on all documents that the one before it kept, and its decision
 
 1. ``language_id``  drops documents whose language can't be told (no letters, or a score under ``LEAST_SCORE``);
 2. ``exact_dedup``  keeps one document of each exact text;
-3. ``near_dedup``   keeps the document with the smallest id of each component of the n-gram Jaccard join;
+3. ``near_dedup``   keeps the document with the smallest id (then text key) of each component of the n-gram Jaccard join;
 4. ``decontaminate``  drops documents that overlap with a benchmark item;
 5. ``bpe``          returns the ids of every remaining text, with counts and digests.
 
@@ -52,8 +52,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    told = group_matrix.jaccard_components(docs)
-    return _without(docs, told.where(~F.col("component_id").eqNullSafe(F.col("doc_id"))), _text_key(F.col("text")), docs.count())
+    told = group_matrix.with_first(docs)
+    first = F.col("component_id").eqNullSafe(F.col("doc_id")) & (F.col("component_key") == F.col("text_key"))
+    return _without(docs, told.where(~first), _text_key(F.col("text")), docs.count())
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

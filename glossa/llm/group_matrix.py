@@ -312,6 +312,11 @@ def matrix_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, n_tokens
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, text_key`` (a hash of the text, to tell rows with one id apart) of every document."""
+    return with_first(docs).drop("component_key")
+
+
+def with_first(docs: DataFrame) -> DataFrame:
+    """As ``jaccard_components``, with ``component_key``: (``component_id, component_key``) are id and text key of the component's smallest row."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(internal_id().alias("_id"), "text")
     rows = docs.count()
@@ -324,10 +329,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     labels = components(near)
     far = matrix_links(sets, groups, labels, n_tokens)
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(far))
-    nodes = keys.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("first"))
+    nodes = keys.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("_id", "_text")).alias("first"))
     nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = nodes.groupBy("label").agg(F.min("first").alias("component"))
     named = nodes.join(least, "label").select("node", "component")
-    return keys.join(named, "node", "left").select(
-        external_id("_id").alias("doc_id"), F.col("n").alias("n_shingles"), external_id(F.coalesce("component", "_id")).alias("component_id"),
-        F.col("_text").alias("text_key"))
+    every = keys.join(named, "node", "left").withColumn("component", F.coalesce("component", F.struct("_id", "_text")))
+    return every.select(external_id("_id").alias("doc_id"), F.col("n").alias("n_shingles"), external_id(F.col("component._id")).alias("component_id"),
+                        F.col("_text").alias("text_key"), F.col("component._text").alias("component_key"))

@@ -44,6 +44,14 @@ def test_odd_rows(spark, table):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_near_copies_without_own_ids(spark, table):
+    text = "the of and to in that is was for it with as his on be at by this had not"
+    other = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, text), (None, text + " x"), (3, other), (3, other + " y"), (3, "some other words here now"), (None, "a fourth text of few words")]
+    kept = [(r["doc_id"], r["text"].split()[0]) for r in P.near_stage(spark, table(rows), SF).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "the"), (3, "w0"), (3, "some"), (None, "a")], key=str)
+
+
 def test_run(spark):
     docs = documents(spark, SF)
     for _, stage in P.STAGES:
