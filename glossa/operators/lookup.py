@@ -9,7 +9,8 @@ one task.  Two plans, chosen by a size check on the dimension side:
   never shuffled;
 * otherwise the fact side is spread by a salt derived from its row identity
   and the dimension is replicated once per salt value, so a hot key is split
-  over ``buckets`` tasks.
+  over ``buckets`` tasks; ``skew_join`` does so for hot keys only, in parts by
+  their weight.
 """
 
 from __future__ import annotations
@@ -45,31 +46,29 @@ def salted_left_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     return f.join(d, cond, "left").drop(d[salt_col]).drop(f[salt_col])
 
 
-#: Dimension rows that count as hot and are broadcast by ``split_left_join``.
-HOT_ROWS = 20_000
+#: Shares that the facts of a ``skew_join`` are thought of as; a key with more than one share is split into as many parts.
+SHARES = 4096
+#: Dimension rows that a ``skew_join`` broadcasts instead.
+BROADCAST_ROWS = DEFAULT_BROADCAST_ROWS // 8
 
 
-def split_left_join(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS // 8, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``facts LEFT JOIN dim USING keys`` for a ``dim`` with unique keys whose ``weight`` tells which are frequent.
+def skew_join(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, spread: list[str], how: str = "left",
+              max_rows: int = BROADCAST_ROWS, shares: int = SHARES) -> DataFrame:
+    """``facts JOIN dim USING keys`` in one pass over ``facts``, for a ``dim`` with unique keys whose ``weight`` is (about) the number of facts of each.
 
-    A small ``dim`` (counted) is broadcast.  Of a larger one, the at most
-    ``hot_rows`` heaviest rows are broadcast, so the facts of frequent keys
-    are never shuffled; the facts of all other keys meet the rest by a
-    shuffle.  ``dim`` should be written before, as it is read several times.
+    A small ``dim`` (counted) is broadcast.  Otherwise a key that holds more than one of ``shares`` equal shares of the weight is hot.  There are fewer
+    than ``shares`` such keys whatever the data, so their list is broadcast.  It marks the facts on their way to the one shuffle: those of a hot
+    key go to as many parts as the key has shares, by a hash of the ``spread`` columns, and only the hot rows of ``dim`` are repeated, once for each part
+    (fewer than twice ``shares`` copies altogether).  Facts with a null key match nothing and are spread as well.  ``how`` is ``left`` or ``inner``; ``dim`` should
+    be written before, as it is counted.
     """
-    if dim.count() <= max_rows:
-        return facts.join(F.broadcast(dim), keys, "left")
-    level = F.floor(F.log2(F.col(weight).cast("double")) * 4)
-    classes = dim.groupBy(level.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
-    bound, total = None, 0
-    for r in classes:
-        total += r["n"]
-        if total > hot_rows:
-            break
-        bound = r["c"]
-    if bound is None:
-        return facts.join(dim, keys, "left")
-    hot = dim.filter(level >= bound)
-    rest = facts.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(dim.filter(level < bound), keys, "left")
-    return facts.join(F.broadcast(hot), keys).unionByName(rest)
+    n, total = dim.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    if n <= max_rows:
+        return facts.join(F.broadcast(dim), keys, how)
+    parts = F.ceil(F.col(weight) * F.lit(shares / max(total or 0, 1))).cast("int")
+    hot = dim.where(parts > 1).select(*keys, parts.alias("_parts"))
+    no_key = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1
+    salt = F.when(F.col("_parts").isNotNull() | no_key, F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(shares)))).otherwise(0).cast("int")
+    marked = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return marked.join(copies, [*keys, "_salt"], how).drop("_salt")
