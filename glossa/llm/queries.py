@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, periodic_runs, suffix_dedup, toxicity, url_filter, warc_derive
+from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, periodic_runs, pivot_simhash, suffix_dedup, toxicity, url_filter, warc_derive
 from glossa.llm.common import Queries, documents
 
 
@@ -52,9 +52,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(periodic_runs.plant_runs(documents(spark, sf_dir)))
 
 
+def op12_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_simhash.simhash_components(documents(spark, sf_dir))
+
+
 QUERIES: Queries = {f.__name__: f for f in (
     op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op5_toxicity, op6_chat_format, op7_bpe_tables, op8_url_filter, op9_warc_derive,
-    op10_group_matrix, op11_periodic_runs)}
+    op10_group_matrix, op11_periodic_runs, op12_pivot_simhash)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
           "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE,

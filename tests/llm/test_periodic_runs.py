@@ -3,8 +3,6 @@ import random
 import zlib
 from fractions import Fraction
 
-import pytest
-
 from glossa.llm import periodic_runs
 from glossa.llm.internal_matching import WaveletTree, runs
 
@@ -114,7 +112,8 @@ def test_odd_rows(table):
     assert periodic_runs.run_digest(periodic_runs.plant_runs(table(rows[:1]).limit(0))).count() == 0
 
 
-@pytest.mark.parametrize("column", ["g", "w", "runs", "best", "collapsed", "n_words"])
-def test_clashing_columns(table, column):
-    docs = table([(1, "b b b b b b c")]).withColumnRenamed("word", column)
+def test_clashing_columns(table):
+    docs = table([(1, "b b b b b b c")])
+    for name in ("g", "w", "runs", "best", "collapsed", "n_words"):
+        docs = docs.withColumn(name, docs["word"])
     assert periodic_runs.run_digest(periodic_runs.plant_runs(docs)).first()["n_runs"] == 1
