@@ -15,15 +15,14 @@ Spark form
 * Token id ``i`` is stored as the i-th private-use code point ("packed"), so a
   merge is one built-in ``replace`` and a pair is two characters.  There are
   137,468 of them (``PACK_LIMIT``): alphabet plus merges may not exceed that.
-* A round is one aggregate (partial per task) and a bounded top-k; only those
-  rows reach the driver.  Lineage is cut with a reliable ``checkpoint`` after
-  a bounded number of merges, so expressions stay shallow.
-* Training fetches the exact top of the pair ranking each round and takes
-  every pair that one-merge-per-round training would provably take next
-  (``accept_batch``), about 3x fewer rounds on the test corpus.
-* Encoding folds the merges over each distinct piece once and joins the ids
-  back by piece: broadcast if the piece table is small (counted), else salted,
-  as frequent pieces are hot keys.
+* Pairs are counted once.  After that a merge only returns the changes at its
+  occurrences (``bpe_pairs``), and several merges are tried in one round: those
+  that turn out to be what one-merge-per-round training takes next are kept.
+  The pieces are written (reliable ``checkpoint``) after a bounded number of
+  merges; a task makes the merges since then again.
+* Encoding merges the pair of the lowest rank first (``bpe_codec``): its cost
+  goes with the length of a piece, not with the number of merges.  Texts aren't shuffled, and neither
+  merges nor vocabulary stand in the plan as literals.
 """
 
 from __future__ import annotations
@@ -32,13 +31,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from glossa.functions.patterns import PACK_RANGES
 from glossa.functions.text import char_tokens, explode_rows, segment_tokens
-from glossa.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded, materialise, salted_left_join
-from glossa.operators.windows import global_row_number
+from glossa.operators.bpe_codec import REMEMBERED, encoded, looked_up
+from glossa.operators.bpe_pairs import PairTable, pair_key
+from glossa.operators.lookup import materialise
+from glossa.session import workers_find_package
 
-CHECKPOINT_MERGES = 48  # merges stacked on the piece table between reliable checkpoints
+CHECKPOINT_MERGES = 64  # merges made on the piece table between reliable checkpoints
 ROWS_PER_PARTITION = 250_000  # distinct pieces per task in the training loop
 PACK_LIMIT = sum(hi - lo + 1 for lo, hi in PACK_RANGES)
 PACKED = "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in PACK_RANGES)  # for a regex class
@@ -135,144 +137,80 @@ def _quoted(replacement: str) -> str:
     return "\\" + replacement if replacement in "\\$" else replacement
 
 
-def pair_counts(state: DataFrame, bits: int) -> DataFrame:
-    """Weighted overlapping pair counts of packed pieces with the first occurrence.
-
-    ``at`` is the rank of the piece shifted by ``bits`` plus the offset; wider than 63 bits, it is a decimal.
-    """
-    # The class keeps the scan from matching in the middle of a two-unit character.
-    pairs = F.regexp_extract_all(F.col("p"), F.lit(f"(?=([{PACKED}]{{2}}))"), 1)
-    ex = explode_rows(state, pairs, ("w", "first"), "pair", "i")
-    at = F.col("first") * F.lit(1 << bits) + F.col("i")
-    return ex.groupBy("pair").agg(F.sum("w").cast("bigint").alias("cnt"), F.min(at).alias("at"))
-
-
-def accept_batch(ranked: list[tuple[str, int]], room: int) -> list[tuple[str, int]]:
-    """Pairs from one count table that one-at-a-time training would also pick next, in order.
-
-    ``ranked`` is the exact top of the (count desc, first occurrence asc)
-    order.  The first pair is always taken.  A later pair is taken while it
-    shares no symbol with any pair taken before it; the walk stops at the
-    first pair that does.  Merging a pair only lowers counts of pairs that
-    touch its symbols, and every pair it creates is bounded (count and first
-    occurrence) by such a pair, which ranks below the taken ones - so each
-    taken pair is exactly the next winner.
-    """
-    taken: list[tuple[str, int]] = []
-    used: set[str] = set()
-    for pair, cnt in ranked:
-        if len(taken) >= room:
-            break
-        if taken and (pair[0] in used or pair[1] in used):
-            break
-        taken.append((pair, cnt))
-        used.update(pair)
-    return taken
-
-
 def train(docs: DataFrame, vocab_size: int = 300, segment: str = "word", text: str = "text",
           doc: str = "doc_id", batch: int = 64) -> Tokenizer:
     """Learn merges until ``vocab_size`` ids exist; stops early when no pair is left.
 
-    ``batch`` bounds the ranked pairs fetched per round (see ``accept_batch``);
-    ``batch=1`` is the plain one-merge-per-round loop.
+    A round sends up to ``batch`` merges, in the order of the present ranking, to the partitions and gets back what each
+    would change if all before it are made.  The driver takes them one by one while the next is
+    the first of the ranking as it stands after those before; the rest is forgotten.  ``batch=1`` is
+    the plain one-merge-per-round loop.
     """
+    workers_find_package(docs.sparkSession)
     pcs = materialise(pieces(docs, segment, text, doc))
     alphabet = base_alphabet(pcs)
     if vocab_size > PACK_LIMIT:
         raise ValueError(f"vocab_size {vocab_size} exceeds {PACK_LIMIT}")
     vocab = list(alphabet)
-    n, longest = pcs.agg(F.count(F.lit(1)), F.max(F.length("piece"))).first()
-    bits = int(longest or 1).bit_length()
-    rank_type = "bigint" if n.bit_length() + bits < 63 else "decimal(28,0)"
-    # First occurrence as one sortable number: global rank of the piece's first
-    # occurrence and the pair's offset inside the piece.
-    ranked = global_row_number(pcs, ["first", "piece"], "first_rank")
-    state = ranked.select(pack_column(F.col("piece"), alphabet).alias("p"), F.col("weight").alias("w"),
-                          F.col("first_rank").cast(rank_type).alias("first")) \
-        .filter(F.length("p") >= 2)
     # Size the loop's partitions by the piece table itself: a few large
     # partitions per core locally, thousands on a cluster with 1e8+ pieces.
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, n // ROWS_PER_PARTITION + 1)
-    state = materialise(state.repartition(parts, "p"))
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, pcs.count() // ROWS_PER_PARTITION + 1)
+    state = pcs.select(pack_column(F.col("piece"), alphabet).alias("p"), F.col("weight").alias("w"), "first.d", "first.s")
+    state = state.filter(F.length("p") >= 2).repartition(parts, "p").sortWithinPartitions("d", "s")
+    table = PairTable(materialise(state))
     merges: list[tuple[int, int, int, int]] = []
-    stacked = 0
+    table.recount()
     while len(vocab) < vocab_size:
-        top = (pair_counts(state, bits).orderBy(F.col("cnt").desc(), F.col("at").asc())
-               .select("pair", "cnt").limit(batch).collect())
-        if not top:
-            break
-        taken = accept_batch([(r["pair"], int(r["cnt"])) for r in top], vocab_size - len(vocab))
-        if stacked + len(taken) > CHECKPOINT_MERGES:
-            state, stacked = materialise(state), 0
-        for pair, cnt in taken:
-            a, b = packed_id(pair[0]), packed_id(pair[1])
-            new_id = len(vocab)
-            merges.append((a, b, new_id, cnt))
+        ranked = table.ranked(min(batch, vocab_size - len(vocab)))
+        if not ranked:
+            if not table.rest:
+                break
+            table.recount()
+            continue
+        plan = [(pair >> 32, pair & 0xFFFFFFFF, ord(pack(len(vocab) + j))) for j, (pair, _) in enumerate(ranked)]
+        for merge, rows in zip(plan, table.changes(plan)):
+            pair = pair_key(*merge[:2])
+            if not table.is_next(pair):
+                break
+            a, b = packed_id(chr(merge[0])), packed_id(chr(merge[1]))
+            merges.append((a, b, len(vocab), table.count[pair]))
             vocab.append(vocab[a] + vocab[b])
-            state = state.withColumn("p", F.replace(F.col("p"), F.lit(pair), F.lit(pack(new_id))))
-        state = state.filter(F.length("p") >= 2)
-        stacked += len(taken)
+            table.apply(merge, len(vocab[-1]), rows)
+        if len(table.done) >= CHECKPOINT_MERGES:
+            table.rewrite(materialise)
     return Tokenizer(vocab, merges, len(alphabet))
 
 
-def apply_merges(packed: Column, merges: list[tuple[int, int, int, int]]) -> Column:
-    """Apply every merge, in rank order, to a packed string (non-overlapping, left to right).
+def encode(docs: DataFrame, tok: Tokenizer, segment: str = "word", text: str = "text",
+           keep: tuple[str, ...] = ("doc_id",), remembered: int = REMEMBERED) -> DataFrame:
+    """``keep + ids ARRAY<INT>`` per row, without a shuffle: a task encodes each distinct piece of its rows once.
 
-    A fold over the merges as an array literal: its depth doesn't grow with their number.
+    Null and empty texts have no ids; ``remembered`` bounds the pieces a task keeps and changes no result.
     """
-    if not merges:
-        return packed
-    rules = F.array(*[F.struct(F.lit(pack(a) + pack(b)).alias("pair"), F.lit(pack(n)).alias("new"))
-                      for a, b, n, _ in merges])
-    return F.aggregate(rules, packed, lambda acc, m: F.replace(acc, m["pair"], m["new"]))
-
-
-def unpack_ids(packed: Column) -> Column:
-    return F.transform(char_tokens(packed), packed_id_column)
+    workers_find_package(docs.sparkSession)
+    segs = segment_tokens(text) if segment == "word" else F.array(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(*keep, segs.alias("_segs"))
+    schema = StructType([*rows.drop("_segs").schema.fields, StructField("ids", ArrayType(IntegerType()))])
+    return rows.mapInArrow(encoded(tok.vocab[:tok.n_base], tok.merges, remembered), schema)
 
 
-def encode_pieces(pcs: DataFrame, tok: Tokenizer) -> DataFrame:
-    """``(piece, ids ARRAY<INT>)`` of distinct pieces: every piece is encoded once."""
-    packed = apply_merges(pack_column(F.col("piece"), tok.vocab[:tok.n_base]), tok.merges)
-    return pcs.select("piece", packed.alias("p")).select("piece", unpack_ids(F.col("p")).alias("ids"))
-
-
-def encode(docs: DataFrame, tok: Tokenizer, segment: str = "word", text: str = "text",
-           keep: tuple[str, ...] = ("doc_id",), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``keep + ids ARRAY<INT>`` per row (``keep[0]`` names the row), through the table of distinct pieces.
-
-    The ids return by (row, segment number): one group per document, the unit of work of this library.
-    """
-    key = keep[0]
-    segs = segment_tokens(text) if segment == "word" else F.array(F.col(text))
-    occ = explode_rows(docs, segs, (key,), "piece", "seg_no").filter(F.length("piece") > 0)
-    table, small = bounded(encode_pieces(occ.select("piece").distinct(), tok), broadcast_rows)
-    if small:
-        found = occ.join(F.broadcast(table), "piece")
-    else:
-        found = salted_left_join(occ, table.withColumnRenamed("piece", "_piece"), "piece", "_piece", [key, "seg_no"])
-    ids = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seg_no", "ids"))).alias("s")) \
-        .select(F.col(key).alias("_key"), F.flatten(F.transform("s", lambda x: x["ids"])).alias("ids"))
-    return docs.select(*keep).join(ids, F.col(key) == F.col("_key"), "left").select(
-        *keep, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+def _looked_up(ids: DataFrame, tok: Tokenizer, col: str, out: str, joined: bool, safe: bool) -> DataFrame:
+    workers_find_package(ids.sparkSession)
+    rows = ids.drop(out) if out != col else ids.withColumnRenamed(col, "_ids")
+    at = rows.columns.index(col if out != col else "_ids")
+    kind = StringType() if joined else ArrayType(StringType())
+    found = rows.mapInArrow(looked_up(tok.vocab, at, out, joined, safe), StructType([*rows.schema.fields, StructField(out, kind)]))
+    return found.drop("_ids") if out == col else found
 
 
 def decode(ids: DataFrame, tok: Tokenizer, col: str = "ids", out: str = "text") -> DataFrame:
     """ids -> text; an id outside the vocabulary raises an error, as in the source."""
-    v = F.array(*[F.lit(t) for t in tok.vocab])
-    n = len(tok.vocab)
-    piece = lambda i: F.when((i >= 0) & (i < n), F.element_at(v, i + 1)).otherwise(
-        F.raise_error(F.concat(F.lit("token id out of vocabulary: "), i.cast("string"))))
-    return ids.withColumn(out, F.array_join(F.transform(F.col(col), piece), ""))
-
-
-def id_tokens(ids_col: str, tok: Tokenizer) -> Column:
-    """ids -> token strings; an id outside the vocabulary reads as '' (the labellers' rule)."""
-    v = F.array(*[F.lit(t) for t in tok.vocab])
-    n = len(tok.vocab)
-    return F.transform(F.col(ids_col), lambda i: F.when((i >= 0) & (i < n), F.element_at(v, i + 1))
-                       .otherwise(F.lit("")))
+    return _looked_up(ids, tok, col, out, joined=True, safe=False)
+
+
+def id_tokens(ids: DataFrame, tok: Tokenizer, col: str = "ids", out: str = "toks") -> DataFrame:
+    """ids -> token strings as an array; an id outside the vocabulary reads as '' (the labellers' rule)."""
+    return _looked_up(ids, tok, col, out, joined=False, safe=True)
 
 
 def apply_merge_once(pcs: DataFrame, alphabet: list[str], left: str, right: str) -> DataFrame:

@@ -523,7 +523,7 @@ def bpe_labels(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ("doc_i
     docs = read_documents(spark, sf_dir, columns=tuple(dict.fromkeys(keep + ("text",))))
     tok = trained(spark, sf_dir)
     enc = B.encode(docs, tok, keep=keep)
-    wide = enc.select(*keep, B.id_tokens("ids", tok).alias("toks"))
+    wide = B.id_tokens(enc, tok).drop("ids")
     return L.heuristic_labels(wide, keep=keep)
 
 

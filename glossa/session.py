@@ -61,6 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where it lies, if they see the same files and it isn't installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def artifact_path(spark: SparkSession, name: str, source: str) -> str:
     """Where this application keeps something made from ``source``: in the shared folder, the same for every caller."""
     key = hashlib.md5(source.encode()).hexdigest()[:12]

@@ -1,10 +1,18 @@
 """BPE: merge semantics, training against brute force, encode/decode round trip."""
 
+import os
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from glossa.operators import bpe as B
+from glossa.operators import bpe_pairs
+from glossa.operators.bpe_codec import lowest_rank
 from tests import brute
 
+SF = os.path.join(os.sep, "root", "testdata", "sf0.01", "documents.parquet")
+
 
 def test_merge_non_overlapping(spark):
     df = spark.createDataFrame([("aaaaa",)], "piece string")
@@ -87,11 +95,92 @@ def test_whole_documents_as_pieces(spark):
     assert got == {d: brute.bpe_encode([t], vocab, merges, tok.n_base) for d, t in enumerate(TEXTS)}
 
 
-def test_salted_join_gives_the_same_ids(spark):
+def test_forgetful_tasks_give_the_same_ids(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     tok = B.train(docs, 40)
-    small = {r["doc_id"]: r["ids"] for r in B.encode(docs, tok).collect()}
-    assert small == {r["doc_id"]: r["ids"] for r in B.encode(docs, tok, broadcast_rows=0).collect()}
+    known = {r["doc_id"]: r["ids"] for r in B.encode(docs, tok).collect()}
+    assert known == {r["doc_id"]: r["ids"] for r in B.encode(docs, tok, remembered=1).collect()}
+
+
+def test_nulls_and_ids_outside_the_vocabulary(spark):
+    docs = spark.createDataFrame([(0, "ab ab"), (1, None), (None, "")], "doc_id long, text string")
+    tok = B.train(docs, 4)
+    assert {r["doc_id"]: len(r["ids"]) for r in B.encode(docs, tok).collect()} == {0: 3, 1: 0, None: 0}
+    ids = spark.createDataFrame([(0, [0, 1, -1, 99]), (1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["toks"] for r in B.id_tokens(ids, tok).collect()} == {0: [tok.vocab[0], tok.vocab[1], "", ""], 1: None, 2: []}
+    assert {r["doc_id"]: r["text"] for r in B.decode(ids.where("doc_id > 0"), tok).collect()} == {1: None, 2: ""}
+    with pytest.raises(Exception, match="out of vocabulary: -1"):
+        B.decode(ids, tok).collect()
+
+
+def test_lowest_rank_equals_all_merges_in_order():
+    rng = random.Random(1)
+    for _ in range(300):
+        n, merges, known = 4, [], set()
+        for _ in range(rng.randint(0, 25)):
+            pair = rng.randrange(n), rng.randrange(n)
+            if pair not in known:
+                known.add(pair)
+                merges.append((*pair, n, 1))
+                n += 1
+        ids = [rng.randrange(4) for _ in range(rng.randint(0, 60))]
+        want = ids
+        for a, b, new, _ in merges:
+            want = brute.merge(want, a, b, new)
+        assert lowest_rank(ids, {(a, b): (r, new) for r, (a, b, new, _) in enumerate(merges)}) == want
+
+
+def test_thirty_thousand_merges(spark):
+    """A vocabulary made of the corpus's own words, built up from the left: every prefix of a word is a token."""
+    docs = spark.read.parquet(SF).select("doc_id", "text")
+    words = [r["w"] for r in docs.select(F.explode(F.split("text", r"(?=\s)")).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(40_000).collect()]
+    alphabet = sorted({r["c"] for r in docs.select(F.explode(F.split("text", "")).alias("c")).distinct().collect()})
+    ids, merges = {c: i for i, c in enumerate(alphabet)}, []
+    for w in words:
+        for n in range(2, len(w) + 1):
+            if w[:n] not in ids and w[: n - 1] in ids and w[n - 1] in ids:
+                merges.append((ids[w[: n - 1]], ids[w[n - 1]], len(ids), 1))
+                ids[w[:n]] = len(ids)
+    tok = B.Tokenizer(list(ids), merges, len(alphabet))
+    assert len(merges) > 30_000
+    enc = B.encode(docs, tok, keep=("doc_id", "text"))
+    assert "LocalTableScan" not in enc._jdf.queryExecution().toString() and "Exchange" not in enc._jdf.queryExecution().toString()
+    back = B.decode(enc.withColumnRenamed("text", "orig"), tok)
+    row = back.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("text") == F.col("orig")).cast("int")).alias("same"), F.sum(F.size("ids")).alias("ids"),
+                   F.sum(F.length("text")).alias("chars")).first()
+    assert row["n"] == row["same"] and row["ids"] < 0.45 * row["chars"]
+    some = docs.orderBy("doc_id").limit(2).collect()
+    got = {r["doc_id"]: list(r["ids"]) for r in B.encode(spark.createDataFrame(some), tok).collect()}
+    for r in some:
+        merged = []
+        for piece in brute.segments(r["text"][:300]):
+            symbols = [ids.get(c, 0) for c in piece]
+            for a, b, new, _ in merges:
+                if a in symbols and b in symbols:
+                    symbols = brute.merge(symbols, a, b, new)
+            merged += symbols
+        keep = len(merged) - 12  # the cut may end inside a piece
+        assert got[r["doc_id"]][:keep] == merged[:keep]
+
+
+def test_ties_and_interacting_merges_match_brute(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab c") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    pieces = [p for t in texts for p in brute.segments(t)]
+    vocab, merges = brute.bpe_train(pieces, len(set("".join(pieces))) + 60)
+    tok = B.train(docs, len(set("".join(pieces))) + 60)
+    assert tok.vocab == vocab and tok.merges == merges
+
+
+def test_small_ranking_table_is_counted_again(spark, monkeypatch):
+    monkeypatch.setattr(bpe_pairs, "TABLE_PAIRS", 5)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    pieces = [p for t in TEXTS for p in brute.segments(t)]
+    size = len(set("".join(pieces))) + 12
+    vocab, merges = brute.bpe_train(pieces, size)
+    tok = B.train(docs, size)
+    assert tok.vocab == vocab and tok.merges == merges
 
 
 def test_unknown_character_maps_to_zero(spark):
