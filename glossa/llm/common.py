@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
-import os
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.session import ensure_checkpoint_dir, read_table
+from glossa.session import ensure_checkpoint_dir, read_table, workers_find_package
 
 #: Stands in for a null id inside an operator, so that null ids join, group and sort last; turned back on output.
 NULL_ID = 9223372036854775807
@@ -40,7 +39,15 @@ def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
         df = df.coalesce(max(1, math.ceil(rows / FILE_ROWS)))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a ``staged`` table that nothing reads any more; whatever was made from it has been written."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of texts that go to a Python worker at once.
@@ -85,7 +92,7 @@ def fold(modulus: int, col: str = "doc_id") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """A table of the folder.  Workers find this package also where it isn't installed, if they see the same files."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    workers_find_package(spark)
     return read_table(spark, sf_dir, name)
 
 

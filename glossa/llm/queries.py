@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossa.llm import bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, periodic_runs, pivot_simhash, suffix_dedup, toxicity, url_filter, warc_derive
+from glossa.llm import ball_codes, bpe_tables, chat_format, decontaminate, exact_dedup, group_matrix, language_id, periodic_runs, pivot_simhash, suffix_dedup, toxicity, url_filter, warc_derive
 from glossa.llm.common import Queries, documents
 
 
@@ -56,10 +56,14 @@ def op12_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_simhash.simhash_components(documents(spark, sf_dir))
 
 
+def op13_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.code_digest(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES: Queries = {f.__name__: f for f in (
     op1_suffix_dedup, op2_language_id, op3_exact_dedup, op4_decontaminate, op5_toxicity, op6_chat_format, op7_bpe_tables, op8_url_filter, op9_warc_derive,
-    op10_group_matrix, op11_periodic_runs, op12_pivot_simhash)}
+    op10_group_matrix, op11_periodic_runs, op12_pivot_simhash, op13_ball_codes)}
 
 ORACLE = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
           "op6_chat_format": chat_format.ORACLE, "op8_url_filter": url_filter.ORACLE,
-          "op9_warc_derive": warc_derive.ORACLE}
+          "op9_warc_derive": warc_derive.ORACLE, "op13_ball_codes": ball_codes.ORACLE}
