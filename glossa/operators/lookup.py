@@ -15,6 +15,8 @@ one task.  Two plans, chosen by a size check on the dimension side:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +74,20 @@ def skew_join(facts: DataFrame, dim: DataFrame, keys: list[str], weight: str, sp
     marked = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
     return marked.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+#: Rows of a bucket, about.
+BUCKET_ROWS = 1_000_000
+
+
+def bucketed(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df`` written as a bucketed and sorted table in the shared folder: joins on ``keys`` don't shuffle it again, however often they come.
+
+    ``rows`` is about its number of rows; there are as many buckets as shuffle partitions, or more for large tables.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BUCKET_ROWS))
+    name = f"glossa_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys)
+     .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    return spark.table(name)

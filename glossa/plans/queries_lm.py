@@ -243,7 +243,44 @@ def q_generate_greedy(spark, sf_dir):
                     F.array_join("generated", " ").alias("generated"))
 
 
-@register("generate_sample")
+# Alias tables as in ``alias_table``: whole units, running sums of what light entries lack and heavy ones have too much.
+SAMPLE_SQL = GREEDY_SQL[:GREEDY_SQL.index("top AS")] + f"""q0 AS (
+  SELECT cnt.ctx, cnt.token, pow(cnt.c / ct.cc, 1.0 / {TEMP}) AS q FROM cnt JOIN ct USING (ctx)
+  UNION ALL SELECT '', token, pow(c1 / n1, 1.0 / {TEMP}) FROM uni, st),
+q1 AS (SELECT ctx, token, greatest(1, CAST(floor(q / sum(q) OVER (PARTITION BY ctx) * {float(1 << 36)}) AS BIGINT)) AS w FROM q0),
+q2 AS (SELECT ctx, token, w, row_number() OVER (PARTITION BY ctx ORDER BY token) - 1 AS slot, count(*) OVER (PARTITION BY ctx) AS n,
+  CAST(sum(w) OVER (PARTITION BY ctx) AS BIGINT) AS units FROM q1),
+q3 AS MATERIALIZED (SELECT *, w * n - units AS over,
+  CAST(sum(greatest(units - w * n, 0)) OVER (PARTITION BY ctx ORDER BY slot) AS BIGINT) AS lack,
+  CAST(sum(greatest(w * n - units, 0)) OVER (PARTITION BY ctx ORDER BY slot) AS BIGINT) AS much FROM q2),
+heavy AS MATERIALIZED (SELECT ctx, token, slot, much, lead(token) OVER (PARTITION BY ctx ORDER BY slot) AS following FROM q3 WHERE over > 0),
+light AS MATERIALIZED (SELECT ctx, token, slot, lack, lack + over AS start FROM q3 WHERE over < 0),
+filled AS (SELECT l.ctx, l.slot, h.token AS alt FROM light l ASOF LEFT JOIN heavy h ON l.ctx = h.ctx AND l.start < h.much),
+overdrawn AS (SELECT h.ctx, h.slot, l.lack - h.much AS by_units, h.following FROM heavy h ASOF LEFT JOIN light l ON h.ctx = l.ctx AND h.much <= l.lack),
+alias AS MATERIALIZED (
+  SELECT q3.ctx, q3.slot, q3.token, q3.n, q3.units,
+    CASE WHEN over < 0 THEN coalesce(filled.alt, q3.token) WHEN over > 0 THEN coalesce(following, q3.token) ELSE q3.token END AS alt,
+    CASE WHEN over < 0 THEN w * n WHEN over > 0 THEN units - by_units ELSE units END AS cut
+  FROM q3 LEFT JOIN filled USING (ctx, slot) LEFT JOIN overdrawn USING (ctx, slot)),
+heads AS MATERIALIZED (SELECT DISTINCT ctx, n FROM alias),
+bt AS (SELECT item_id, regexp_extract_all(text, {S.q(S.WORD_RE)}) AS t FROM benchmark),
+pr AS (SELECT item_id AS prompt_id, t AS prompt FROM bt),
+us AS MATERIALIZED (SELECT prompt_id, s AS step, CAST('0x' || substr(md5('{SEED}:' || prompt_id || ':' || s), 1, 13) AS BIGINT) / {float(1 << 52)} AS u
+  FROM pr, range({STEPS}) r(s)),
+gen AS (
+  SELECT prompt_id, 0 AS step, CASE WHEN len(prompt) >= {K} THEN prompt[len(prompt)] ELSE '' END AS last, CAST([] AS VARCHAR[]) AS out FROM pr
+  UNION ALL
+  SELECT prompt_id, step + 1, nxt, list_append(out, nxt) FROM (
+    SELECT g.prompt_id, g.step, g.out, CASE WHEN (g.u * a.n - a.slot) * a.units < a.cut THEN a.token ELSE a.alt END AS nxt
+    FROM (SELECT gen.prompt_id, gen.step, gen.out, us.u, CASE WHEN heads.n IS NULL THEN '' ELSE gen.last END AS c,
+        coalesce(heads.n, (SELECT n FROM heads WHERE ctx = '')) AS n
+      FROM gen JOIN us ON us.prompt_id = gen.prompt_id AND us.step = gen.step LEFT JOIN heads ON heads.ctx = gen.last WHERE gen.step < {STEPS}) g
+    JOIN alias a ON a.ctx = g.c AND a.slot = least(CAST(floor(g.u * g.n) AS BIGINT), g.n - 1)))"""
+
+
+@register("generate_sample", "WITH RECURSIVE" + SAMPLE_SQL.removeprefix("WITH") + f"""
+SELECT pr.prompt_id, array_to_string(pr.prompt, ' ') AS prompt, array_to_string(gen.out, ' ') AS generated
+FROM gen JOIN pr USING (prompt_id) WHERE gen.step = {STEPS}""")
 def q_generate_sample(spark, sf_dir):
     m = fitted(spark, sf_dir)
     g = M.generate_sample(prompts(spark, sf_dir), m, K, STEPS, TEMP, SEED)

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.operators import sweep as SW
+from glossa.plans import sql as S
 from glossa.plans.queries import _round, register
 from glossa.session import artifact_path, path_exists
 from glossa.plans.queries_lm import PROMPT_TOKENS, SPLIT_SQL, SR_LISTS, split_rows
 
+SAMPLE_STEPS = 10  # generated tokens per run
+
 def first_prompt(spark: SparkSession, sf_dir: str) -> list[str]:
     """The context at the end of the first benchmark text: its last tokens (one short row reaches the driver)."""
     from glossa.functions.text import context_tail
@@ -24,7 +27,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run records saved by this application for the input; the sweep runs first if there are none."""
     path = artifact_path(spark, "runs", sf_dir)
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        SW.runs_sink(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir)), path)
+        SW.runs_sink(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir), steps=SAMPLE_STEPS), path)
     return SW.runs_source(spark, path)
 
 
@@ -107,19 +110,49 @@ def q_sweep_summary(spark, sf_dir):
     return _round(SW.sweep_summary(runs(spark, sf_dir)), ["final_val_loss"])
 
 
-@register("sample_box")
+# Greedy continuation of the first benchmark text's last tokens under every run's order and pruning.
+BOX_SQL = "WITH RECURSIVE" + SWEEP_SQL.removeprefix("WITH") + f""",
+topc AS MATERIALIZED (SELECT k, ctx, token AS nxt, cc FROM (
+  SELECT cnt.k, cnt.ctx, cnt.token, ct.cc, row_number() OVER (PARTITION BY cnt.k, cnt.ctx ORDER BY c DESC, cnt.token) AS r
+  FROM cnt JOIN ct ON cnt.k = ct.k AND cnt.ctx = ct.ctx) WHERE r = 1),
+utop AS MATERIALIZED (SELECT token FROM uni ORDER BY c1 DESC, token LIMIT 1),
+fp AS (SELECT t[greatest(len(t) - {PROMPT_TOKENS}, 0) + 1:] AS p FROM (
+  SELECT regexp_extract_all(text, {S.q(S.WORD_RE)}) AS t FROM benchmark ORDER BY item_id LIMIT 1)),
+gen AS (
+  SELECT exp, ord, k, min_ctx, 0 AS step, p AS toks FROM cfg, fp
+  UNION ALL
+  SELECT gen.exp, gen.ord, gen.k, gen.min_ctx, gen.step + 1,
+    list_append(gen.toks, CASE WHEN topc.cc >= gen.min_ctx THEN topc.nxt ELSE (SELECT token FROM utop) END)
+  FROM gen LEFT JOIN topc ON topc.k = gen.k AND topc.ctx = array_to_string(gen.toks[greatest(len(gen.toks) - gen.k, 0) + 1:], ' ')
+  WHERE gen.step < {SAMPLE_STEPS}),
+box AS (SELECT exp, ord, array_to_string(toks, ' ') AS sample FROM gen WHERE step = {SAMPLE_STEPS})"""
+
+HISTORY_SQL = "CAST(hl.epoch AS INTEGER) AS epoch, round(hl.train, 6) AS train, round(hl.val, 6) AS val"
+
+
+@register("sample_box", f"""{BOX_SQL}
+SELECT rn.exp, CAST(rn.ord AS INTEGER) AS ord, rn.label, round(final_val_loss, 6) AS final_val_loss, box.sample
+FROM rn JOIN box ON box.exp = rn.exp AND box.ord = rn.ord""")
 def q_sample_box(spark, sf_dir):
     r = runs(spark, sf_dir)
     return _round(r.select("exp", "ord", "label", "final_val_loss", "sample"), ["final_val_loss"])
 
 
-@register("runs_sink")
+@register("runs_sink", f"""{BOX_SQL}
+SELECT rn.exp, CAST(rn.ord AS BIGINT) AS ord, rn.label, CAST(rn.k AS BIGINT) AS k, CAST(rn.a AS DOUBLE) AS a, CAST(rn.min_ctx AS BIGINT) AS min_ctx, n_params,
+  round(final_train_loss, 6) AS final_train_loss, round(final_val_loss, 6) AS final_val_loss, box.sample,
+  CAST(hl.epoch AS BIGINT) AS epoch, round(hl.train, 6) AS train, round(hl.val, 6) AS val
+FROM rn JOIN box ON box.exp = rn.exp AND box.ord = rn.ord JOIN hl ON hl.exp = rn.exp AND hl.ord = rn.ord""")
 def q_runs_sink(spark, sf_dir):
+    """Every field of the written file, one row per step of a run's history."""
     path = artifact_path(spark, "runs-copy", sf_dir)
     SW.runs_sink(runs(spark, sf_dir), path)
-    return spark.read.json(path).select("exp", "ord", "label")
+    back = spark.read.json(path)
+    flat = back.select(*[c for c in SW.RUNS_SCHEMA.fieldNames() if c != "history"], F.inline("history"))
+    return _round(flat, ["final_train_loss", "final_val_loss", "train", "val"])
 
 
-@register("runs_source")
+@register("runs_source", f"""{SWEEP_SQL}
+SELECT hl.exp, CAST(hl.ord AS INTEGER) AS ord, cfg.label, {HISTORY_SQL} FROM hl JOIN cfg ON hl.exp = cfg.exp AND hl.ord = cfg.ord""")
 def q_runs_source(spark, sf_dir):
-    return runs(spark, sf_dir).select("exp", "ord", "label", F.inline("history"))
+    return _round(runs(spark, sf_dir).select("exp", "ord", "label", F.inline("history")), ["train", "val"])

@@ -3,7 +3,7 @@
 import __spark_entry__ as E
 
 #: Queries without SQL (the optional corpus operators are listed by themselves).
-ROWS_ONLY = {"generate_sample", "sample_box", "runs_sink", "runs_source",
+ROWS_ONLY = {
              "tagger_fit", "tagger_predict", "tagger_eval", "pred_align"}
 
 

@@ -1,6 +1,7 @@
 """Operators that write and read: folders of text, annotation files, tokenizer, n-gram model, tagger, run records."""
 
 import json
+import random
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -13,6 +14,7 @@ from glossa.operators import lm as M
 from glossa.operators import sweep as SW
 from glossa.operators import tagger as TG
 from glossa.operators.entities import entities_from_long, extract_entities
+from glossa.operators.alias import UNITS, alias_table
 from glossa.operators.lookup import materialise, skew_join
 from glossa.operators.tokens import tokenize
 from glossa.sources import corpus as C
@@ -88,16 +90,58 @@ def test_generation_broadcasts_its_state(spark, docs):
     assert "BroadcastHashJoin" in plan and "RightOuter" not in plan
 
 
+def shares(rows):
+    """The share of every token in a list's alias rows, in exact units."""
+    out = {}
+    for r in rows:
+        out[r["token"]] = out.get(r["token"], 0) + r["cut"]
+        out[r["alt"]] = out.get(r["alt"], 0) + r["units"] - r["cut"]
+    return out
+
+
+def test_alias_tables_hold_every_weight(spark):
+    rng = random.Random(3)
+    lists = {i: [rng.choice([1, 1, 2, 5, 100, 10 ** 6]) * rng.random() for _ in range(rng.choice([1, 2, 3, 17, 400]))] for i in range(30)}
+    lists[30], lists[31] = [1.0] * 8, [1e-30, 1.0, 1e-30]
+    entries = spark.createDataFrame([(i, f"t{j:03d}", q) for i, qs in lists.items() for j, q in enumerate(qs)], "ctx int, token string, q double")
+    table = alias_table(entries, ["ctx"], "token", "q").collect()
+    for i, qs in lists.items():
+        rows = sorted((r for r in table if r["ctx"] == i), key=lambda r: r["slot"])
+        n = len(qs)
+        assert [r["slot"] for r in rows] == list(range(n)) and all(0 < r["cut"] <= r["units"] and r["n"] == n for r in rows)
+        weights = [max(1, int(q / sum(qs) * UNITS)) for q in qs]
+        got = shares(rows)
+        assert all(abs(got[f"t{j:03d}"] - w * n) <= n * n for j, w in enumerate(weights)) and sum(got.values()) == n * rows[0]["units"]
+
+
 def test_rare_token_stays_reachable(spark):
-    counts = spark.createDataFrame([(1, ["x"], t, 1, 4, c) for t, c in (("a", 1), ("b", 20_000_000_000_000), ("c", 1), ("d", 1))],
+    counts = spark.createDataFrame([(1, ["x"], t, c, 20_000_000_000_003, c) for t, c in (("a", 1), ("b", 20_000_000_000_000), ("c", 1), ("d", 1))],
                                    "k int, ctx array<string>, token string, cnt bigint, ctx_cnt bigint, c1 bigint")
-    unigram = counts.select("token", "c1")
-    model = M.NgramModel(counts, counts.select("k", "ctx", "ctx_cnt"), unigram, 20_000_000_000_003, 4)
-    cdf = M.unigram_sampler(model, 1.0).groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("token").collect()
-    assert [r["token"] for r in cdf] == ["a", "b", "c", "d"] and all(r["lo"] < r["hi"] for r in cdf)
-    within = M.context_cdf(model, 1, 0.8).orderBy("token").collect()
-    assert within[0]["lo"] == 0.0 and within[-1]["hi"] == 2.0
-    assert all(abs(a["hi"] - b["lo"]) < 1e-12 for a, b in zip(within, within[1:]))
+    model = M.NgramModel(counts, counts.select("k", "ctx", "ctx_cnt"), counts.select("token", "c1"), 20_000_000_000_003, 4)
+    rows = M.sampling_table(model, 1, 1.0).collect()
+    for ctx in ([], ["x"]):
+        mine = shares([r for r in rows if r["ctx"] == ctx])
+        assert sorted(mine) == ["a", "b", "c", "d"] and all(mine.values())
+
+
+def test_a_step_of_sampling_reads_one_slot_and_shuffles_no_table(spark, docs):
+    model = M.ngram_fit(rows_of(docs), [1])
+    prompts = spark.createDataFrame([(1, ["the"]), (2, []), (3, ["never seen"])], "prompt_id long, prompt array<string>")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+            spark.conf.set(k, v)
+        plan = M.generate_greedy(prompts, model, 1, 1, broadcast_rows=0)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SelectedBucketsCount" in plan
+        scan = plan[plan.index("SelectedBucketsCount") - 2000 : plan.index("SelectedBucketsCount")]
+        assert "Exchange" not in scan.split("SortMergeJoin")[-1].split("Exchange hashpartitioning(prompt_id")[0].rsplit("Sort [ctx", 1)[-1]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    few = M.generate_sample(prompts, model, 1, 3, seed=1, broadcast_rows=0).orderBy("prompt_id").collect()
+    assert few == M.generate_sample(prompts, model, 1, 3, seed=1).orderBy("prompt_id").collect()
+    known = {r["token"] for r in model.unigram.collect()}
+    assert all(len(r["generated"]) == 3 and set(r["generated"]) <= known for r in few)
 
 
 def test_lookup_of_weighted_keys_equals_plain_join(spark):
