@@ -160,14 +160,16 @@ def train(docs: DataFrame, vocab_size: int = 300, segment: str = "word", text: s
     table = PairTable(materialise(state))
     merges: list[tuple[int, int, int, int]] = []
     table.recount()
+    length = batch  # of the next plan: twice what the last one was good for
     while len(vocab) < vocab_size:
-        ranked = table.ranked(min(batch, vocab_size - len(vocab)))
+        ranked = table.ranked(min(length, vocab_size - len(vocab)))
         if not ranked:
             if not table.rest:
                 break
             table.recount()
             continue
         plan = [(pair >> 32, pair & 0xFFFFFFFF, ord(pack(len(vocab) + j))) for j, (pair, _) in enumerate(ranked)]
+        taken = 0
         for merge, rows in zip(plan, table.changes(plan)):
             pair = pair_key(*merge[:2])
             if not table.is_next(pair):
@@ -176,6 +178,8 @@ def train(docs: DataFrame, vocab_size: int = 300, segment: str = "word", text: s
             merges.append((a, b, len(vocab), table.count[pair]))
             vocab.append(vocab[a] + vocab[b])
             table.apply(merge, len(vocab[-1]), rows)
+            taken += 1
+        length = min(batch, 2 * taken + 4)
         if len(table.done) >= CHECKPOINT_MERGES:
             table.rewrite(materialise)
     return Tokenizer(vocab, merges, len(alphabet))

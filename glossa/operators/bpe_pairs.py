@@ -22,6 +22,7 @@ SEPARATOR = 10  # no packed id
 
 Merge = tuple[int, int, int]  # left symbol, right symbol, new symbol
 At = tuple  # where a pair occurs first
+Counted = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # pairs, weights, piece and character of the first occurrence
 
 
 def at_of(row) -> At:
@@ -35,63 +36,77 @@ def pair_key(a: int, b: int) -> int:
 
 
 class Pieces:
-    """The pieces of a partition as flat arrays: symbol, piece number and, for first occurrences, the character offset."""
+    """The pieces of a partition as flat arrays, each in a span of its own that ends with a separator; what merges free at a span's end is filled with separators.
+
+    A merge looks through the symbols once and moves only the pieces that hold the pair.
+    """
 
     def __init__(self, packed: list[str], weights: np.ndarray, lengths: dict[int, int]):
-        self.symbols = np.frombuffer(("\n".join(packed) + "\n").encode("utf-32-le"), np.uint32).astype(np.int64)
-        ends = self.symbols == SEPARATOR
-        self.piece = np.cumsum(ends) - ends
+        self.symbols = np.frombuffer(("\n".join(packed) + "\n").encode("utf-32-le"), np.int32).copy()
+        self.ends = self.symbols == SEPARATOR
+        stop = np.flatnonzero(self.ends)
+        self.start = np.concatenate([[0], stop[:-1] + 1])
+        self.live = stop - self.start  # symbols of each piece
+        self.piece = np.repeat(np.arange(len(stop), dtype=np.int32), self.live + 1)
         self.weights = weights
         length = np.ones(max([int(self.symbols.max()), *lengths]) + 1, np.int64)
         length[SEPARATOR] = 0
         length[list(lengths)] = list(lengths.values())
         size = length[self.symbols]
         before = np.cumsum(size) - size
-        first = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1]) if len(packed) else np.zeros(0, np.int64)
-        self.offset = before - before[first][self.piece] if len(packed) else before
+        self.offset = before - before[self.start][self.piece]  # characters before a symbol in its piece
 
     def _pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pair, place) of the places in ``at`` where a pair starts."""
         at = at[(at >= 0) & (at + 1 < len(self.symbols))]
         a, b = self.symbols[at], self.symbols[at + 1]
         inside = (a != SEPARATOR) & (b != SEPARATOR)
-        return (a[inside] << 32) | b[inside], at[inside]
+        return (a[inside].astype(np.int64) << 32) | b[inside], at[inside]
 
-    def _summed(self, pair: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs, their weights and the places that come first among theirs in this partition's order of pieces."""
+    def _summed(self, pair: np.ndarray, at: np.ndarray) -> Counted:
+        """Distinct pairs, their weights, and the pieces and characters where they come first."""
         order = np.lexsort((at, pair))
         pair, at = pair[order], at[order]
         starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
-        return pair[starts], np.add.reduceat(self.weights[self.piece[at]], starts) if len(starts) else np.zeros(0, np.int64), at[starts]
+        n = np.add.reduceat(self.weights[self.piece[at]], starts) if len(starts) else np.zeros(0, np.int64)
+        return pair[starts], n, self.piece[at[starts]], self.offset[at[starts]]
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counts(self) -> Counted:
         return self._summed(*self._pairs(np.arange(len(self.symbols))))
 
-    def firsts(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def firsts(self, wanted: np.ndarray) -> Counted:
         pair, at = self._pairs(np.arange(len(self.symbols)))
         keep = np.isin(pair, wanted)
         return self._summed(pair[keep], at[keep])
 
-    def merge(self, a: int, b: int, new: int) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Replace the pair left to right without overlap; (what goes, what comes), each as ``_summed``."""
+    def merge(self, a: int, b: int, new: int, changes: bool = True) -> tuple[Counted, Counted] | None:
+        """Replace the pair left to right without overlap; (what goes, what comes) if ``changes`` are asked for."""
         s = self.symbols
-        at = np.flatnonzero((s[:-1] == a) & (s[1:] == b))
+        at = np.flatnonzero(s[:-1] == a)
+        at = at[s[at + 1] == b]
         if a == b and len(at):  # in a row of equal symbols every other place
             run = np.concatenate([[True], np.diff(at) > 1])
             index = np.arange(len(at))
             at = at[(index - np.maximum.accumulate(np.where(run, index, 0))) % 2 == 0]
-        near = np.unique(np.concatenate([at - 1, at, at + 1]))
-        gone = self._summed(*self._pairs(near))
-        keep = np.ones(len(s), bool)
-        keep[at + 1] = False
+        gone = self._summed(*self._pairs(np.unique(np.concatenate([at - 1, at, at + 1])))) if changes else None
+        held, first, n = np.unique(self.piece[at], return_index=True, return_counts=True)
+        live = self.live[held]
+        old = np.repeat(self.start[held] - np.cumsum(live) + live, live) + np.arange(int(live.sum()))
+        keep = np.ones(len(old), bool)
+        keep[np.searchsorted(old, at + 1)] = False
         s[at] = new
-        shift = at - np.arange(len(at))
-        self.symbols, self.piece, self.offset = s[keep], self.piece[keep], self.offset[keep]
-        come = self._summed(*self._pairs(np.unique(np.concatenate([shift - 1, shift]))))
-        return gone, come
+        left = live - n
+        place = np.repeat(self.start[held] - np.cumsum(left) + left, left) + np.arange(int(left.sum()))
+        symbols, offset = s[old[keep]], self.offset[old[keep]]
+        s[old] = SEPARATOR
+        s[place], self.offset[place], self.live[held] = symbols, offset, left
+        if not changes:
+            return None
+        moved = at - (np.arange(len(at)) - np.repeat(first, n))
+        return gone, self._summed(*self._pairs(np.unique(np.concatenate([moved - 1, moved]))))
 
     def packed(self) -> list[str]:
-        return self.symbols.astype(np.uint32).tobytes().decode("utf-32-le").split("\n")[:-1]
+        return self.symbols[(self.symbols != SEPARATOR) | self.ends].tobytes().decode("utf-32-le").split("\n")[:-1]
 
 
 def _held(batches: Iterator[pa.RecordBatch], done: list[Merge], lengths: dict[int, int]) -> tuple[Pieces, pa.Table] | None:
@@ -102,7 +117,7 @@ def _held(batches: Iterator[pa.RecordBatch], done: list[Merge], lengths: dict[in
     table = pa.Table.from_batches(held)
     pieces = Pieces(table["p"].to_pylist(), table["w"].to_numpy(), lengths)
     for a, b, new in done:
-        pieces.merge(a, b, new)
+        pieces.merge(a, b, new, changes=False)
     return pieces, table
 
 
@@ -117,7 +132,7 @@ class PairTable:
     rest: int = 0  # no pair outside the table counts more
     heap: list[tuple[int, int]] = field(default_factory=list)
 
-    def _rows(self, work: Callable[[Pieces], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]) -> DataFrame:
+    def _rows(self, work: Callable[[Pieces], Iterator[tuple]]) -> DataFrame:
         """``step, pair, n, at`` of what ``work`` yields for every partition, added up."""
         done, kind = list(self.done), dict(self.state.dtypes)
         inner = {c: n for c, n in self.lengths.items() if c not in {m[2] for m in done}}
@@ -127,10 +142,11 @@ class PairTable:
             if found is None:
                 return
             pieces, table = found
-            for step, pair, n, place in work(pieces):
-                rows = pieces.piece[place] if place is not None else None
-                first = (pa.nulls(len(pair), table.schema.field("d").type), pa.nulls(len(pair), pa.int32()), pa.nulls(len(pair), pa.int64())) if rows is None else (
-                    table["d"].take(pa.array(rows)).combine_chunks(), table["s"].take(pa.array(rows)).combine_chunks(), pa.array(pieces.offset[place]))
+            for step, pair, n, row, offset in work(pieces):
+                if row is None:
+                    first = pa.nulls(len(pair), table.schema.field("d").type), pa.nulls(len(pair), pa.int32()), pa.nulls(len(pair), pa.int64())
+                else:
+                    first = (*(table[c].take(pa.array(row)).combine_chunks() for c in ("d", "s")), pa.array(offset))
                 yield pa.record_batch([pa.array(np.full(len(pair), step, np.int32)), pa.array(pair), pa.array(n), *first], ["step", "pair", "n", "d", "s", "i"])
 
         rows = self.state.mapInArrow(run, f"step int, pair long, n long, d {kind['d']}, s int, i long")
@@ -210,7 +226,7 @@ class PairTable:
         def work(pieces: Pieces):
             for step, (a, b, new) in enumerate(plan):
                 gone, come = pieces.merge(a, b, new)
-                yield step, gone[0], -gone[1], None
+                yield step, gone[0], -gone[1], None, None
                 yield step, *come
 
         out: list[list] = [[] for _ in plan]
