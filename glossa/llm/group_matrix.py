@@ -205,7 +205,7 @@ _ENTRIES = "bin long, token array<long>, at array<int>, node array<long>, gid ar
 
 
 def _to_bins(bins: int):
-    """A batch of sets as one row per token bin: its tokens in order, the set of each, and the sets' columns."""
+    """A batch of sets as one row per token bin: its tokens in order, the set of each, and the columns of the sets that have tokens there."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,11 +214,12 @@ def _to_bins(bins: int):
             order = np.argsort(tokens, kind="stable")
             tokens, at = tokens[order], at[order]
             cuts = np.searchsorted(((tokens >> _U(32)) * _U(bins)) >> _U(32), np.arange(bins + 1, dtype=_U))
-            parts = [(i, x, y) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+            parts = [(i, x, y, *np.unique(at[x:y], return_inverse=True)) for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+            columns = [b[k].to_numpy() for k in ("node", "gid", "label", "pure")]
             yield pa.record_batch(
-                [pa.array([i for i, _, _ in parts], pa.int64()), pa.array([tokens[x:y].view(np.int64) for _, x, y in parts], pa.list_(pa.int64())),
-                 pa.array([at[x:y] for _, x, y in parts], pa.list_(pa.int32())),
-                 *[pa.array([b[k].to_numpy()] * len(parts), pa.list_(pa.int64())) for k in ("node", "gid", "label", "pure")]],
+                [pa.array([p[0] for p in parts], pa.int64()), pa.array([tokens[p[1] : p[2]].view(np.int64) for p in parts], pa.list_(pa.int64())),
+                 pa.array([p[4].astype(np.int32) for p in parts], pa.list_(pa.int32())),
+                 *[pa.array([c[p[3]] for p in parts], pa.list_(pa.int64())) for c in columns]],
                 ["bin", "token", "at", "node", "gid", "label", "pure"])
 
     return send

@@ -135,3 +135,14 @@ def test_packing():
 
 def test_empty(spark):
     assert group_matrix.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_bins_carry_only_their_own_sets():
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(1)
+    n, size = 400, 60
+    sets = pa.record_batch([pa.array([rng.integers(-2**63, 2**63, size) for _ in range(n)], pa.list_(pa.int64())), *[pa.array(np.arange(n))] * 4],
+                           ["tokens", "node", "gid", "label", "pure"])
+    sent = {bins: [x.nbytes for x in group_matrix._to_bins(bins)([sets])][0] for bins in (1, 50, 1000)}
+    assert sent[1000] < 48 * n * size and sent[1000] < 4 * sent[50]
