@@ -6,13 +6,15 @@ the previous token ends in ``.`` ``!`` ``?`` or a newline).  A candidate
 after a candidate is ``I`` (2), otherwise ``B`` (1); everything else ``O`` (0).
 
 ``auto`` and ``h1`` are row-local on the wide token array.  ``h2`` also
-requires the token to occur capitalised at least ``min_freq`` times in the
-input (``cap_freq``), a global fact looked up with ``glossa.operators.lookup``.
+requires the token to occur capitalised at least ``min_freq`` times, a global
+fact looked up with ``glossa.operators.lookup``.  Its scope is the input itself or,
+with a given frequency table (``cap_freq`` of a wider corpus, saved by
+``cap_freq_save``), that corpus.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions.text import ends_sentence, explode_rows, is_capitalised, label_name
@@ -68,20 +70,33 @@ def cap_freq(long_tokens: DataFrame, min_len: int = 1, token: str = "token") ->
             .groupBy(t.alias("token")).agg(F.count(F.lit(1)).cast("bigint").alias("cap_freq")))
 
 
+def cap_freq_save(freq: DataFrame, path: str) -> None:
+    """A corpus's frequency table, kept for the labelling of other texts."""
+    freq.select("token", "cap_freq").write.mode("overwrite").parquet(path)
+
+
+def cap_freq_load(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("token string, cap_freq bigint").parquet(path)
+
+
 def heuristic_labels(wide: DataFrame, keep: tuple[str, ...] = ("doc_id",), toks: str = "toks",
                      h2_min_len: int = 4, h2_min_freq: int = 2,
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Long table ``keep + (pos, token, l0, l1, l2)``: auto, H1 and H2 labels per token."""
+                     salt_buckets: int = DEFAULT_SALT_BUCKETS, freq: DataFrame | None = None) -> DataFrame:
+    """Long table ``keep + (pos, token, l0, l1, l2)``: auto, H1 and H2 labels per token.
+
+    ``freq`` (``token, cap_freq``) makes the corpus it was counted on the scope of H2's frequency; without it the input is.
+    A token that the corpus doesn't hold counts zero there, however often the input has it.
+    """
     long = (explode_rows(label_arrays(wide, toks, h2_min_len), "lab", keep, "z", "pos")
             .select(*keep, F.col("pos").cast("int").alias("pos"), "z.token",
                     F.col("z.l0").cast("int").alias("l0"), F.col("z.l1").cast("int").alias("l1"),
                     "z.pre", "z.prev", "z.prev_pre"))
 
     # Tokens that could ever pass H2: capitalised, long enough, seen >= min_freq times
-    # in the input.  Counted straight from the token arrays (partial aggregation per task).
-    occurrences = explode_rows(wide, toks, (), "token")
-    recurring = (cap_freq(occurrences, h2_min_len).filter(F.col("cap_freq") >= h2_min_freq)
+    # in the scope.  The input's are counted straight from the token arrays (partial aggregation per task).
+    counted = freq if freq is not None else cap_freq(explode_rows(wide, toks, (), "token"), h2_min_len)
+    recurring = (counted.filter((F.col("cap_freq") >= h2_min_freq) & (F.length("token") >= h2_min_len))
                  .select(F.col("token").alias("_rt")))
     recurring, small = bounded(recurring, broadcast_rows)
 

@@ -114,6 +114,24 @@ def q_label_h2(spark, sf_dir):
     return word_labels(spark, sf_dir).select("doc_id", "pos", "token", F.col("l2").alias("label"))
 
 
+def corpus_cap_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequency table of ``documents`` saved by this application; counted and saved first if there is none."""
+    path = artifact_path(spark, "cap-freq", sf_dir)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        L.cap_freq_save(L.cap_freq(T.explode_tokens(word_wide(spark, sf_dir))), path)
+    return L.cap_freq_load(spark, path)
+
+
+@register("label_h2_corpus", f"""{S.labels_ctes(table="(SELECT item_id AS doc_id, text FROM benchmark)", scope="documents")}
+SELECT doc_id AS item_id, pos, token, CAST(cf AS BIGINT) AS cap_freq, l2 AS label FROM lab""")
+def q_label_h2_corpus(spark, sf_dir):
+    """Texts of another table labelled by the frequencies of the wider corpus, and those frequencies."""
+    freq = corpus_cap_freq(spark, sf_dir)
+    wide = T.tokenize(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "word", keep=("item_id",))
+    lab = L.heuristic_labels(wide, keep=("item_id",), freq=freq)
+    return L.cap_freq_lookup(lab, freq, spread=("item_id", "pos")).select("item_id", "pos", "token", "cap_freq", F.col("l2").alias("label"))
+
+
 # --- 2.3 / 2.4 aggregates and lookups ----------------------------------------------
 
 @register("cap_freq", f"""WITH {S.word_tokens_cte()}

@@ -60,8 +60,8 @@ def q_tagger_eval(spark, sf_dir):
     rows = all_rows(spark, sf_dir).filter(F.col("split") == "val")
     scored = model.transform(rows).select(F.col("label").cast("int").alias("l_auto"),
                                          TG.argmax_from_vector().alias("l_tagger"))
-    k = A.cohen_kappa(scored, "l_auto", "l_tagger")
-    return _round(k, ["po", "pe", "kappa"])
+    k = A.cohen_kappa(scored, "l_auto", "l_tagger").crossJoin(TG.recalls(scored, "l_auto", "l_tagger"))  # one row each
+    return _round(k, ["po", "pe", "kappa", "recall_0", "recall_1", "recall_2"])
 
 
 @register("argmax_label", f"""{S.labels_ctes()},

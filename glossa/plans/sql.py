@@ -23,12 +23,13 @@ def word_tokens_cte(extra: str = "", table: str = "documents", pattern: str = WO
 )"""
 
 
-def labels_ctes(extra: str = "", table: str = "documents", pattern: str = WORD_RE) -> str:
-    """``tok`` -> ``lab(doc_id, [extra,] pos, token, l0, l1, l2)`` with the reference rules."""
+def labels_ctes(extra: str = "", table: str = "documents", pattern: str = WORD_RE, scope: str = "") -> str:
+    """``tok`` -> ``lab(doc_id, [extra,] pos, token, l0, l1, l2, cf)`` with the reference rules; ``scope``: the table that H2's frequency is counted on."""
     cols = f", {extra}" if extra else ""
+    wider = f"wider AS (SELECT unnest(regexp_extract_all(text, {q(pattern)})) AS token FROM {scope}),\n" if scope else ""
     return f"""WITH {word_tokens_cte(extra, table, pattern)},
-capf AS (
-  SELECT token AS cf_token, count(*) AS cap_freq FROM tok
+{wider}capf AS (
+  SELECT token AS cf_token, count(*) AS cap_freq FROM {"wider" if scope else "tok"}
   WHERE regexp_matches(token, {q(UPPER_RE)}) GROUP BY token
 ),
 f AS (
@@ -39,14 +40,14 @@ f AS (
   FROM tok LEFT JOIN capf ON tok.token = capf.cf_token
 ),
 c AS (
-  SELECT doc_id{cols}, pos, token,
+  SELECT doc_id{cols}, pos, token, cf,
     cap AND length(token) > 1 AND NOT st AS c0,
     cap AND length(token) >= 1 AND NOT st AS c1,
     cap AND length(token) >= 4 AND NOT st AND cf >= 2 AS c2
   FROM f
 ),
 lab AS (
-  SELECT doc_id{cols}, pos, token,
+  SELECT doc_id{cols}, pos, token, CASE WHEN regexp_matches(token, {q(UPPER_RE)}) AND regexp_matches(token, {q(ALPHA_RE)}) THEN cf ELSE 0 END AS cf,
     CAST(CASE WHEN NOT c0 THEN 0 WHEN coalesce(lag(c0) OVER w, false) THEN 2 ELSE 1 END AS INTEGER) AS l0,
     CAST(CASE WHEN NOT c1 THEN 0 WHEN coalesce(lag(c1) OVER w, false) THEN 2 ELSE 1 END AS INTEGER) AS l1,
     CAST(CASE WHEN NOT c2 THEN 0 WHEN coalesce(lag(c2) OVER w, false) THEN 2 ELSE 1 END AS INTEGER) AS l2
