@@ -250,7 +250,7 @@ def _foreign_tokens(table: pa.Table) -> pa.Table:
 
 
 def _groups_to_open(table: pa.Table) -> pa.Table:
-    """Distinct (set, group of higher number) that share a token of the bin and aren't in one component."""
+    """Distinct (set, group of higher number: one at least as large) that share a token of the bin and aren't in one component."""
     token, node, gid, label, pure, starts = _bin_entries(table)
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
@@ -284,9 +284,12 @@ def _groups_to_open(table: pa.Table) -> pa.Table:
 def matrix_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, n_tokens: int) -> DataFrame:
     """Links between sets of different groups and components, through the token-group matrix."""
     known = groups.join(labels, "node", "left").select("node", "gid", F.coalesce("label", "node").alias("label"))
-    pure = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
-        "gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(-1)).alias("pure"))
-    known = staged(known.join(pure, "gid").join(sets.select("node", "n"), "node"), "matrix-known", n_tokens // 100)
+    # Groups are numbered by size first: the sets of the smaller one of two groups ask for the larger one.
+    number = F.shiftleft(F.least(F.count(F.lit(1)), F.lit(65_535)), 47).bitwiseOR(F.col("gid").bitwiseAND(F.lit((1 << 47) - 1)))
+    pure = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), number.alias("number")).select(
+        "gid", "number", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit(-1)).alias("pure"))
+    known = known.join(pure, "gid").join(sets.select("node", "n"), "node").select("node", F.col("number").alias("gid"), "label", "pure", "n")
+    known = staged(known, "matrix-known", n_tokens // 100)
     bins = max(1, math.ceil(n_tokens / BIN_TOKENS))
     send = _to_bins(bins)
 
