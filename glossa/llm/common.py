@@ -6,7 +6,8 @@ import ctypes
 import gc
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +42,8 @@ def staged(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.staged_at = path
+    if _scratch:
+        _scratch[-1].append(table)
     return table
 
 
@@ -50,6 +53,23 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What the ``scratch`` blocks under way have staged, the innermost last.
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch(kept: list[DataFrame]) -> Iterator[None]:
+    """Tables staged within, apart from those put into ``kept``, are deleted at the end: their results have been written."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        made = _scratch.pop()
+    for table in made:
+        if not any(table is k for k in kept):
+            discard(table)
+
+
 #: Bytes of texts that go to a Python worker at once.
 BATCH_BYTES = 4 << 20
 
@@ -85,6 +105,25 @@ def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``docs`` without the rows whose ``keys`` (column of ``dropped``: expression over ``docs``) are in ``dropped``, a staged table: broadcast if few, else Spark shuffles.
+
+    The columns of ``docs`` may have any names.
+    """
+    names = {k: unused(docs.columns, k) for k in keys}
+    marked = docs.select("*", *[e.alias(names[k]) for k, e in keys.items()])
+    other = dropped.select(*[F.col(k).alias(names[k]) for k in keys])
+    return marked.join(if_small(other), list(names.values()), "left_anti").select(*[marked[c] for c in docs.columns])
+
+
 def fold(modulus: int, col: str = "doc_id") -> Column:
     """``crc32(doc_id as text) mod modulus``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % modulus
