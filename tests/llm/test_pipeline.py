@@ -60,7 +60,29 @@ def test_run(spark):
     assert a == sorted((r["doc_id"], r["ids_sha256"]) for r in P.run(spark, SF).collect())
 
 
+def test_any_column_names(spark, table):
+    text = "the of and to in that is was for it with as his on be at by this had not "
+    docs = table([(1, text * 3), (1, text * 3), (2, text * 2 + "but some of the words are new here"), (None, None), (4, "one two three")])
+    for name in ("_id", "_text", "_dropped", "_dropped_text", "text_key", "_TEXT_", "ids"):
+        docs = docs.withColumn(name, docs["word"])
+    for name, stage in P.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns and {r["_dropped"] for r in kept.collect()} == {"w"}, name
+    assert P.STAGES[-1][1](spark, docs, SF).count() == 5
+
+
+def test_finished_tables_are_deleted(spark):
+    import os
+
+    from glossa.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    P.run(spark, SF).count()
+    left = [d for d in set(os.listdir(folder)) - before if not d.startswith("rdd-")]
+    assert sum(d.startswith("pipeline-") for d in left) == 1 and len(left) < 8
+
+
 def test_registered():
     names = {n.split("_")[0] for n in E.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in E.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
