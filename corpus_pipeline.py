@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import bpe_tables, decontaminate, exact_dedup, group_matrix, language_id
-from glossa.llm.common import documents, if_small, internal_id, staged
+from glossa.llm.common import discard, documents, internal_id, scratch, staged, unused, without
 
 LEAST_SCORE = 0.5
 
@@ -31,8 +31,8 @@ def _text_key(text: Column) -> Column:
 
 def _without(docs: DataFrame, dropped: DataFrame, text_key: Column, rows: int) -> DataFrame:
     """``docs`` without the rows whose id and text key are in ``dropped`` (``doc_id, text_key``): broadcast if few, else Spark shuffles."""
-    dropped = staged(dropped.select(internal_id().alias("_dropped"), F.col("text_key").alias("_dropped_text")).distinct(), "pipeline-dropped", rows)
-    return docs.join(if_small(dropped), (internal_id() == F.col("_dropped")) & (text_key == F.col("_dropped_text")), "left_anti")
+    dropped = staged(dropped.select(internal_id().alias("_id"), "text_key").distinct(), "pipeline-dropped", rows)
+    return without(docs, dropped, {"_id": internal_id(), "text_key": text_key})
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = _without(docs, dropped, text, docs.count())
     if not told.where("kept = false AND keep_id <=> doc_id").limit(1).count():
         return kept
-    return kept.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")  # the kept row itself is repeated
+    key = unused(docs.columns, "_text")
+    return kept.withColumn(key, text).dropDuplicates(["doc_id", key]).drop(key)  # the kept row itself is repeated
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,8 +79,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is written in the shared folder and read again."""
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``; each result but the last is written in the shared folder and read again.
+
+    When a stage's result is written, the tables it made on the way and the result before it are deleted.
+    """
+    docs, results = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(results):
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            results.append(docs)
+        for done in results[:-1]:
+            discard(done)
+        results = results[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
