@@ -16,7 +16,8 @@ from glossa.operators import agreement as A
 from glossa.operators import labels as L
 from glossa.operators import tokens as T
 from glossa.plans import sql as S
-from glossa.session import artifact_path, path_exists
+from glossa.artifacts import artifact
+from glossa.session import artifact_path
 from glossa.sources.corpus import read_documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -115,11 +116,9 @@ def q_label_h2(spark, sf_dir):
 
 
 def corpus_cap_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The frequency table of ``documents`` saved by this application; counted and saved first if there is none."""
-    path = artifact_path(spark, "cap-freq", sf_dir)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        L.cap_freq_save(L.cap_freq(T.explode_tokens(word_wide(spark, sf_dir))), path)
-    return L.cap_freq_load(spark, path)
+    """The frequency table of ``documents``; counted and saved first if no application has."""
+    save = lambda path: L.cap_freq_save(L.cap_freq(T.explode_tokens(word_wide(spark, sf_dir))), path)
+    return L.cap_freq_load(spark, artifact(spark, "cap-freq", sf_dir, save))
 
 
 @register("label_h2_corpus", f"""{S.labels_ctes(table="(SELECT item_id AS doc_id, text FROM benchmark)", scope="documents")}
@@ -451,12 +450,17 @@ LARGE_VOCAB = 1000
 
 
 def trained(spark: SparkSession, sf_dir: str, vocab_size: int = VOCAB_SIZE):
-    """The tokenizer saved by this application for the input and size; trained and saved first if there is none."""
-    path = artifact_path(spark, f"tokenizer{vocab_size}", sf_dir)
-    if not path_exists(spark, f"{path}/merges/_SUCCESS"):
+    """The tokenizer for the input and size."""
+    return B.Tokenizer.load(*K.tokenizer_load(spark, trained_path(spark, sf_dir, vocab_size))[:2])
+
+
+def trained_path(spark: SparkSession, sf_dir: str, vocab_size: int = VOCAB_SIZE) -> str:
+    """Where the tokenizer lies; trained and saved first if no application has."""
+    def train(path: str) -> None:
         tok = B.train(read_documents(spark, sf_dir), vocab_size)
         K.tokenizer_save(tok.vocab_df(spark), tok.merges_df(spark), path)
-    return B.Tokenizer.load(*K.tokenizer_load(spark, path)[:2])
+
+    return artifact(spark, f"tokenizer{vocab_size}", sf_dir, train)
 
 
 BPE = S.bpe_ctes(VOCAB_SIZE)
@@ -518,8 +522,7 @@ def q_tokenizer_save(spark, sf_dir):
 
 @register("tokenizer_load", f"{BPE} SELECT token_id, token, (SELECT count(*) FROM vocab) AS vocab_size FROM vocab")
 def q_tokenizer_load(spark, sf_dir):
-    trained(spark, sf_dir)
-    vocab, _, size = K.tokenizer_load(spark, artifact_path(spark, f"tokenizer{VOCAB_SIZE}", sf_dir))
+    vocab, _, size = K.tokenizer_load(spark, trained_path(spark, sf_dir))
     return vocab.withColumn("vocab_size", F.lit(size).cast("bigint"))
 
 

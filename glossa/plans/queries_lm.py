@@ -10,7 +10,7 @@ from glossa.operators import lm as M
 from glossa.operators import windows as W
 from glossa.plans import sql as S
 from glossa.plans.queries import _round, register, word_wide
-from glossa.session import artifact_path, path_exists
+from glossa.artifacts import artifact
 from glossa.sources.corpus import read_documents
 
 RATIO = 0.9      # train share of the token stream (the source's default)
@@ -32,12 +32,12 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, sf_dir: str, orders: tuple[int, ...] = (K,)) -> M.NgramModel:
-    """The model saved by this application for the input; fitted and saved first if there is none."""
-    path = artifact_path(spark, "ngram" + "-".join(map(str, orders)), sf_dir)
-    if not path_exists(spark, f"{path}/unigram/_SUCCESS"):
+    """The model for the input; fitted and saved first if no application has."""
+    def fit(path: str) -> None:
         rows = split_rows(spark, sf_dir)
         M.ngram_save(M.ngram_fit(rows.filter(F.col("split") == "train"), list(orders)), path)
-    return M.ngram_load(spark, path)
+
+    return M.ngram_load(spark, artifact(spark, "ngram" + "-".join(map(str, orders)), sf_dir, fit))
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:

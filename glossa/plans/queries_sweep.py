@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from glossa.operators import sweep as SW
 from glossa.plans import sql as S
 from glossa.plans.queries import _round, register
-from glossa.session import artifact_path, path_exists
+from glossa.artifacts import artifact
+from glossa.session import artifact_path
 from glossa.plans.queries_lm import PROMPT_TOKENS, SPLIT_SQL, SR_LISTS, split_rows
 
 SAMPLE_STEPS = 10  # generated tokens per run
@@ -24,11 +25,9 @@ def first_prompt(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run records saved by this application for the input; the sweep runs first if there are none."""
-    path = artifact_path(spark, "runs", sf_dir)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        SW.runs_sink(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir), steps=SAMPLE_STEPS), path)
-    return SW.runs_source(spark, path)
+    """The run records of the input; the sweep runs first if no application has saved them."""
+    save = lambda path: SW.runs_sink(SW.sweep_runs(split_rows(spark, sf_dir), first_prompt(spark, sf_dir), steps=SAMPLE_STEPS), path)
+    return SW.runs_source(spark, artifact(spark, "runs", sf_dir, save, ("documents", "benchmark")))
 
 
 def _values() -> str:

@@ -14,7 +14,7 @@ from glossa.plans import sql as S
 from glossa.operators import windows as W
 from glossa.plans.queries import _round, register, row_labels, word_label_wide
 from glossa.plans.queries_lm import RATIO
-from glossa.session import artifact_path, path_exists
+from glossa.artifacts import artifact
 from glossa.sources.corpus import line_source
 
 def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,20 +24,23 @@ def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TG.feature_rows(wide).withColumn("split", W.split_label("doc_id", "pos", cut_doc, cut_pos))
 
 
-def fitted_tagger(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """The tagger saved by this application for the input; fitted on the train split and saved first if there is none."""
-    path = artifact_path(spark, "tagger", sf_dir)
-    if not path_exists(spark, f"{path}/model/metadata/_SUCCESS"):
+def tagger_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the tagger for the input lies; fitted on the train split and saved first if no application has."""
+    def fit(path: str) -> None:
         model, history = TG.tagger_fit(all_rows(spark, sf_dir).filter(F.col("split") == "train"))
         history.write.mode("overwrite").parquet(f"{path}/history")
         model.write().overwrite().save(f"{path}/model")
-    return PipelineModel.load(f"{path}/model")
+
+    return artifact(spark, "tagger", sf_dir, fit)
+
+
+def fitted_tagger(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return PipelineModel.load(f"{tagger_path(spark, sf_dir)}/model")
 
 
 @register("tagger_fit")
 def q_tagger_fit(spark, sf_dir):
-    fitted_tagger(spark, sf_dir)
-    return spark.read.parquet(artifact_path(spark, "tagger", sf_dir) + "/history")
+    return spark.read.parquet(f"{tagger_path(spark, sf_dir)}/history")
 
 
 @register("tagger_predict")

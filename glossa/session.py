@@ -70,15 +70,10 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def artifact_path(spark: SparkSession, name: str, source: str) -> str:
-    """Where this application keeps something made from ``source``: in the shared folder, the same for every caller."""
+    """Where this application keeps a copy made from ``source``: in the shared folder, the same for every caller.  (``glossa.artifacts`` has what others use, too.)"""
     key = hashlib.md5(source.encode()).hexdigest()[:12]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{spark.sparkContext.applicationId}-{key}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

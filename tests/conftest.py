@@ -20,7 +20,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    # A folder of its own below the configured one: nothing that an earlier run has saved is found.
+    s.sparkContext.setCheckpointDir(f"{ensure_checkpoint_dir(s)}/tests")
     yield s
     s.stop()
 
