@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossa.functions.patterns import LINE_RE
 from glossa.functions.text import explode_rows, strip_ws
+from glossa.operators.lookup import materialise
 from glossa.operators.windows import global_exclusive_sum, global_row_number
 
 DOC_SEP = "\n\n"
@@ -49,6 +50,46 @@ def corpus_load(spark: SparkSession, path: str) -> DataFrame:
     return global_row_number(raw, ["path"], "doc_id").select("doc_id", "path", "text")
 
 
+PART_BYTES = 1 << 20  # of a text that one row holds, about
+
+
+def corpus_load_parts(spark: SparkSession, path: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Every ``*.txt`` file of a folder in parts: ``(doc_id, path, part, text)``, doc_id as in ``corpus_load``.
+
+    Spark plans the files as byte ranges and reads them line by line, so a file of any size is read by many tasks and no row holds more than
+    about ``part_bytes``: lines of a range are joined up to that size, a longer line is cut between characters.  The parts of a file, in order, are the
+    file again, line ends included (apart from a byte order mark).  An empty file has no parts.
+    """
+    def reader():
+        return spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", False)
+
+    # Lists them; no content is read.  Empty files are no documents, as in ``corpus_load``.
+    files = reader().format("binaryFile").load(path).select("path", "length").where("length > 0")
+    if files.isEmpty():
+        raise FileNotFoundError(f"no .txt files found in {path}")
+    docs = materialise(global_row_number(files, ["path"], "doc_id"))
+    lines = reader().option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("i"),
+        F.concat("value", F.lit("\n")).alias("line"))
+    before = Window.partitionBy("path", "start").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length("line")
+    chunk = F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / part_bytes).alias("chunk")
+    pieces = F.when(size <= part_bytes, F.array("line")).otherwise(F.regexp_extract_all("line", F.lit(f"(?s).{{1,{part_bytes}}}"), 0))
+    cut = lines.select("path", "start", "i", chunk, F.posexplode(pieces).alias("piece", "text"))
+    # The window has dealt the lines by range already; grouping by range and more keeps them there.
+    parts = cut.groupBy("path", "start", "chunk", "piece").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("t"))
+    parts = materialise(parts.select("path", "start", "chunk", "piece", F.array_join(F.transform("t", lambda x: x["text"]), "").alias("text")))
+    of = Window.partitionBy("path")
+    order = of.orderBy("start", "chunk", "piece")
+    bounds = parts.select("path", "start", "chunk", "piece", F.octet_length("text").alias("bytes")).select(
+        "path", "start", "chunk", "piece", (F.row_number().over(order) - 1).alias("part"), F.sum("bytes").over(of).alias("all"),
+        F.lead("chunk").over(order).isNull().alias("last"))
+    out = parts.join(bounds, ["path", "start", "chunk", "piece"]).join(docs, "path")
+    # A last line without a line end has been given one above.
+    text = F.when(F.col("last") & (F.col("all") > F.col("length")), F.regexp_replace("text", "\n\\z", "")).otherwise(F.col("text"))
+    return out.select("doc_id", "path", "part", text.alias("text")).where("text != ''")
+
+
 def corpus_concat(parts: DataFrame, key: str = "conv_id", order: str = "turn", text: str = "text",
                   sep: str = DOC_SEP) -> DataFrame:
     """Join the texts of each group with ``sep`` in ``order``.

@@ -90,6 +90,30 @@ def test_generation_broadcasts_its_state(spark, docs):
     assert "BroadcastHashJoin" in plan and "RightOuter" not in plan
 
 
+def test_parts_of_files_are_the_files(spark, tmp_path):
+    texts = {"a.txt": "", "b.txt": "one\r\ntwo\n\n\nthree", "c.txt": "\n", "d.txt": "x", "e.txt": "".join(f"línea {i} ñ😀\n" for i in range(400)),
+             "f.txt": "ü" * 5000 + "\n" + "short\n" + "y" * 3000, "g.txt": "end\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "other.csv").write_text("no")
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+        rows = C.corpus_load_parts(spark, str(tmp_path), 200).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    whole = {r["path"].split("/")[-1]: r["doc_id"] for r in C.corpus_load(spark, str(tmp_path)).collect()}
+    for name, text in texts.items():
+        mine = sorted((r for r in rows if r["path"].endswith(name)), key=lambda r: r["part"])
+        assert "".join(r["text"] for r in mine) == text, name
+        assert [r["part"] for r in mine] == list(range(len(mine))) and {r["doc_id"] for r in mine} == ({whole[name]} if text else set())
+        assert all(len(r["text"].encode()) <= 2 * 2 * 200 for r in mine)
+    assert sum(r["path"].endswith("e.txt") for r in rows) > 20
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        C.corpus_load_parts(spark, str(tmp_path / "none"))
+
+
 def shares(rows):
     """The share of every token in a list's alias rows, in exact units."""
     out = {}
