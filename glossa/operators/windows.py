@@ -13,7 +13,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,22 +181,39 @@ def windows(wide: DataFrame, length: int, stride: int = 1, toks: str = "ids", sh
             .select(*keep, F.col("w.start").cast("int").alias("start"), "w.x", "w.y"))
 
 
+#: Hex digits of a hash that name a range of the shuffled order; more once a range would hold more than ``RANGE_ROWS`` rows.
+RANGE_DIGITS = (4, 6)
+RANGE_ROWS = 2_000_000
+
+
+def _numbered_by_ranges(samples: DataFrame, range_of: Column, order: list[str], out: str, few: bool) -> DataFrame:
+    """0-based ordinal in ``order``, for rows whose ranges (``range_of``, in order) are fixed beforehand.
+
+    A count of each range gives its first number; a row's number is that and its place in the range.  Only the counts are written, the
+    rows are shuffled once, by range, and a recomputed task gets the same rows again, as no bound comes from sampling.
+    """
+    s = samples.withColumn("_range", range_of)
+    first = global_exclusive_sum(s.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")), ["_range"], "_n", "_first").select("_range", "_first")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (s.join(F.broadcast(first) if few else first, "_range")
+            .withColumn(out, (F.col("_first") + place - 1).cast("bigint")).drop("_range", "_first"))
+
+
 def shuffled_batches(samples: DataFrame, batch_size: int, seed: int = 0,
                      key: tuple[str, ...] = ("doc_id", "start"), shuffle: bool = True) -> DataFrame:
     """Assign ``batch_id``: samples in a seeded md5 order (or key order), ``batch_size`` per batch.
 
-    The last batch may be short.  The global ordinal uses ``global_row_number``.
+    The last batch may be short.  The md5's first digits are ranges of nearly equal size, known without sampling; in key
+    order the first key (the document) is the range.
     """
     if shuffle:
         k = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
         s = samples.withColumn("_u", k)
-        order = ["_u", *key]
+        digits = RANGE_DIGITS[s.count() > RANGE_ROWS * 16 ** RANGE_DIGITS[0]]
+        numbered = _numbered_by_ranges(s, F.substring("_u", 1, digits), ["_u", *key], "sample_no", digits == RANGE_DIGITS[0]).drop("_u")
     else:
-        s = samples
-        order = list(key)
-    numbered = global_row_number(s, order, "sample_no")
-    out = numbered.withColumn("batch_id", F.floor(F.col("sample_no") / batch_size).cast("bigint"))
-    return out.drop("_u") if shuffle else out
+        numbered = _numbered_by_ranges(samples, F.col(key[0]), list(key), "sample_no", False)
+    return numbered.withColumn("batch_id", F.floor(F.col("sample_no") / batch_size).cast("bigint"))
 
 
 def context_chunks(wide: DataFrame, length: int, toks: str = "toks", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

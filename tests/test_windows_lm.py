@@ -82,3 +82,26 @@ def test_greedy_tie_goes_to_smallest_token(spark):
     p = spark.createDataFrame([(0, ["x"])], "prompt_id long, prompt array<string>")
     g = M.generate_greedy(p, m, 1, steps=2).first()
     assert list(g["generated"]) == ["a", "x"]
+
+
+def test_sample_numbers_follow_the_hash(spark, monkeypatch):
+    import hashlib
+
+    from glossa.operators import windows as W
+    samples = spark.range(700).select((F.col("id") % 23).alias("doc_id"), (F.col("id") / 23).cast("int").alias("start")).repartition(5)
+    keys = [(i % 23, i // 23) for i in range(700)]
+    hashed = sorted(keys, key=lambda k: (hashlib.md5(f"7:{k[0]}:{k[1]}".encode()).hexdigest(), k))
+    for limit in (W.RANGE_ROWS, 0):
+        monkeypatch.setattr(W, "RANGE_ROWS", limit)
+        got = {(r["doc_id"], r["start"]): (r["sample_no"], r["batch_id"]) for r in W.shuffled_batches(samples, 16, 7).collect()}
+        assert got == {k: (n, n // 16) for n, k in enumerate(hashed)}
+    plain = {(r["doc_id"], r["start"]): r["sample_no"] for r in W.shuffled_batches(samples, 16, shuffle=False).collect()}
+    assert plain == {k: n for n, k in enumerate(sorted(keys))}
+    plan = W.shuffled_batches(samples, 16, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Range (0, 700" in plan  # the rows themselves are not read from a checkpoint
+
+
+def test_scoring_reads_documents_once(spark, sf_small):
+    from glossa.plans import queries_lm as Q
+    plan = Q.q_token_loss(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") == 1
