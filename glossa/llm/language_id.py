@@ -21,6 +21,8 @@ each; an empty table gives no rows; other columns are ignored.  Words longer tha
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,6 +35,8 @@ from pyspark.sql import functions as F
 from glossa.llm.common import bounded_batches, fold, release, staged
 
 WORD = re.compile(r"[^\W\d_]+")
+#: The pattern also takes superscripts, fractions, circled numbers and numerals; they are no letters.
+NUMBERS = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl")) + "]+")
 MAX_WORD = 40
 MAX_ORDER = 5
 MAX_WORDS = 200_000
@@ -48,7 +52,8 @@ WORDS_PER_TEXT = 8
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    found = WORD.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [part for w in found for part in NUMBERS.split(w) if part]
 
 
 def grams_of(word: str, order: int) -> list[str]:

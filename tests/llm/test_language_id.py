@@ -60,3 +60,10 @@ def test_edges(table, spark):
     assert by[4]["lang_pred"] == by[6]["lang_pred"] == by[None]["lang_pred"] == "en"
     assert language_id.language_id(table([(1, "text", None)])).first()["lang_pred"] == "und"
     assert language_id.language_id(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+
+
+def test_numbers_are_no_letters():
+    assert language_id.words_of("² ½ ① Ⅷ 12 _ 〇") == []
+    assert language_id.words_of("x² Ünï½cödé ß-ǅ 日本 ªº") == ["x", "ünï", "cödé", "ß", "ǆ", "日本", "ªº"]
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x30000)]))
+    assert "".join(language_id.words_of(every)) == "".join(c for c in every.lower() if c.isalpha())
