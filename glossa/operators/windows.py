@@ -216,15 +216,17 @@ def shuffled_batches(samples: DataFrame, batch_size: int, seed: int = 0,
     return numbered.withColumn("batch_id", F.floor(F.col("sample_no") / batch_size).cast("bigint"))
 
 
-def context_chunks(wide: DataFrame, length: int, toks: str = "toks", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Consecutive non-overlapping chunks of ``length`` tokens; the last may be shorter."""
+def context_chunks(wide: DataFrame, length: int, toks: str = "toks", keep: tuple[str, ...] = ("doc_id",), labels: str | None = None) -> DataFrame:
+    """Consecutive non-overlapping chunks of ``length`` tokens; the last may be shorter.  ``labels``: a parallel array that is cut alike."""
     a = F.col(toks)
     n = F.size(a)
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(length))).otherwise(F.array().cast("array<int>"))
-    chunk = lambda s: F.struct(s.alias("start"), F.slice(a, s + 1, F.lit(length)).alias("chunk"))
+    more = [labels] if labels else []
+    chunk = lambda s: F.struct(s.alias("start"), F.slice(a, s + 1, F.lit(length)).alias("chunk"),
+                               *[F.slice(c, s + 1, F.lit(length)).alias(c) for c in more])
     return (explode_rows(wide, F.transform(starts, chunk), keep, "c", "chunk_id")
             .select(*keep, F.col("chunk_id").cast("int").alias("chunk_id"),
-                    F.col("c.start").cast("int").alias("start"), "c.chunk"))
+                    F.col("c.start").cast("int").alias("start"), "c.chunk", *[f"c.{m}" for m in more]))
 
 
 __all__ = [

@@ -259,6 +259,15 @@ def q_extract_entities(spark, sf_dir):
     return extract_entities(word_label_wide(spark, sf_dir), sep=" ")
 
 
+@register("extract_entities_chunked", f"{ISLANDS} SELECT * FROM ent")
+def q_extract_entities_chunked(spark, sf_dir):
+    from glossa.operators.entities import extract_entities_chunked
+    from glossa.operators.windows import context_chunks
+    chunks = context_chunks(word_label_wide(spark, sf_dir), 64, labels="labels")
+    e = extract_entities_chunked(chunks, toks="chunk", sep=" ")
+    return e.select("doc_id", F.col("ent_no").cast("int").alias("ent_no"), "start_pos", "end_pos", "entity")
+
+
 @register("ordered_distinct", f"""{ISLANDS}
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_no) - 1 AS INTEGER) AS idx, entity
 FROM (SELECT doc_id, entity, min(ent_no) AS first_no FROM ent GROUP BY doc_id, entity)""")

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossa.operators import labels as L
-from glossa.operators.entities import extract_entities, ordered_distinct
+from glossa.operators.entities import extract_entities, extract_entities_chunked, ordered_distinct
 from glossa.operators.tokens import tokenize
+from glossa.operators.windows import context_chunks
 from tests import brute
 
 SENTENCES = [
@@ -57,6 +58,30 @@ def test_entities_random_vs_brute(spark):
         assert [g[1:] for g in sorted(got.get(d, []))] == [tuple(e) for e in exp], (toks, labels)
 
 
+@pytest.mark.parametrize("length,block", [(1, 1), (1, 3), (2, 2), (3, 1), (5, 4), (64, 1024)])
+def test_entities_by_chunks_equal_whole_documents(spark, length, block):
+    rng = random.Random(length * 100 + block)
+    rows = [(None, ["a", "b", "c"], [1, 2, 2]), (-1, [], []), (-2, ["x"] * 40, [1] + [2] * 39), (-3, ["x"] * 40, [2] * 40)]
+    for d in range(150):
+        n = rng.randint(0, 30)
+        rows.append((d, [rng.choice("abc") for _ in range(n)], [rng.choice([0, 1, 2, 2, 2, 2]) for _ in range(n)]))
+    df = spark.createDataFrame(rows, "doc_id long, toks array<string>, labels array<int>")
+    chunks = context_chunks(df, length, labels="labels").withColumnRenamed("chunk", "toks").repartition(5)
+    got = extract_entities_chunked(chunks, sep="+", block_chunks=block)
+    cols = ["doc_id", "ent_no", "start_pos", "end_pos", "entity"]
+    want = extract_entities(df, sep="+")
+    assert sorted(map(tuple, got.select(cols).collect()), key=str) == sorted(map(tuple, want.select(cols).collect()), key=str)
+
+
+def test_chunks_of_uneven_length_hand_on_their_state(spark):
+    rows = [(0, 0, 0, ["a", "b"], [0, 1]), (0, 1, 2, [], []), (0, 2, 2, ["c"], [2]), (0, 3, 3, ["d", "e", "f"], [2, 0, 2]), (0, 4, 6, ["g"], [2]), (0, 5, 7, ["h"], [1])]
+    df = spark.createDataFrame(rows, "doc_id long, chunk_id int, start long, toks array<string>, labels array<int>")
+    got = sorted(map(tuple, extract_entities_chunked(df, block_chunks=2).collect()))
+    assert got == [(0, 0, 1, 3, "bcd"), (0, 1, 7, 7, "h")]
+    none = extract_entities_chunked(df.where("doc_id > 0"))
+    assert none.count() == 0
+
+
 def test_heuristics_vs_brute(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     lab = L.heuristic_labels(tokenize(docs, "word"))
