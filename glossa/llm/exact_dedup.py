@@ -24,13 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.llm.common import FILE_ROWS, external_id, if_small, internal_id, staged
+from glossa.operators.lookup import skew_join
 
 #: Digests per filter shard: a filter then takes about 75 KB, at any number of documents.
 SHARD_ROWS = 65_536
+#: Distinct texts (about 100 bytes each) up to which the groups are broadcast to the rows; beyond, both are shuffled and large groups split.
+GROUPS_BROADCAST = 50_000
 
 FILTER_SCHEMA = "shard long, seed long, seg_len long, seg_count long, slots binary"
 
@@ -127,13 +130,16 @@ def keyed(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
 
 
 def grouped(keys: DataFrame) -> DataFrame:
-    """The distinct texts of a batch: a plain aggregate, so copies are combined before the shuffle."""
-    return keys.groupBy("digest", "sha").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    """The distinct texts of a batch, each with its smallest id, one row (``_row``) that has it, and its number of rows.
+
+    A plain aggregate, so copies are combined before the shuffle.  Where rows repeat an id, any of them may be the one; writing the result settles which.
+    """
+    return keys.groupBy("digest", "sha").agg(F.min("_id").alias("first_id"), F.min_by("_row", "_id").alias("first_row"), F.count(F.lit(1)).alias("n"))
 
 
 @dataclass
 class Snapshot:
-    """Immutable: ``buckets`` (digest, sha, first_id, n) and ``filters`` (one row per shard), both written tables."""
+    """Immutable: ``buckets`` (digest, sha, first_id, first_row, n) and ``filters`` (one row per shard), both written tables."""
 
     buckets: DataFrame
     filters: DataFrame
@@ -186,11 +192,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def match_batch(batch: DataFrame, snapshot: Snapshot, batch_docs: DataFrame, snapshot_docs: DataFrame) -> DataFrame:
-    """Groups of the batch whose text the snapshot holds: ``digest, sha, old_id, old_n``, after the byte check."""
+    """Groups of the batch whose text the snapshot holds: ``digest, sha, old_id, old_row, old_n``, after the byte check."""
     hits = screen(batch, snapshot)
     pairs = (batch.join(hits, "digest", "left_semi")
              .join(snapshot.buckets.select("digest", F.col("sha").alias("old_sha"), F.col("first_id").alias("old_id"),
-                                           F.col("n").alias("old_n")), "digest"))
+                                           F.col("first_row").alias("old_row"), F.col("n").alias("old_n")), "digest"))
     pairs = staged(pairs, "exact-pairs", batch.count())
     new = texts_of(batch_docs, pairs.select(F.col("first_id").alias("_id")))
     old = texts_of(snapshot_docs, pairs.select(F.col("old_id").alias("_id")))
@@ -198,7 +204,7 @@ def match_batch(batch: DataFrame, snapshot: Snapshot, batch_docs: DataFrame, sna
     old = old.select(F.col("_id").alias("old_id"), F.col("sha").alias("old_sha"), F.col("norm").alias("old_norm"))
     checked = pairs.join(new, ["first_id", "sha"]).join(old, ["old_id", "old_sha"])
     return (checked.where(F.col("new_norm") == F.col("old_norm"))
-            .select("digest", "sha", "old_id", "old_n").distinct())
+            .select("digest", "sha", "old_id", "old_row", "old_n").distinct())
 
 
 def exact_dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
@@ -207,7 +213,8 @@ def exact_dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
     The lower half of the id range is taken as the stored snapshot and the upper half as the incoming batch.
     """
     rows = docs.count()
-    keys = staged(keyed(docs, digest_bits).repartition(max(1, math.ceil(rows / FILE_ROWS))), "exact-keys")
+    keys = keyed(docs, digest_bits).repartition(max(1, math.ceil(rows / FILE_ROWS)))
+    keys = staged(keys.withColumn("_row", F.monotonically_increasing_id()), "exact-keys")
     lo, hi = keys.where(F.col("_id") < F.lit(2**62)).agg(F.min("_id"), F.max("_id")).first()
     middle = 0 if lo is None else (lo + hi) // 2
     is_old, is_old_doc = F.col("_id") <= middle, internal_id() <= middle
@@ -215,13 +222,15 @@ def exact_dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
     batch = staged(grouped(keys.where(~is_old)), "exact-batch", rows)
     seen = match_batch(batch, snapshot, docs.where(~is_old_doc), docs.where(is_old_doc))
     merged = batch.join(seen, ["digest", "sha"], "left").select(
-        "digest", "sha", F.coalesce("old_id", "first_id").alias("keep"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("size"))
-    groups = (snapshot.buckets.select("digest", "sha", F.col("first_id").alias("keep"), F.col("n").alias("size"))
-              .unionByName(merged).groupBy("digest", "sha").agg(F.min("keep").alias("keep"), F.max("size").alias("size")))
-    numbered = keys.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "sha").orderBy("digest")))
-    return numbered.join(groups, ["digest", "sha"]).select(
+        "digest", "sha", F.coalesce("old_id", "first_id").alias("keep"), F.coalesce("old_row", "first_row").alias("row"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("size"))
+    groups = (snapshot.buckets.select("digest", "sha", F.col("first_id").alias("keep"), F.col("first_row").alias("row"), F.col("n").alias("size"))
+              .unionByName(merged).groupBy("digest", "sha")
+              .agg(F.min("keep").alias("keep"), F.min_by("row", "keep").alias("row"), F.max("size").alias("size")))
+    groups = staged(groups, "exact-groups", rows)
+    # A text that a third of all rows repeat would be one task's: its size is known, so its rows are dealt over parts.
+    return skew_join(keys, groups, ["digest", "sha"], "size", ["_row"], "inner", max_rows=GROUPS_BROADCAST).select(
         external_id("_id").alias("doc_id"), external_id("keep").alias("keep_id"), F.col("size").alias("group_size"),
-        ((F.col("_id") == F.col("keep")) & (F.col("_nth") == 1)).alias("kept"), F.col("sha").alias("text_sha256"))
+        (F.col("_row") == F.col("row")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 ORACLE = r"""

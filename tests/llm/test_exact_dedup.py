@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from glossa.llm import exact_dedup
 
@@ -48,5 +50,24 @@ def test_against_brute_force(table, bits):
     assert all(r["doc_id"] == r["keep_id"] for r in out if r["kept"])
 
 
+def test_rows_of_one_large_group_are_dealt_over_tasks(table, spark, monkeypatch):
+    """A third of the rows share one text, half of those have no id: the same rows by the split join, and no task gets them all."""
+    rows = [(None if i % 6 == 0 else i, "copy" if i % 3 == 0 else f"text {i % 900}") for i in range(3000)]
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    monkeypatch.setattr(exact_dedup, "GROUPS_BROADCAST", 0)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = exact_dedup.exact_dedup(table(rows))
+        got = out.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert sorted([(r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got], key=str) == brute(rows)
+    assert sum(r["kept"] for r in got) == len({b[3] for b in brute(rows)})
+    parts = Counter(r["part"] for r in got if r["group_size"] >= 1000)
+    assert len(parts) > 4 and max(parts.values()) < 400
+
+
 def test_empty(spark):
     assert exact_dedup.exact_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
