@@ -3,15 +3,15 @@
 Words are the runs between ASCII white space.  The vocabulary's normaliser and splitter never look across white space,
 so the ids of a text are the ids of its words in order.
 
-1. Each task takes the distinct words of chunks of texts; Spark counts in how many chunks a word is.  The words of more than one chunk are
-   encoded once, by the tokenizers library, into the table of distinct words: hash of the word, packed ids.
-2. The ids come back by position: the table is broadcast and joined with the words of each text while the text is read.  Its size has a bound
-   (``MAX_WORDS`` rows of about 30 bytes): if more words repeat, those of the lowest frequencies are left out.
-3. A word outside the table is encoded where it stands, once per chunk.  With a table that holds all words of more than one chunk, every
-   distinct word is encoded once; else a word left out is encoded once in each of its (few) chunks.
+1. Spark splits the texts into words and counts them.  The words that occur more than once are encoded once, by the tokenizers library, into the
+   table of distinct words: a 128-bit digest of the word, its ids, and its decoded text, for which the ids are joined with the id-to-piece
+   table (``decode_ids``; it has as many rows as the vocabulary).
+2. The ids come back by position: the table is broadcast, the words of a chunk of texts are numbered, each distinct one is looked up once, and its ids
+   and pieces are taken at every position where it stands.  The table's size has a bound (``MAX_WORDS`` rows of about 50 bytes):
+   if more words repeat, those of the lowest frequencies are left out.
+3. A word outside the table is encoded where it stands.  With a table that holds all repeated words, every distinct word of the corpus is
+   encoded once; else a word left out is encoded once in each chunk that has it.
    (Joining the rare words by a shuffle gives the same ids; see the README for its figures.)
-4. Decoding joins ids with the id-to-piece table, which has as many rows as the vocabulary (``decode_ids``; for the table's words the same
-   join is a look-up in the broadcast pieces).
 
 Defined results: null text counts as empty (no ids, empty decoded text); repeated rows give repeated results; a null ``doc_id`` stays
 null; an empty table gives no rows; other columns are ignored.
@@ -20,28 +20,22 @@ null; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.llm.common import bounded_batches, most_frequent, release, staged
+from glossa.llm.common import WS_RUN, bounded_batches, most_frequent, release, staged
 
 MAX_WORDS = 700_000
 #: Repeated words that a text may bring, for the number of files of the word counts.
 WORDS_PER_TEXT = 8
-#: Bytes of texts whose words a task resolves at a time (one longer text is taken by itself).
+#: Bytes of words that a task resolves at a time (one longer text is taken by itself).
 CHUNK_BYTES = 2_500_000
-#: Texts that go back at once: their ids and pieces are several times as long as they are.
-ROWS_OUT = 64
-WORDS = re.compile(r"[^\x09-\x0D\x20]+").findall
-FLUSH = 100_000
 
 
 def word_bpe_path() -> str:
@@ -61,41 +55,33 @@ def _load(path: str):
     return tokenizer
 
 
-def split_words(text: str | None) -> list[str]:
-    """The runs between ASCII white space (0x09-0x0D, 0x20); other white space stays inside for the library to treat."""
-    return WORDS(text) if text else []
+def split_words(text: Column) -> Column:
+    """The runs between ASCII white space (0x09-0x0D, 0x20), with empty strings at the ends; other white space stays inside for the library to treat."""
+    return F.split(F.coalesce(text.cast("string"), F.lit("")), WS_RUN, -1)
 
 
-def _counted(c: Counter) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], ["word", "n"])
+def _digests(words: list[str]) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(w) for w in words]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    c: Counter = Counter()
-    for whole in batches:
-        for b in _chunks(whole):
-            c.update(set().union(*[split_words(t.as_py()) for t in b["text"]]))
-            if len(c) > FLUSH:
-                yield _counted(c)
-                c = Counter()
-    yield _counted(c)
-    del c
-    release()
+def word_table(words: DataFrame, pieces: DataFrame, path: str, max_words: int, texts: int) -> DataFrame:
+    """``digest, n, ids, decoded`` of the words (``words``: arrays) that occur more than once, each encoded once; the most frequent if there are more than ``max_words``.
 
-
-def word_table(docs: DataFrame, path: str, max_words: int) -> DataFrame:
-    """``hash, ids`` of the words of more than one chunk, each encoded once; the most frequent if there are more than ``max_words``."""
-    counts = staged(docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "bpe-words",
-                    WORDS_PER_TEXT * docs.count())
+    ``n`` is the number of ids, and ``ids`` are decimal numbers with one space between.
+    """
+    counts = words.select(F.explode("words").alias("word")).where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = staged(counts.where("n > 1"), "bpe-words", WORDS_PER_TEXT * texts)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _load(path)
         for b in batches:
-            ids = [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(b["word"].to_pylist(), add_special_tokens=False)]
-            yield pa.record_batch([b["hash"], pa.array(ids, pa.binary())], ["hash", "ids"])
+            chosen = b["word"].to_pylist()
+            ids = [e.ids for e in tokenizer.encode_batch(chosen, add_special_tokens=False)]
+            yield pa.record_batch([pa.array(_digests(chosen), pa.binary()), pa.array(ids, pa.list_(pa.int32()))], ["digest", "ids"])
 
-    chosen = most_frequent(counts, max_words).select("word", F.xxhash64("word").alias("hash"))
-    return chosen.mapInArrow(encode, "hash long, ids binary")
+    encoded = most_frequent(counts, max_words).select("word").mapInArrow(encode, "digest binary, ids array<int>")
+    entry = F.struct("digest", F.size("ids").alias("n"), F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
+    return decode_ids(encoded.select(entry.alias("entry"), "ids"), pieces, "entry").select("entry.*", "decoded")
 
 
 def id_to_piece(spark: SparkSession, path: str) -> DataFrame:
@@ -117,51 +103,45 @@ def decode_ids(encoded: DataFrame, pieces: DataFrame, key: str = "doc_id") -> Da
 
 
 class Table:
-    """The broadcast table of distinct words (sorted hashes, ids in one array) and the pieces by id."""
+    """The broadcast table of distinct words, sorted by digest, and the pieces by id for words outside of it."""
 
     def __init__(self, words: pa.Table, pieces: pa.Table) -> None:
-        hashes = words["hash"].to_numpy()
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        ids = words["ids"].to_pylist()
-        self.stops = np.cumsum([len(ids[i]) // 4 for i in order.tolist()], dtype=np.int32)
-        flat = np.frombuffer(b"".join([ids[i] for i in order.tolist()]), np.uint32)
-        self.ids = flat.astype(np.uint16) if not len(flat) or flat.max() < 1 << 16 else flat
+        keys = np.frombuffer(b"".join(words["digest"].to_pylist()), np.uint64).reshape(-1, 2)
+        order = np.argsort(keys[:, 0], kind="stable")
+        self.high, self.low = keys[order, 0], keys[order, 1]
+        self.n = words["n"].to_numpy()[order].astype(np.int64)
+        self.ids = words["ids"].combine_chunks().take(pa.array(order)).cast(pa.large_string())
+        self.decoded = words["decoded"].combine_chunks().take(pa.array(order)).cast(pa.large_string())
         self.pieces = [""] * (1 + max(pieces["id"].to_pylist(), default=0))
         for i, piece in zip(pieces["id"].to_pylist(), pieces["piece"].to_pylist()):
             self.pieces[i] = piece
-        self.names = [str(i) for i in range(len(self.pieces))]
-
-    def find(self, words: list[str]) -> list[list[int] | None]:
-        """The ids of each word, or None."""
-        if not len(self.hashes) or not words:
-            return [None] * len(words)
-        wanted = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)  # as Spark's xxhash64
-        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
-        stops = self.stops[at]
-        starts = np.where(at > 0, self.stops[at - 1], 0)
-        return [self.ids[x:y].tolist() if h else None for h, x, y in zip((self.hashes[at] == wanted).tolist(), starts.tolist(), stops.tolist())]
-
-
-Entry = tuple[int, str, str]
-NOTHING: Entry = (0, "", "")
 
-
-def resolve(words: list[str], table: Table, tokenizer) -> dict[str, Entry]:
-    """word -> (number of ids, ids as text, decoded text); ``NOTHING`` for a word without ids."""
-    found = table.find(words)
-    rest = [w for w, ids in zip(words, found) if ids is None]
-    encoded = iter([e.ids for e in tokenizer.encode_batch(rest, add_special_tokens=False)] if rest else ())
-    out = {}
-    for w, ids in zip(words, found):
-        ids = next(encoded) if ids is None else ids
-        out[w] = (len(ids), " ".join([table.names[i] for i in ids]), " ".join([table.pieces[i] for i in ids])) if ids else NOTHING
-    return out
+    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each word, and whether there is one: both halves of the digest must agree."""
+        if not len(self.high) or not words:
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        wanted = np.frombuffer(b"".join(_digests(words)), np.uint64).reshape(-1, 2)
+        at = np.minimum(np.searchsorted(self.high, wanted[:, 0]), len(self.high) - 1)
+        return at, (self.high[at] == wanted[:, 0]) & (self.low[at] == wanted[:, 1])
+
+
+def resolve(words: list[str], table: Table, tokenizer) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Number of ids, ids as text and decoded text of distinct words (of the empty string: none): from the table, else encoded here."""
+    at, known = table.find(words)
+    rest = [words[i] for i in np.flatnonzero(~known).tolist()]
+    encoded = [e.ids for e in tokenizer.encode_batch(rest, add_special_tokens=False)] if rest else []
+    at = at.copy()
+    at[~known] = len(table.n) + np.arange(len(rest))
+    n = np.concatenate([table.n, np.array([len(e) for e in encoded], np.int64)])[at]
+    ids = pa.array([" ".join(map(str, e)) for e in encoded], pa.large_string())
+    decoded = pa.array([" ".join([table.pieces[i] for i in e]) for e in encoded], pa.large_string())
+    take = lambda a, b: pa.chunked_array([a, b]).take(pa.array(at)).combine_chunks()
+    return n, take(table.ids, ids), take(table.decoded, decoded)
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     lo = size = 0
-    for i, n in enumerate(pc.binary_length(batch["text"]).to_pylist()):
+    for i, n in enumerate(batch["size"].to_pylist()):
         if i > lo and size + n > CHUNK_BYTES:
             yield batch.slice(lo, i - lo)
             lo, size = i, 0
@@ -170,35 +150,39 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(lo)
 
 
+def _encoded(words: pa.ListArray, table: Table, tokenizer) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """``n_tokens, ids, decoded`` of texts given as arrays of words."""
+    coded = words.flatten().dictionary_encode()
+    at = coded.indices.to_numpy()
+    n, ids, decoded = resolve(coded.dictionary.to_pylist(), table, tokenizer)
+    ends = words.offsets.to_numpy().astype(np.int64)
+    ends = ends - ends[0]
+    counts = n[at]
+    upto = lambda a: np.concatenate([[0], np.cumsum(a, dtype=np.int64)])[ends]
+    used = counts > 0  # words without ids leave nothing, not even a space
+    places, bounds = pa.array(at[used]), pa.array(upto(used))
+    joined = lambda a: pc.binary_join(pa.LargeListArray.from_arrays(bounds, a.take(places)), pa.scalar(" ", pa.large_string()))
+    return pa.array(np.diff(upto(counts))), joined(ids), joined(decoded)
+
+
 def encode_texts(docs: DataFrame, path: str | None = None, max_words: int = MAX_WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every document; ``ids`` are decimal numbers with one space between."""
     path = path or word_bpe_path()
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    shared = spark.sparkContext.broadcast(Table(word_table(docs, path, max_words).toArrow(), id_to_piece(spark, path).toArrow()))
+    texts = docs.count()
+    docs = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"), split_words(F.col("text")).alias("words"))
+    pieces = staged(id_to_piece(spark, path), "bpe-pieces")
+    words = staged(word_table(docs, pieces, path, max_words, texts), "bpe-table", min(max_words, WORDS_PER_TEXT * texts))
+    shared = spark.sparkContext.broadcast(Table(words.toArrow(), pieces.toArrow()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tokenizer = shared.value, _load(path)
-        known: dict[str, Entry] = {}
         for whole in batches:
             for b in _chunks(whole):
-                texts = [split_words(t.as_py()) for t in b["text"]]
-                distinct = set().union(*texts)
-                found = resolve([w for w in distinct if w not in known], table, tokenizer)
-                known = {w: known[w] if w in known else found[w] for w in distinct}  # frequent words stay from chunk to chunk
-                for lo in range(0, len(texts), ROWS_OUT):
-                    rows = []
-                    for words in texts[lo : lo + ROWS_OUT]:
-                        found = list(map(known.__getitem__, words))
-                        if NOTHING in found:
-                            found = [f for f in found if f is not NOTHING]
-                        sizes, ids, decoded = zip(*found) if found else ((), (), ())
-                        rows.append((sum(sizes), " ".join(ids), " ".join(decoded)))
-                    n, ids, decoded = zip(*rows)
-                    yield pa.record_batch([b["doc_id"].slice(lo, ROWS_OUT), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                                           pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
-        del known, table
+                n, ids, decoded = _encoded(b["words"], table, tokenizer)
+                yield pa.record_batch([b["doc_id"], n, ids.cast(pa.string()), decoded.cast(pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+        del table
         release()
 
     kind = dict(docs.dtypes)["doc_id"]

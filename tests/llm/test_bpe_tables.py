@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 
 from glossa.llm import bpe_tables
@@ -48,3 +49,26 @@ def test_decode_join(spark):
 
 def test_empty(spark):
     assert bpe_tables.encode_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_word_is_known_by_both_halves_of_its_digest():
+    words = ["alpha", "beta", "gamma"]
+    digests = bpe_tables._digests(words)
+    digests[1] = digests[0][:8] + digests[1][8:]  # the first half of another word's digest
+    text = pa.array(["1", "2", "3"])
+    rows = pa.table({"digest": pa.array(digests, pa.binary()), "n": pa.array([1, 1, 1], pa.int32()), "ids": text, "decoded": text})
+    pieces = pa.table({"id": pa.array([0], pa.int32()), "piece": ["p"]})
+    table = bpe_tables.Table(rows, pieces)
+    at, known = table.find(["gamma", "beta", "delta"])
+    assert known.tolist() == [True, False, False] and table.ids[int(at[0])].as_py() == "3"
+
+
+def test_repeated_words_are_encoded_once(table, spark):
+    """The table holds each word that occurs twice or more, one row each, with its decoded text from the join."""
+    tokenizer = library()
+    docs = table([(0, "aa bb aa  cc"), (1, "\tbb dd"), (2, None), (3, "\u0301 \u0301")])
+    pieces = bpe_tables.id_to_piece(spark, bpe_tables.word_bpe_path())
+    words = docs.select(bpe_tables.split_words(docs["text"]).alias("words"))
+    got = {bytes(r["digest"]): (r["n"], r["ids"], r["decoded"]) for r in bpe_tables.word_table(words, pieces, bpe_tables.word_bpe_path(), 100, 4).collect()}
+    want = {w: tokenizer.encode(w, add_special_tokens=False).ids for w in ("aa", "bb", "\u0301")}
+    assert got == {bpe_tables._digests([w])[0]: (len(i), " ".join(map(str, i)), tokenizer.decode(i, skip_special_tokens=False)) for w, i in want.items()}
