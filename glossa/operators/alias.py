@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossa.operators.lookup import with_key
+
 #: Units that a list's weights are rounded to, each entry keeping one at least; lists of up to 2**26 entries stay in 63 bits.
 UNITS = 1 << 36
 
@@ -21,8 +23,9 @@ def alias_table(entries: DataFrame, by: list[str], item: str, weight: str) -> Da
 
     A list is sorted within one task (spilling if it must); its length is bounded by the vocabulary.
     """
-    of = Window.partitionBy(*by)
-    w = entries.select(*by, F.col(item).alias("_item"), F.greatest(F.lit(1), F.floor(F.col(weight) / F.sum(weight).over(of) * F.lit(float(UNITS)))).cast("bigint").alias("_w"))
+    # The hash goes first: lists of arrays or strings are sorted by a number.
+    of = Window.partitionBy("_key", *by)
+    w = with_key(entries, by).select("_key", *by, F.col(item).alias("_item"), F.greatest(F.lit(1), F.floor(F.col(weight) / F.sum(weight).over(of) * F.lit(float(UNITS)))).cast("bigint").alias("_w"))
     upto = of.orderBy("_item").rowsBetween(Window.unboundedPreceding, 0)
     w = w.select("*", (F.count(F.lit(1)).over(upto) - 1).alias("slot"), F.count(F.lit(1)).over(of).alias("n"), F.sum("_w").over(of).alias("units"))
     over = F.col("_w") * F.col("n") - F.col("units")

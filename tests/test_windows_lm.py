@@ -105,3 +105,43 @@ def test_scoring_reads_documents_once(spark, sf_small):
     from glossa.plans import queries_lm as Q
     plan = Q.q_token_loss(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [doc_id") == 1
+
+
+def test_events_of_blocks_are_those_of_the_row(spark, monkeypatch):
+    rows = spark.createDataFrame([("train", d, [f"t{(d * 7 + i * i) % 5}" for i in range(n)]) for d, n in enumerate((0, 1, 2, 3, 4, 5, 9, 23))],
+                                 "split string, doc_id long, toks array<string>")
+    want = sorted((r["doc_id"], k, p, tuple(r["toks"][p - k:p]), r["toks"][p]) for r in rows.collect() for k in (1, 3) for p in range(k, len(r["toks"])))
+    for block in (2, 4, 2048):
+        monkeypatch.setattr(M, "BLOCK_POSITIONS", block)
+        got = [(r["doc_id"], r["k"], r["pos"], tuple(r["ctx"]), r["token"]) for r in M.contexts(rows, [1, 3]).collect()]
+        assert sorted(got) == want
+        assert sorted(x for x in want if x[1] == 3) == sorted((r["doc_id"], r["k"], r["pos"], tuple(r["ctx"]), r["token"]) for r in M.contexts(rows, [3]).collect())
+
+
+def test_the_fitted_split_is_scored_from_its_counts(spark):
+    rows = spark.createDataFrame([("train", 0, list("abcabca")), ("train", 1, list("bcd")), ("val", 2, list("abxbc"))],
+                                 "split string, doc_id long, toks array<string>")
+    m = M.ngram_fit(rows.where("split = 'train'"), [1, 2])
+    st = M.settings_table(spark, [{"setting": "a", "k": 1, "a": 5.0}, {"setting": "b", "k": 2, "a": 3.0, "min_ctx": 2}])
+    counted = M.token_loss(rows, m, st, fitted_on="train")
+    whole = {(r["setting"], r["split"]): (r["n_scored"], r["loss"]) for r in M.token_loss(rows, m, st).collect()}
+    got = {(r["setting"], r["split"]): (r["n_scored"], r["loss"]) for r in counted.collect()}
+    assert got.keys() == whole.keys() and len(got) == 4
+    assert all(got[s][0] == whole[s][0] and got[s][1] == pytest.approx(whole[s][1]) for s in got)
+
+
+def test_a_step_of_generation_does_not_repeat_the_ones_before(spark):
+    rows = spark.createDataFrame([("train", 0, list("abcabca"))], "split string, doc_id long, toks array<string>")
+    m = M.ngram_fit(rows, [1])
+    p = spark.createDataFrame([(0, ["a"])], "prompt_id long, prompt array<string>")
+    for out in (M.generate_greedy(p, m, 1, steps=4), M.generate_sample(p, m, 1, steps=4)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 8
+        assert len(out.first()["generated"]) == 4
+
+
+def test_written_rows_are_columns(spark):
+    from glossa.operators.lookup import materialise
+    df = spark.createDataFrame([(1, ["a", None], None), (2, [], 0.5)], "id long, t array<string>, x double")
+    back = materialise(df)
+    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+    assert "parquet" in back._jdf.queryExecution().optimizedPlan().toString()
