@@ -145,3 +145,21 @@ def test_written_rows_are_columns(spark):
     back = materialise(df)
     assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
     assert "parquet" in back._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_grouping_fits_and_scores(spark):
+    """The fit's grouping gives the same model and losses as a fit followed by looking the other split up, without a join of the count tables."""
+    rows = spark.createDataFrame([
+        ("train", 0, list("abcabcabd")), ("train", 1, list("bcabx")), ("train", 2, ["a"]),
+        ("val", 3, list("abqabcazbcx")), ("val", 4, list("zzzz")), ("val", 5, []), (None, 6, list("abab")), ("test", 7, list("abcd"))],
+        "split string, doc_id long, toks array<string>")
+    settings = M.settings_table(spark, [{"setting": f"{k}-{a}-{m}", "k": k, "a": a, "min_ctx": m} for k in (1, 2) for a in (5.0, 50.0) for m in (1, 3)])
+    plain = M.ngram_fit(rows.where("split = 'train'"), [1, 2])
+    model, scored = M.ngram_fit_scored(rows, [1, 2])
+    every = lambda df: sorted(map(repr, df.select(sorted(df.columns)).collect()))
+    assert every(model.counts) == every(plain.counts) and every(model.ctx_totals) == every(plain.ctx_totals)
+    assert (model.n1, model.vocab) == (plain.n1, plain.vocab)
+    known = {(r["setting"], r["split"]): (r["n_scored"], round(r["loss"], 9)) for r in M.token_loss(rows.where("split in ('train', 'val')"), plain, settings).collect()}
+    got = M.token_loss(rows, model, settings, fitted_on="train", scored=scored)
+    assert {(r["setting"], r["split"]): (r["n_scored"], round(r["loss"], 9)) for r in got.collect()} == known and len(known) == 16
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
