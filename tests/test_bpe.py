@@ -21,6 +21,29 @@ def test_merge_non_overlapping(spark):
     assert brute.merge([0] * 5, 0, 0, 9) == [9, 9, 0]
 
 
+def test_first_places_are_aggregated_by_hash(spark):
+    """The first occurrence is found without sorting all occurrences, for extreme and null document numbers alike."""
+    from glossa.operators.tokens import pair_count, tokenize
+    rows = [(5, "abab ab"), (-7, "zz ab"), ((1 << 63) - 1, "ma q"), (-(1 << 63), "yy zz"), (0, "q"), (-(1 << 63), "yy"), (None, "n zz n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    low = lambda places: min(places, key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
+    pairs, segs = {}, {}
+    for d, t in rows:
+        for i in range(len(t) - 1):
+            pairs.setdefault((t[i], t[i + 1]), []).append((d, i))
+        for i, piece in enumerate(brute.segments(t)):
+            segs.setdefault(piece, []).append((d, i))
+    got = pair_count(tokenize(docs, "char"))
+    assert {(r["left"], r["right"]): (r["pair_count"], (r["first_ord"], r["first_pos"])) for r in got.collect()} == {k: (len(v), low(v)) for k, v in pairs.items()}
+    pcs = B.pieces(docs)
+    assert {r["piece"]: (r["weight"], tuple(r["first"])) for r in pcs.collect()} == {k: (len(v), low(v)) for k, v in segs.items()}
+    for df in (got, pcs):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+    named = pair_count(tokenize(spark.createDataFrame([("b", "xy"), ("a", "xyxy")], "doc_id string, text string"), "char"))
+    assert sorted(map(tuple, named.collect())) == [("x", "y", 3, "a", 0), ("y", "x", 1, "a", 1)]
+
+
 def test_pair_count_overlapping(spark):
     from glossa.operators.tokens import pair_count, tokenize
     docs = spark.createDataFrame([(0, "aaaaa")], "doc_id long, text string")
