@@ -112,3 +112,14 @@ def test_h2_entity_implies_h1_entity(spark, sf_small):
         lab.select("doc_id", F.col("pos").alias("p2"), F.col("l1").alias("prev")).alias("b"),
         (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("p2") == F.col("pos") - 1), "left")
     assert w.filter((F.col("l1") == 2) & ~(F.coalesce(F.col("prev"), F.lit(0)) > 0)).count() == 0
+
+
+def test_one_labelling_is_that_of_the_label_arrays(spark):
+    from glossa.operators import labels as L
+    toks = ["Ana", "Mar", "fue", "A", "Bo", "C", "El", ".", "Luz", "Sol", "x1", "É", "Él"]
+    wide = spark.createDataFrame([(0, toks), (1, []), (2, None), (3, toks[::-1])], "doc_id long, toks array<string>")
+    both = {r["doc_id"]: r["lab"] for r in L.label_arrays(wide).select("doc_id", "lab").collect()}
+    for which, field in (("auto", "l0"), ("h1", "l1")):
+        for r in L.label_array(wide, which).collect():
+            lab = both[r["doc_id"]]
+            assert r["labels"] == (None if lab is None else [x[field] for x in lab])

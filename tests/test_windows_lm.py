@@ -163,3 +163,23 @@ def test_one_grouping_fits_and_scores(spark):
     got = M.token_loss(rows, model, settings, fitted_on="train", scored=scored)
     assert {(r["setting"], r["split"]): (r["n_scored"], round(r["loss"], 9)) for r in got.collect()} == known and len(known) == 16
     assert scored._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+
+
+def test_windows_read_their_own_elements(spark, monkeypatch):
+    """No window is cut in a lambda, where a slice reads its whole block; blocks change no window."""
+    monkeypatch.setattr(W, "BLOCK_WINDOWS", 2)
+    toks = [f"t{i}" for i in range(23)]
+    wide = spark.createDataFrame([(0, toks, list(range(23))), (1, toks[:4], [0] * 4), (2, toks[:3], [0] * 3), (3, None, None)],
+                                 "doc_id long, toks array<string>, labels array<int>")
+    for length, stride in ((3, 1), (3, 2), (1, 1)):
+        for shift in (True, False):
+            df = W.windows(wide, length, stride, toks="toks", shift=shift)
+            got = sorted((r["doc_id"], r["start"], list(r["x"]), list(r["y"])) for r in df.collect())
+            want = []
+            for d, n in ((0, 23), (1, 4), (2, 3)):
+                for s in range(0, n - length, stride):
+                    y = toks[s + 1:s + 1 + length] if shift else [(d == 0) * i for i in range(s, s + length)]
+                    want.append((d, s, toks[s:s + length], y))
+            assert got == want
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert not [line for line in plan.splitlines() if "lambdafunction" in line and "slice(" in line]
