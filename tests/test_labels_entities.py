@@ -123,3 +123,22 @@ def test_one_labelling_is_that_of_the_label_arrays(spark):
         for r in L.label_array(wide, which).collect():
             lab = both[r["doc_id"]]
             assert r["labels"] == (None if lab is None else [x[field] for x in lab])
+
+
+def test_lines_are_cut_once(spark):
+    import re
+
+    from glossa.functions.patterns import LINE_RE, STRIP_RE
+    from glossa.sources.corpus import line_source
+    blanks = "\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000"
+    texts = ["a\r\n b \r\r\n\nc d\u2028e", "", " \n ", blanks, f"{blanks}x{blanks}y\u200b{blanks}", "plain", None, "\r\n", "é\x85\xa0ñ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df = line_source(docs)
+    python = lambda p: re.sub(r"\\x\{([0-9A-Fa-f]+)\}", r"\\u\1", p).replace(r"\z", r"\Z")
+    want = []
+    for i, t in enumerate(texts):
+        if t is not None:
+            lines = [x for x in (re.sub(python(STRIP_RE), "", x) for x in re.split(python(LINE_RE), t)) if x]
+            want += [(i, n, x) for n, x in enumerate(lines or [t])]
+    assert sorted(tuple(r) for r in df.collect()) == want
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
