@@ -183,3 +183,9 @@ def test_windows_read_their_own_elements(spark, monkeypatch):
             assert got == want
             plan = df._jdf.queryExecution().executedPlan().toString()
             assert not [line for line in plan.splitlines() if "lambdafunction" in line and "slice(" in line]
+
+
+def test_batches_cut_the_texts_into_words_for_the_sizes_only(spark, sf_small):
+    from glossa.plans import queries_lm as Q
+    plan = Q.q_shuffled_batches(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
