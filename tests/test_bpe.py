@@ -217,3 +217,28 @@ def test_vocab_smaller_than_alphabet_has_no_merge(spark):
     docs = spark.createDataFrame([(0, "abcabc")], "doc_id long, text string")
     tok = B.train(docs, 2)
     assert tok.merges == [] and tok.vocab == ["a", "b", "c"]
+
+
+def test_batches_are_encoded_in_blocks(monkeypatch):
+    import pyarrow as pa
+
+    from glossa.operators import bpe_codec as C
+    rows = [["ab", "ba"], None, [], ["abab"] * 5, ["b", "zz"], [], ["a"]]
+    batch = pa.record_batch([pa.array(range(len(rows))), pa.array(rows, pa.list_(pa.string()))], ["doc_id", "_segs"])
+    run = C.encoded(["a", "b"], [(0, 1, 2, 3)], 10)
+    whole = pa.Table.from_batches(list(run(iter([batch]))))
+    monkeypatch.setattr(C, "BLOCK_PIECES", 3)
+    parts = list(run(iter([batch, batch.slice(2, 3), batch.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) <= 4 and len(parts) >= 5
+    got = pa.Table.from_batches(parts)
+    assert got.slice(0, len(rows)).to_pylist() == whole.to_pylist() and got.slice(len(rows)).to_pylist() == whole.slice(2, 3).to_pylist()
+    assert whole["ids"].to_pylist() == [[2, 1, 0], [], [], [2, 2] * 5, [1, 0, 0], [], [0]]
+
+
+def test_long_pieces_get_more_training_tasks(spark, monkeypatch):
+    from glossa.operators import bpe as B
+    assert B.loop_partitions(10, 10) == 1 and B.loop_partitions(10, 50 << 20) == 51 and B.loop_partitions(1_000_000, 0) == 5
+    docs = spark.createDataFrame([(0, "abcabcabc abcab"), (1, "cabcabc" * 3)], "doc_id long, text string")
+    plain = B.train(docs, 8)
+    monkeypatch.setattr(B, "SYMBOLS_PER_PARTITION", 4)
+    assert B.train(docs, 8) == plain
