@@ -20,6 +20,7 @@ null; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,9 @@ MAX_WORDS = 700_000
 #: Repeated words that a text may bring, for the number of files of the word counts.
 WORDS_PER_TEXT = 8
 #: Bytes of words that a task resolves at a time (one longer text is taken by itself).
-CHUNK_BYTES = 2_500_000
+CHUNK_BYTES = 1_000_000
+#: Words that the library encodes at a time: what it returns of a word takes several hundred bytes, besides the ids.
+ENCODE_WORDS = 2_048
 
 
 def word_bpe_path() -> str:
@@ -49,6 +52,7 @@ def _load(path: str):
     """The tokenizer, once per worker process."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would each keep memory of their own
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -64,6 +68,10 @@ def _digests(words: list[str]) -> list[bytes]:
     return [xxhash.xxh3_128_digest(w) for w in words]
 
 
+def _ids(words: list[str], tokenizer) -> list[list[int]]:
+    return [e.ids for lo in range(0, len(words), ENCODE_WORDS) for e in tokenizer.encode_batch(words[lo:lo + ENCODE_WORDS], add_special_tokens=False)]
+
+
 def word_table(words: DataFrame, pieces: DataFrame, path: str, max_words: int, texts: int) -> DataFrame:
     """``digest, n, ids, decoded`` of the words (``words``: arrays) that occur more than once, each encoded once; the most frequent if there are more than ``max_words``.
 
@@ -76,8 +84,8 @@ def word_table(words: DataFrame, pieces: DataFrame, path: str, max_words: int, t
         tokenizer = _load(path)
         for b in batches:
             chosen = b["word"].to_pylist()
-            ids = [e.ids for e in tokenizer.encode_batch(chosen, add_special_tokens=False)]
-            yield pa.record_batch([pa.array(_digests(chosen), pa.binary()), pa.array(ids, pa.list_(pa.int32()))], ["digest", "ids"])
+            yield pa.record_batch([pa.array(_digests(chosen), pa.binary()), pa.array(_ids(chosen, tokenizer), pa.list_(pa.int32()))], ["digest", "ids"])
+        release()
 
     encoded = most_frequent(counts, max_words).select("word").mapInArrow(encode, "digest binary, ids array<int>")
     entry = F.struct("digest", F.size("ids").alias("n"), F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
@@ -106,7 +114,8 @@ class Table:
     """The broadcast table of distinct words, sorted by digest, and the pieces by id for words outside of it."""
 
     def __init__(self, words: pa.Table, pieces: pa.Table) -> None:
-        keys = np.frombuffer(b"".join(words["digest"].to_pylist()), np.uint64).reshape(-1, 2)
+        digests = words["digest"].cast(pa.binary(16)).combine_chunks()
+        keys = np.frombuffer(digests.buffers()[1], np.uint64)[2 * digests.offset:][:2 * len(digests)].reshape(-1, 2) if len(digests) else np.zeros((0, 2), np.uint64)
         order = np.argsort(keys[:, 0], kind="stable")
         self.high, self.low = keys[order, 0], keys[order, 1]
         self.n = words["n"].to_numpy()[order].astype(np.int64)
@@ -129,13 +138,14 @@ def resolve(words: list[str], table: Table, tokenizer) -> tuple[np.ndarray, pa.A
     """Number of ids, ids as text and decoded text of distinct words (of the empty string: none): from the table, else encoded here."""
     at, known = table.find(words)
     rest = [words[i] for i in np.flatnonzero(~known).tolist()]
-    encoded = [e.ids for e in tokenizer.encode_batch(rest, add_special_tokens=False)] if rest else []
-    at = at.copy()
-    at[~known] = len(table.n) + np.arange(len(rest))
-    n = np.concatenate([table.n, np.array([len(e) for e in encoded], np.int64)])[at]
+    encoded = _ids(rest, tokenizer)
+    n = np.zeros(len(words), np.int64)
+    n[known], n[~known] = table.n[at[known]], [len(e) for e in encoded]
     ids = pa.array([" ".join(map(str, e)) for e in encoded], pa.large_string())
     decoded = pa.array([" ".join([table.pieces[i] for i in e]) for e in encoded], pa.large_string())
-    take = lambda a, b: pa.chunked_array([a, b]).take(pa.array(at)).combine_chunks()
+    rows = pa.array(at[known])
+    order = pa.array(np.argsort(np.concatenate([np.flatnonzero(known), np.flatnonzero(~known)])))  # back to the words' order
+    take = lambda a, b: pa.concat_arrays([a.take(rows), b]).take(order)  # of the table, its rows for these words only are copied
     return n, take(table.ids, ids), take(table.decoded, decoded)
 
 

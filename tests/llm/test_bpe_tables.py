@@ -12,6 +12,9 @@ TEXTS = ["Hello world, it's the year 2024!", "", None, " \t\n ", "<|startoftext|
          "naïve😀👍🏽 日本語テキスト", "I'll you've x's 'S 's", "###***$$$ -- ??", "word " * 3000, "x" * 5000, "\u0301 start", "<|endoftext|", "a\u0300\u0301b", "同じ 同じ"]
 
 
+COUNTED = pa.proxy_memory_pool(pa.default_memory_pool())  # outlives what is taken from it
+
+
 def library():
     from tokenizers import Tokenizer
 
@@ -72,3 +75,33 @@ def test_repeated_words_are_encoded_once(table, spark):
     got = {bytes(r["digest"]): (r["n"], r["ids"], r["decoded"]) for r in bpe_tables.word_table(words, pieces, bpe_tables.word_bpe_path(), 100, 4).collect()}
     want = {w: tokenizer.encode(w, add_special_tokens=False).ids for w in ("aa", "bb", "\u0301")}
     assert got == {bpe_tables._digests([w])[0]: (len(i), " ".join(map(str, i)), tokenizer.decode(i, skip_special_tokens=False)) for w, i in want.items()}
+
+
+def test_a_chunk_copies_its_own_rows_of_the_table_only():
+    """What a chunk of texts takes doesn't grow with the table, and the library is given a bounded number of words at a time."""
+    n = 50_000
+    words = [f"w{i}" for i in range(n)]
+    text = pa.array([f"{i} " * 20 for i in range(n)])
+    rows = pa.table({"digest": pa.array(bpe_tables._digests(words), pa.binary()), "n": pa.array([20] * n, pa.int32()), "ids": text, "decoded": text})
+    table = bpe_tables.Table(rows, pa.table({"id": pa.array([0, 1], pa.int32()), "piece": ["p", "q"]}))
+    sizes = []
+
+    class Encoding:
+        ids = [1, 0]
+
+    class Library:
+        def encode_batch(self, given, add_special_tokens):
+            sizes.append(len(given))
+            return [Encoding()] * len(given)
+
+    chosen = ["w7", "new", "w49999", "", *[f"x{i}" for i in range(5000)]]
+    usual = pa.default_memory_pool()
+    pa.set_memory_pool(COUNTED)
+    try:
+        n, ids, decoded = [x.tolist() for x in bpe_tables.resolve(chosen, table, Library())]
+        most = COUNTED.max_memory()
+    finally:
+        pa.set_memory_pool(usual)
+    assert n == [20, 2, 20, *[2] * 5001]
+    assert ids[:4] == ["7 " * 20, "1 0", "49999 " * 20, "1 0"] and decoded[:4] == ["7 " * 20, "q p", "49999 " * 20, "q p"]
+    assert most < 2_000_000 < 2 * table.ids.nbytes and max(sizes) <= 4096
