@@ -189,3 +189,48 @@ def test_batches_cut_the_texts_into_words_for_the_sizes_only(spark, sf_small):
     from glossa.plans import queries_lm as Q
     plan = Q.q_shuffled_batches(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan
+
+
+def test_softmax_joins_no_shuffled_table(spark):
+    """Same rows whether a context counts as hot or not; the continuations go through one exchange, and no join sorts."""
+    rows = spark.createDataFrame([("train", i, list("abacad") + [f"w{i}", "b", "c", f"w{i % 3}"]) for i in range(40)], "split string, doc_id long, toks array<string>")
+    m = M.ngram_fit(rows, [1, 2])
+    want = {}
+    for r in m.counts.where("k = 1").collect():
+        want.setdefault(r["ctx"][0], {})[r["token"]] = r["cnt"] / r["ctx_cnt"]
+    for shares in (1, 8, 4096):  # no context, the longest ones, all contexts of more than one continuation
+        got = M.softmax_temperature(m, 1, 0.5, shares)
+        rows = got.collect()
+        assert len(rows) == sum(map(len, want.values()))
+        for r in rows:
+            of = want[r["ctx"][0]]
+            assert r["prob"] == pytest.approx(of[r["token"]])
+            assert r["prob_t"] == pytest.approx(of[r["token"]] ** 2 / sum(p * p for p in of.values()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(before, ("-1", "false")):
+        spark.conf.set(k, v)
+    small = M.skew_join.__defaults__
+    M.skew_join.__defaults__ = (*small[:-2], 0, small[-1])  # as for large tables: nothing is small
+    try:
+        plan = M.softmax_temperature(m, 1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        M.skew_join.__defaults__ = small
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_fit_writes_its_tables_where_they_are_saved(spark, tmp_path):
+    """Saving copies nothing if the fit was given the folder."""
+    rows = spark.createDataFrame([("train", 0, list("abcabca")), ("train", 1, list("bcd"))], "split string, doc_id long, toks array<string>")
+    every = lambda df: sorted(map(str, df.collect()))
+    path = str(tmp_path / "m")
+    m = M.ngram_fit(rows, [1, 2], path=path)
+    written = sorted((tmp_path / "m").rglob("*.parquet"))
+    M.ngram_save(m, path)
+    assert sorted((tmp_path / "m").rglob("*.parquet")) == written and len({p.parent.name for p in written}) == 3
+    plain, loaded = M.ngram_fit(rows, [1, 2]), M.ngram_load(spark, path)
+    M.ngram_save(plain, str(tmp_path / "n"))
+    for name in ("counts", "ctx_totals", "unigram"):
+        assert every(getattr(loaded, name)) == every(getattr(plain, name)) == every(getattr(M.ngram_load(spark, str(tmp_path / "n")), name))
+    assert (loaded.n1, loaded.vocab) == (plain.n1, plain.vocab)
