@@ -47,3 +47,21 @@ def test_empty_dimension(tables, spark):
     facts, dim = tables
     none = materialise(dim.where(F.lit(False)))
     assert skew_join(facts, none, ["key"], "n", ["id"], max_rows=-1).where("value IS NOT NULL").count() == 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """The shuffle files of a written table go when it is there, and the setting is put back."""
+    import time
+
+    from glossa.operators.lookup import SHUFFLE_CLEANUP
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in disk.getAllFiles().mkString("|").split("|") if "shuffle_" in x and x.endswith(".data")}
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP)
+    df = spark.range(20_000).groupBy((F.col("id") % 999).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    written = materialise(df, more=(df.where("g < 5"),))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert written.count() == 999 + 5 and df.count() == 999
