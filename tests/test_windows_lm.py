@@ -234,3 +234,17 @@ def test_fit_writes_its_tables_where_they_are_saved(spark, tmp_path):
     for name in ("counts", "ctx_totals", "unigram"):
         assert every(getattr(loaded, name)) == every(getattr(plain, name)) == every(getattr(M.ngram_load(spark, str(tmp_path / "n")), name))
     assert (loaded.n1, loaded.vocab) == (plain.n1, plain.vocab)
+
+
+def test_pairs_of_a_large_model_are_looked_up_once(spark, monkeypatch):
+    """The same figures from a count table that is too large to be broadcast; rows with a known pair take part in no second lookup."""
+    rows = spark.createDataFrame([("train", 0, list("abcabca")), ("train", 1, list("bcd")), ("val", 2, list("abxbcaqd"))], "split string, doc_id long, toks array<string>")
+    m = M.ngram_fit(rows.where("split = 'train'"), [1, 2])
+    ev = M.contexts(rows, [1, 2])
+    found = lambda: sorted((tuple(r["ctx"]), r["token"], r["split"], r["doc_id"], r["pos"], r["cnt"], r["ctx_cnt"], r["c1"]) for r in M.looked_up(ev, m).collect())
+    want, joined = found(), []
+    monkeypatch.setattr(M, "BROADCAST_ROWS", 0)
+    real = M.skew_join
+    monkeypatch.setattr(M, "skew_join", lambda facts, *a, **b: joined.append(facts.count()) or real(facts, *a, **b))
+    assert found() == want and joined[0] == ev.count() == len(want)
+    assert joined[1] == joined[2] == sum(w[5] is None for w in want) > 0
